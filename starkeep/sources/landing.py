@@ -63,6 +63,7 @@ def land(
     source: str,
     ingest_date: date,
     fmt: str = "csv",
+    **options,
 ) -> str:
     """Append one batch under its ingest date; returns the source's folder.
 
@@ -74,7 +75,7 @@ def land(
     if fmt == "csv":
         writer = writer.options(**CSV_DIALECT)
     folder = source_folder(root, source)
-    writer.partitionBy("ingest_date").format(fmt).save(folder)
+    writer.options(**options).partitionBy("ingest_date").format(fmt).save(folder)
     return folder
 
 
