@@ -1,5 +1,7 @@
 """Smart keys and derived measures."""
 
+from datetime import date
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,11 @@ NOT_APPLICABLE_KEY = -1
 TRIAGE_YEAR = 9999
 
 
+def day(value: date) -> Column:
+    """A date literal; from text, because year 1 does not survive ``F.lit``."""
+    return F.lit(value.isoformat()).cast("date")
+
+
 def date_key(col: Column, default: int | None = UNKNOWN_KEY) -> Column:
     """``YYYYMMDD`` as an int."""
     key = (F.year(col) * 10000 + F.month(col) * 100 + F.dayofmonth(col)).cast("int")

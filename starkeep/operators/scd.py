@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starkeep.functions.hashing import change_hash
+from starkeep.functions.keys import day
 from starkeep.operators.dedup import latest_per_key
 from starkeep.operators.joins import left_lookup
 
@@ -102,7 +103,7 @@ def scd2_merge(
     Both tables go through one shuffle on the natural key (grouping is null-safe), where
     a key's few versions meet its incoming row. Reserved members do not take part.
     """
-    day = F.lit(run_date)
+    today = day(run_date)
     old = current.filter(~spec.reserved()).select(*spec.columns)
     rows = old.withColumn("_staged", F.lit(False)).unionByName(
         _stage(incoming, spec).withColumn("_staged", F.lit(True)),
@@ -125,7 +126,7 @@ def scd2_merge(
         }
     )
     fresh = F.col("_staged") & ~F.col("_live_hash").eqNullSafe(F.col(spec.hash))
-    same_day = F.coalesce(F.col("_live_start") == day, F.lit(False))
+    same_day = F.coalesce(F.col("_live_start") == today, F.lit(False))
     superseded = is_live & (F.col("_next_hash") != F.col("_live_hash"))
     if expire_missing:
         superseded = superseded | (is_live & F.col("_next_hash").isNull())
@@ -135,15 +136,15 @@ def scd2_merge(
     rows = rows.filter(F.when(F.col("_staged"), fresh).otherwise(~replaced))
     too_early = F.raise_error("run date lies before the current version's start")
     first_day = (
-        F.when(F.col("_top").isNull(), F.lit(OPEN_START))
-        .when(F.col("_live_start") > day, too_early.cast("date"))
-        .otherwise(day)
+        F.when(F.col("_top").isNull(), day(OPEN_START))
+        .when(F.col("_live_start") > today, too_early.cast("date"))
+        .otherwise(today)
     )
     number = F.when(same_day, F.col("_live_version")).otherwise(
         F.coalesce(F.col("_top"), F.lit(0)) + 1
     )
     staged = F.col("_staged")
-    end = F.when(staged, F.lit(OPEN_END)).when(superseded, day)
+    end = F.when(staged, day(OPEN_END)).when(superseded, today)
     updates = {
         spec.surrogate: F.when(staged & same_day, F.col("_live_key")).otherwise(
             F.col(spec.surrogate)
@@ -181,11 +182,11 @@ def scd2_history(
     number = F.row_number().over(timeline)
     following = F.lead(snapshot_date).over(timeline)
     points = points.withColumns({"_number": number, "_following": following})
-    start = F.when(F.col("_number") == 1, F.lit(OPEN_START))
+    start = F.when(F.col("_number") == 1, day(OPEN_START))
     return points.select(
         *spec.attributes,
         start.otherwise(F.col(snapshot_date)).alias(spec.start),
-        F.coalesce("_following", F.lit(OPEN_END)).alias(spec.end),
+        F.coalesce("_following", day(OPEN_END)).alias(spec.end),
         F.col("_following").isNull().alias(spec.current),
         F.col("_number").cast("smallint").alias(spec.version),
         spec.hash,

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starkeep.functions.keys import day
 from starkeep.operators.filters import complete
 
 # The window that open validity dates are clamped to in the extract.
@@ -42,7 +43,7 @@ def prefixed(dimension: DataFrame, prefix: str) -> DataFrame:
 
 
 def clamp(col: Column) -> Column:
-    clamped = F.least(F.greatest(col, F.lit(CLAMP_FIRST)), F.lit(CLAMP_LAST))
+    clamped = F.least(F.greatest(col, day(CLAMP_FIRST)), day(CLAMP_LAST))
     return clamped.cast("timestamp_ntz")
 
 

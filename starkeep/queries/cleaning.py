@@ -128,7 +128,7 @@ def csv_round_trip(spark, folder):
 
 @query("""
 SELECT o_orderkey AS order_key, o_custkey AS cust_key, o_orderstatus AS order_status,
-    CAST(NULL AS VARCHAR) AS remark, CAST(o_totalprice AS BIGINT) AS total
+    CAST(NULL AS VARCHAR) AS remark, CAST(floor(o_totalprice) AS BIGINT) AS total
 FROM orders WHERE o_totalprice IS NOT NULL
 """)
 def conformed_columns(spark, folder):
@@ -138,7 +138,7 @@ def conformed_columns(spark, folder):
         "Order Key", "custKey", " Order-Status!", "TOTAL PRICE", "Order  Date", "priority"
     )
     named = rename_present(snake_columns(untidy), {"total_price": "total", "absent": "x"})
-    named = named.withColumn("total", F.round("total"))
+    named = named.withColumn("total", F.floor("total"))
     named = named.drop("order_date", "never_there")
     target = schema(
         "order_key BIGINT, cust_key BIGINT, order_status STRING, remark STRING,"

@@ -82,8 +82,8 @@ INCIDENTS_SQL = """
             CAST(date_trunc('millisecond', ts + version * INTERVAL 5 HOUR) AS TIMESTAMP)
                 AS updated_on,
             CASE WHEN value >= 10
-                 THEN 41 + CAST(user_id AS DECIMAL(9,6)) / 1000000 END AS latitude,
-            -87 - CAST(user_id AS DECIMAL(9,6)) / 1000000 AS longitude,
+                 THEN CAST(41 + user_id / 1e6 AS DECIMAL(9,6)) END AS latitude,
+            CAST(-87 - user_id / 1e6 AS DECIMAL(9,6)) AS longitude,
             CAST(CASE WHEN value < 5 OR keyless THEN 9999 ELSE year(ts) END AS SMALLINT)
                 AS _ingest_year
         FROM (SELECT *, value < 1 OR value BETWEEN 6 AND 7 AS keyless,
