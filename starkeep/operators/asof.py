@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starkeep.functions.keys import UNKNOWN_KEY
 from starkeep.operators.joins import BROADCAST_ROWS, fits_broadcast, left_lookup
 from starkeep.operators.scd import VersionSpec
+from starkeep.sources.files import materialize
 
 
 def valid_on(day: Column, start: Column, end: Column, closed: str = "left") -> Column:
@@ -37,6 +38,7 @@ def asof_key(
     on: Mapping[str, str] | None = None,
     default: int = UNKNOWN_KEY,
     broadcast_rows: int = BROADCAST_ROWS,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``spec.surrogate`` to every fact row; no row is lost or repeated.
 
@@ -45,7 +47,8 @@ def asof_key(
 
     A small dimension is broadcast and the day range is checked on the fly. A large one
     is resolved once per distinct (key, day), which a hot key has only as many of as
-    there are days, and the answers are looked up by equality.
+    there are days, and the answers are looked up by equality. ``probe`` is a cheaper
+    frame with the same keys and days, where ``facts`` is the outcome of earlier joins.
     """
     on = dict(on or {k: k for k in spec.keys})
     versions = dimension.filter(F.col(spec.surrogate) > 0).select(
@@ -53,7 +56,8 @@ def asof_key(
     )
     if fits_broadcast(versions, broadcast_rows):
         return _by_range(facts, versions, spec, on, event_date, default)
-    answers = _answers(facts, versions, spec, on, event_date)
+    probe = facts if probe is None else probe
+    answers = materialize(_answers(probe, versions, spec, on, event_date), "answers")
     return left_lookup(
         facts,
         answers,
@@ -62,6 +66,7 @@ def asof_key(
         null_safe=True,
         defaults={spec.surrogate: default},
         broadcast_rows=broadcast_rows,
+        probe=probe,
     )
 
 

@@ -31,6 +31,7 @@ def left_lookup(
     defaults: Mapping[str, object] | None = None,
     bounded: bool = False,
     broadcast_rows: int = BROADCAST_ROWS,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Add columns of ``lookup`` to every fact row; no fact row is lost or repeated.
 
@@ -38,7 +39,9 @@ def left_lookup(
     lookup columns to the new names, ``defaults`` fills the new columns on a miss.
 
     A lookup that is small by count, or ``bounded`` by its making, is broadcast.
-    Beyond that both sides are shuffled, with hot keys spread by a salt.
+    Beyond that both sides are shuffled, with hot keys spread by a salt. ``probe`` is a
+    cheaper frame with the same keys to find hot ones in, where ``facts`` is the outcome
+    of earlier joins.
     """
     columns = {b: f"_k{i}" for i, b in enumerate(on.values())}
     slim = lookup.select(
@@ -50,7 +53,8 @@ def left_lookup(
         condition = _match("f", "l", keyed, null_safe)
         joined = facts.alias("f").join(F.broadcast(slim).alias("l"), condition, "left")
     else:
-        joined = _salted_join(facts, slim, keyed, null_safe)
+        hot = hot_keys(facts if probe is None else probe, list(keyed))
+        joined = _salted_join(facts, slim, keyed, null_safe, hot)
     defaults = defaults or {}
 
     def value(i: int, name: str) -> Column:
@@ -72,7 +76,11 @@ def hot_keys(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _salted_join(
-    facts: DataFrame, slim: DataFrame, on: Mapping[str, str], null_safe: bool
+    facts: DataFrame,
+    slim: DataFrame,
+    on: Mapping[str, str],
+    null_safe: bool,
+    hot: DataFrame,
 ) -> DataFrame:
     """Hot facts get one of ``n`` salts from their content, hot lookup rows all ``n``.
 
@@ -81,7 +89,7 @@ def _salted_join(
     are spread the same way.
     """
     n = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys(facts, list(on)).withColumn("_hot", F.lit(True))
+    hot = hot.withColumn("_hot", F.lit(True))
     marked = facts.alias("f").join(
         F.broadcast(hot).alias("h"), _match("f", "h", {a: a for a in on}, True), "left"
     )

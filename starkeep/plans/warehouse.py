@@ -16,6 +16,7 @@ from starkeep.functions.keys import (
     hour_key,
 )
 from starkeep.operators.asof import asof_key
+from starkeep.operators.bridge import bridge_from_columns, count_members
 from starkeep.operators.dedup import latest_per_key
 from starkeep.operators.dimensions import (
     calendar_dimension,
@@ -34,12 +35,20 @@ from starkeep.operators.scd import (
 )
 from starkeep.operators.shaping import conform
 from starkeep.operators.surrogate import assign_keys, fill_keys
-from starkeep.plans import schemas
+from starkeep.plans import cleaning, schemas
 from starkeep.sources.files import materialize
+from starkeep.sources.landing import empty
 from starkeep.sources.store import TableStore
-from starkeep.sources.tables import newest_snapshot, without_triage
+from starkeep.sources.tables import YEAR_COLUMN, newest_snapshot, without_triage
 
-FACT_PARTITION = "occurrence_year"
+FACT_PARTITION = "fact_year"
+
+# What the arrest feed may hold of a person, and an arrest's own columns.
+PERSON = schemas.schema("race STRING, age_band STRING, sex STRING")
+ARREST = schemas.schema(
+    "cb_no BIGINT, case_number STRING, arrest_date TIMESTAMP_NTZ, race STRING,"
+    "age_band STRING, sex STRING"
+)
 
 
 @dataclass(frozen=True)
@@ -200,14 +209,13 @@ def load_weather(
 
 def load_arrestees(store: TableStore, arrests: DataFrame | None) -> dict[str, int]:
     """Distinct demographics; without the source the dimension stays empty."""
-    table, names = "dim_arrestee", ["race", "age_band", "sex"]
+    table, names = "dim_arrestee", list(PERSON.names)
     current = _seeded(store, table, [])
     if arrests is None:
         if not store.exists(table):
             store.publish(table, current)
         return {"skipped": 1}
-    people = conform(arrests, schemas.schema("race STRING, age_band STRING, sex STRING"))
-    state = scd1_upsert(current, people.distinct(), names)
+    state = scd1_upsert(current, conform(arrests, PERSON).distinct(), names)
     before = current.count()
     published = store.publish(table, fill_keys(state, "arrestee_key", names))
     return {"inserted": published.count() - before}
@@ -236,6 +244,7 @@ def incident_facts(
             "is_domestic": flag_measure(F.col("domestic")),
         }
     ).withColumnRenamed("id", "crime_id")
+    base = df  # keys as they are before any join
 
     # Two roles of one calendar; a day outside it is the unknown day.
     for role, source in {
@@ -260,16 +269,20 @@ def incident_facts(
         observed = materialize(
             hourly_weather(weather).select(*hour.values(), *measures), "weather"
         )
-        df = left_lookup(df, observed, hour, {m: m for m in measures})
+        df = left_lookup(df, observed, hour, {m: m for m in measures}, probe=base)
     df = left_lookup(
         df,
         dims["dim_weather"],
         hour,
         {"weather_key": "weather_key"},
         defaults={"weather_key": NOT_APPLICABLE_KEY},
+        probe=base,
     )
-    df = asof_key(df, dims["dim_location"], schemas.LOCATION, "occurrence_date")
-    df = asof_key(df, dims["dim_crime_type"], schemas.INCIDENT_TYPE, "occurrence_date")
+    for name, spec in (
+        ("dim_location", schemas.LOCATION),
+        ("dim_crime_type", schemas.INCIDENT_TYPE),
+    ):
+        df = asof_key(df, dims[name], spec, "occurrence_date", probe=base)
     df = left_lookup(
         df,
         dims["dim_crime_flags"],
@@ -282,6 +295,65 @@ def incident_facts(
     return df.select(*names)
 
 
+CHARGES = (1, 2, 3, 4)  # fixed value: an arrest lists up to four charges
+
+
+def arrest_charges(arrests: DataFrame) -> DataFrame:
+    """One row per arrest and charge, with its position."""
+    fields = {"iucr": "type", "charge_class": "class", "charge_statute": "statute"}
+    groups = [{f: f"charge_{i}_{c}" for f, c in fields.items()} for i in CHARGES]
+    rows = bridge_from_columns(arrests, "cb_no", groups, "iucr")
+    return rows.withColumnRenamed("position", "charge_position")
+
+
+def arrest_facts(
+    arrests: DataFrame, charges: DataFrame, dims: Mapping[str, DataFrame]
+) -> DataFrame:
+    """One fact per arrest: constant 1 and the number of its charges."""
+    people = {n: n for n in PERSON.names}
+    df = conform(arrests, ARREST).withColumns(
+        {
+            "_arrested": date_key(F.col("arrest_date")),
+            "arrest_time_key": hour_key(F.col("arrest_date")),
+            "arrest_count": F.lit(1).cast("smallint"),
+        }
+    )
+    base = df
+    df = left_lookup(
+        df,
+        dims["dim_date"],
+        {"_arrested": "date_key"},
+        {"date_key": "arrest_date_key"},
+        defaults={"arrest_date_key": UNKNOWN_KEY},
+        bounded=True,
+    )
+    df = left_lookup(
+        df,
+        dims["dim_arrestee"],
+        people,
+        {"arrestee_key": "arrestee_key"},
+        null_safe=True,
+        probe=base,
+    )
+    df = count_members(df, charges, "cb_no", "charge_count")
+    return df.select(*schemas.CONTRACTS["fact_arrest"].schema.names[1:])
+
+
+def charge_bridge(
+    charges: DataFrame, facts: DataFrame, arrests: DataFrame, dims: Mapping[str, DataFrame]
+) -> DataFrame:
+    """Charges with the arrest's surrogate and the code's version on the arrest day.
+
+    Arrest numbers are unique, so these joins have no hot key.
+    """
+    days = conform(arrests, ARREST).select("cb_no", F.to_date("arrest_date").alias("_day"))
+    known = facts.select("cb_no", "arrest_pk").join(days, "cb_no")
+    rows = charges.join(known, "cb_no")
+    spec = schemas.INCIDENT_TYPE
+    rows = asof_key(rows, dims["dim_crime_type"], spec, "_day")
+    return rows.select(*schemas.CONTRACTS["bridge_arrest_charge"].schema.names)
+
+
 def load_facts(
     store: TableStore,
     table: str,
@@ -300,7 +372,7 @@ def load_facts(
     n = staged.count()
     if not store.exists(table):
         numbered = assign_keys(staged, surrogate, [key])
-        store.publish(table, numbered, FACT_PARTITION)
+        store.publish(table, numbered, FACT_PARTITION, sort_by=[year_of])
         return {"upserted": n}
     current = store.read(table)
     known = current.select(key, surrogate, FACT_PARTITION)
@@ -314,10 +386,38 @@ def load_facts(
     state = scd1_upsert(base, staged, [key]).alias("s")
     state = state.join(keyed.withColumnRenamed(surrogate, "_fresh"), key, "left")
     state = state.withColumn(surrogate, F.coalesce(surrogate, "_fresh"))
-    store.publish(table, state.select(*current.columns), FACT_PARTITION, years)
+    state = state.select(*current.columns)
+    store.publish(table, state, FACT_PARTITION, years, [year_of])
     return {"upserted": n}
 
 
+def load_arrests(
+    store: TableStore, arrests: DataFrame | None, dims: Mapping[str, DataFrame]
+) -> dict[str, dict[str, int]]:
+    """The second fact and its bridge; without the source both stay empty."""
+    names = ("fact_arrest", "bridge_arrest_charge")
+    if arrests is None:
+        for table in names:
+            if not store.exists(table):
+                store.publish(table, empty(store.spark, schemas.CONTRACTS[table].schema))
+        return {table: {"skipped": 1} for table in names}
+    charges = materialize(arrest_charges(arrests), "charges")
+    facts = arrest_facts(arrests, charges, dims)
+    counts = load_facts(
+        store, "fact_arrest", facts, "arrest_pk", "cb_no", "arrest_date_key"
+    )
+    published = store.read("fact_arrest")
+    fresh = charge_bridge(charges, published, arrests, dims)
+    if store.exists(names[1]):
+        # An arrest's charges are replaced as a whole: a correction may list fewer.
+        loaded = published.join(arrests.select("cb_no"), "cb_no", "left_semi")
+        old = store.read(names[1])
+        kept = old.join(loaded.select("arrest_pk"), "arrest_pk", "left_anti")
+        fresh = kept.select(*old.columns).unionByName(fresh)
+    bridge = store.publish(names[1], fresh)
+    return {names[0]: counts, names[1]: {"rows": bridge.count()}}
+
+
 def build_warehouse(
     store: TableStore, cleaned: Cleaned, run_date: date
 ) -> dict[str, dict[str, int]]:
@@ -353,4 +453,26 @@ def build_warehouse(
     steps["fact_crime"] = load_facts(
         store, "fact_crime", facts, "crime_pk", "crime_id", "occurrence_date_key"
     )
-    return steps
+    return steps | load_arrests(store, data.arrests, dims)
+
+
+def clean_feeds(
+    store: TableStore, landing: str, run_date: date, arrests: DataFrame | None = None
+) -> Cleaned:
+    """All landed feeds to published cleaned tables, partitioned by year.
+
+    Every run reads all landed files and publishes whole tables, so a row whose year
+    changed does not stay behind in its old partition.
+    """
+    spark = store.spark
+    cleaned = {
+        "incidents": cleaning.load_incidents(spark, landing, "incidents"),
+        "codes": cleaning.load_codes(spark, landing, "codes", run_date),
+        "areas": cleaning.load_areas(spark, landing, "areas", run_date),
+        "weather": cleaning.load_weather(spark, landing, "weather"),
+    }
+    tables = {
+        name: store.publish(f"clean_{name}", df, YEAR_COLUMN)
+        for name, df in cleaned.items()
+    }
+    return Cleaned(**tables, arrests=arrests)

@@ -9,34 +9,43 @@ from starkeep.plans.reports import incident_extract
 from starkeep.queries import feeds
 from starkeep.queries.registry import Tables, query
 from starkeep.sources.files import materialize, scratch_path
+from starkeep.sources.landing import land
 from starkeep.sources.store import TableStore
+from starkeep.sources.tables import typed_nulls, without_triage
 
 FIRST_RUN, SECOND_RUN = date(2024, 1, 10), date(2024, 1, 20)
 
 
-def cleaned(spark, folder, shift=0):
-    """Cleaned feeds; ``shift`` changes an indicator, as a later delivery would."""
-    return warehouse.Cleaned(
-        incidents=materialize(
-            cleaning.clean_incidents(feeds.incident_feed(spark, folder)), "incidents"
-        ),
-        codes=cleaning.clean_codes(feeds.code_feed(spark, folder), FIRST_RUN),
-        areas=cleaning.clean_areas(feeds.area_feed(spark, folder, shift), FIRST_RUN),
-        weather=cleaning.clean_weather(feeds.weather_feed(spark, folder)),
-    )
+def land_feeds(spark, folder):
+    """All four feeds as landed files."""
+    root = scratch_path(spark, "landing")
+    land(feeds.incident_feed(spark, folder), root, "incidents", FIRST_RUN)
+    land(feeds.code_feed(spark, folder), root, "codes", FIRST_RUN)
+    land(feeds.area_feed(spark, folder), root, "areas", FIRST_RUN)
+    weather = feeds.weather_feed(spark, folder)
+    land(weather, root, "weather", FIRST_RUN, "json", maxRecordsPerFile=1)
+    return root
 
 
 def build(spark, folder):
-    """Two runs; the second brings changed indicators, so every place gets a version."""
+    """Two runs from raw files to facts.
+
+    Between them new area indicators land, so every place gets a second version.
+    """
     store = TableStore(spark, scratch_path(spark, "warehouse"))
-    data = cleaned(spark, folder)
-    warehouse.build_warehouse(store, data, FIRST_RUN)
-    later = cleaning.clean_areas(feeds.area_feed(spark, folder, 1), FIRST_RUN)
-    later = warehouse.Cleaned(data.incidents, data.codes, later, data.weather)
-    warehouse.build_warehouse(store, later, SECOND_RUN)
+    root = land_feeds(spark, folder)
+    warehouse.build_warehouse(store, warehouse.clean_feeds(store, root, FIRST_RUN), FIRST_RUN)
+    land(feeds.area_feed(spark, folder, 1), root, "areas", SECOND_RUN)
+    again = warehouse.clean_feeds(store, root, SECOND_RUN)
+    warehouse.build_warehouse(store, again, SECOND_RUN)
     return store
 
 
+def clean_incidents(spark, folder):
+    clean = cleaning.clean_incidents(feeds.incident_feed(spark, folder))
+    return materialize(without_triage(clean), "incidents")
+
+
 # Places of the second run get their versions from SECOND_RUN on; first-run keys are
 # numbered before second-run keys.
 STAR_SQL = f"""
@@ -169,7 +178,7 @@ SELECT 0, NULL, NULL, NULL, NULL, NULL, 'Unknown', NULL, NULL, NULL, NULL, NULL,
 def warehouse_locations(spark, folder):
     """The versioned place dimension after two runs, with its unknown member."""
     store = TableStore(spark, scratch_path(spark, "warehouse"))
-    incidents = cleaned(spark, folder).ready().incidents
+    incidents = clean_incidents(spark, folder)
     for shift, run_date in ((0, FIRST_RUN), (1, SECOND_RUN)):
         areas = cleaning.clean_areas(feeds.area_feed(spark, folder, shift), FIRST_RUN)
         warehouse.load_versioned(
@@ -196,9 +205,9 @@ LEFT JOIN codes USING (iucr)
 """)
 def warehouse_types(spark, folder):
     """The code dimension's incoming rows."""
-    data = cleaned(spark, folder).ready()
-    codes = materialize(data.codes, "codes")
-    return warehouse.incoming_types(data.incidents, codes)
+    codes = cleaning.clean_codes(feeds.code_feed(spark, folder), FIRST_RUN)
+    incidents = clean_incidents(spark, folder)
+    return warehouse.incoming_types(incidents, materialize(codes, "codes"))
 
 
 @query(f"""
@@ -230,3 +239,88 @@ def warehouse_people(spark, folder):
     for _ in range(2):  # the second load changes nothing
         warehouse.load_arrestees(store, people)
     return store.read("dim_arrestee")
+
+
+def arrest_feed(spark, folder):
+    """Every order as an arrest, its first four lines as charges."""
+    t = Tables(spark, folder)
+    code = F.lpad((F.col("l_partkey") % 120).cast("string"), 4, "0")
+    columns = []
+    for i in warehouse.CHARGES:
+        line = F.col("l_linenumber") == i
+        columns += [
+            F.max(F.when(line, code)).alias(f"charge_{i}_type"),
+            F.max(F.when(line, F.col("l_returnflag"))).alias(f"charge_{i}_class"),
+            F.max(F.when(line, F.col("l_linestatus"))).alias(f"charge_{i}_statute"),
+        ]
+    charges = t.lineitem.groupBy("l_orderkey").agg(*columns)
+    orders = t.orders.select(
+        F.col("o_orderkey").alias("cb_no"),
+        F.concat(F.lit("C"), "o_orderkey").alias("case_number"),
+        (F.col("o_orderdate") + F.expr("INTERVAL '9000' DAY")).alias("arrest_date"),
+        F.col("o_orderpriority").alias("race"),
+    )
+    return orders.join(charges, F.col("cb_no") == F.col("l_orderkey"), "left")
+
+
+ARRESTS_SQL = """
+    people AS (
+        SELECT row_number() OVER (ORDER BY race) AS arrestee_key, race
+        FROM (SELECT DISTINCT o_orderpriority AS race FROM orders) AS p),
+    codes AS (
+        SELECT row_number() OVER (ORDER BY iucr) AS crime_type_key, iucr FROM (
+            SELECT DISTINCT lpad(CAST(p_partkey % 100 AS VARCHAR), 4, '0') AS iucr
+            FROM part) AS c),
+    charges AS (
+        SELECT l_orderkey AS cb_no, CAST(l_linenumber AS SMALLINT) AS charge_position,
+            max(lpad(CAST(l_partkey % 120 AS VARCHAR), 4, '0')) AS iucr,
+            max(l_returnflag) AS charge_class, max(l_linestatus) AS charge_statute
+        FROM lineitem WHERE l_linenumber <= 4 GROUP BY 1, 2),
+    arrests AS (
+        SELECT row_number() OVER (ORDER BY o_orderkey) AS arrest_pk,
+            o_orderkey AS cb_no, 'C' || o_orderkey AS case_number,
+            CAST(CASE WHEN year(d) BETWEEN 2018 AND 2030 THEN strftime(d, '%Y%m%d')
+                ELSE '0' END AS INTEGER) AS arrest_date_key,
+            CAST(hour(d) AS SMALLINT) AS arrest_time_key, arrestee_key,
+            CAST(1 AS SMALLINT) AS arrest_count,
+            CAST((SELECT count(*) FROM charges WHERE charges.cb_no = o_orderkey)
+                AS SMALLINT) AS charge_count
+        FROM (SELECT *, o_orderdate + INTERVAL 9000 DAY AS d FROM orders) AS o
+        JOIN people ON race = o_orderpriority)"""
+
+
+def build_arrests(spark, folder):
+    store = TableStore(spark, scratch_path(spark, "warehouse"))
+    warehouse.seed(store)
+    part = F.lpad((F.col("p_partkey") % 100).cast("string"), 4, "0")
+    codes = Tables(spark, folder).part.select(part.alias("iucr")).distinct()
+    spec = schemas.INCIDENT_TYPE
+    types = {n: "string" for n in spec.tracked[:-1]}
+    codes = typed_nulls(codes, types).withColumn("active", F.lit(True))
+    warehouse.load_versioned(
+        store, "dim_crime_type", spec, schemas.UNKNOWN_TYPE, codes, FIRST_RUN
+    )
+    arrests = materialize(arrest_feed(spark, folder), "arrests")
+    warehouse.load_arrestees(store, arrests)
+    dims = {n: store.read(n) for n in ("dim_crime_type", "dim_arrestee", "dim_date")}
+    for _ in range(2):  # the second load changes nothing
+        warehouse.load_arrests(store, arrests, dims)
+    return store
+
+
+@query(f"WITH {ARRESTS_SQL} SELECT * FROM arrests")
+def warehouse_arrests(spark, folder):
+    """The second fact: people, days outside the calendar, number of charges."""
+    columns = schemas.CONTRACTS["fact_arrest"].schema.names
+    return build_arrests(spark, folder).read("fact_arrest").select(*columns)
+
+
+@query(f"""
+WITH {ARRESTS_SQL}
+SELECT arrest_pk, coalesce(crime_type_key, 0) AS crime_type_key, charge_position,
+    charge_class, charge_statute
+FROM charges JOIN arrests USING (cb_no) LEFT JOIN codes ON codes.iucr = charges.iucr
+""")
+def warehouse_charges(spark, folder):
+    """The bridge from arrests to codes."""
+    return build_arrests(spark, folder).read("bridge_arrest_charge")

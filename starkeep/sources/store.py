@@ -8,7 +8,7 @@ mix, and a plan that reads the table may be published to it. One writer per tabl
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,17 +53,25 @@ class TableStore:
         df: DataFrame,
         partition_by: str | None = None,
         replacing: Iterable | None = None,
+        sort_by: Sequence[str] = (),
     ) -> DataFrame:
         """Make ``df`` the table's state and return the published table.
 
         With ``replacing`` (values of ``partition_by``) only those partitions change:
         they become what ``df`` holds of them, the other partitions keep their files.
+
+        Rows of one partition value are brought together before the write, in several
+        tasks where they are many, so neither many small files nor one huge task arises.
         """
         load = uuid.uuid4().hex
         base = self._folder(table)
         layout = [partition_by, LOAD] if partition_by else [LOAD]
+        rows = df.hint("rebalance", partition_by) if partition_by else df
+        if sort_by:
+            prefix = [partition_by] if partition_by else []
+            rows = rows.sortWithinPartitions(*prefix, *sort_by)
         (
-            df.withColumn(LOAD, F.lit(load))
+            rows.withColumn(LOAD, F.lit(load))
             .write.mode("append")
             .partitionBy(*layout)
             .parquet(base)

@@ -34,7 +34,8 @@ def newest_snapshot(df: DataFrame) -> DataFrame:
 def write_cleaned(df: DataFrame, path: str) -> None:
     """Replace only the year partitions that occur in ``df``."""
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", YEAR_COLUMN)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy(YEAR_COLUMN)
