@@ -10,37 +10,77 @@ from starkeep.operators.quality import Contract
 from starkeep.operators.scd import OPEN_END, OPEN_START, VersionSpec
 
 
-def schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+def table(required: str = "", **types: str) -> T.StructType:
+    """Columns in order with their types; ``required`` names those that are never NULL."""
+    schema = T.StructType()
+    for name, type_name in types.items():
+        schema.add(name, type_name, name not in required.split())
+    return schema
 
 
 # Cleaned tables.
 
-INCIDENTS = schema("""
-    id BIGINT, case_number STRING, date TIMESTAMP_NTZ, block STRING, iucr STRING,
-    primary_type STRING, description STRING, location_description STRING,
-    arrest BOOLEAN, domestic BOOLEAN, beat STRING, district STRING, ward SMALLINT,
-    community_area SMALLINT, fbi_code STRING, source_year SMALLINT,
-    updated_on TIMESTAMP_NTZ, latitude DECIMAL(9,6), longitude DECIMAL(9,6),
-    _ingest_year SMALLINT NOT NULL""")
-
-CODES = schema("""
-    iucr STRING NOT NULL, primary_description STRING, secondary_description STRING,
-    index_code STRING, active BOOLEAN, _ingest_year SMALLINT NOT NULL""")
-
-AREAS = schema("""
-    community_area SMALLINT NOT NULL, community_area_name STRING,
-    pct_housing_crowded DECIMAL(5,2), pct_below_poverty DECIMAL(5,2),
-    pct_unemployed_16plus DECIMAL(5,2), pct_no_hs_25plus DECIMAL(5,2),
-    pct_under18_or_over64 DECIMAL(5,2), per_capita_income_usd INT,
-    hardship_index SMALLINT, _ingest_year SMALLINT NOT NULL""")
-
-WEATHER = schema("""
-    obs_time TIMESTAMP_NTZ NOT NULL, temperature_celsius DECIMAL(5,2),
-    precipitation_mm DECIMAL(6,2), wind_speed_kmh DECIMAL(5,2),
-    weather_code_wmo SMALLINT, relative_humidity_pct DECIMAL(5,2),
-    weather_category STRING, temp_band STRING, precip_band STRING,
-    _ingest_year SMALLINT NOT NULL""")
+INCIDENTS = table(
+    id="long",
+    case_number="string",
+    date="timestamp_ntz",
+    block="string",
+    iucr="string",
+    primary_type="string",
+    description="string",
+    location_description="string",
+    arrest="boolean",
+    domestic="boolean",
+    beat="string",
+    district="string",
+    ward="short",
+    community_area="short",
+    fbi_code="string",
+    source_year="short",
+    updated_on="timestamp_ntz",
+    latitude="decimal(9,6)",
+    longitude="decimal(9,6)",
+    _ingest_year="short",
+    required="_ingest_year",
+)
+
+CODES = table(
+    iucr="string",
+    primary_description="string",
+    secondary_description="string",
+    index_code="string",
+    active="boolean",
+    _ingest_year="short",
+    required="iucr _ingest_year",
+)
+
+AREAS = table(
+    community_area="short",
+    community_area_name="string",
+    pct_housing_crowded="decimal(5,2)",
+    pct_below_poverty="decimal(5,2)",
+    pct_unemployed_16plus="decimal(5,2)",
+    pct_no_hs_25plus="decimal(5,2)",
+    pct_under18_or_over64="decimal(5,2)",
+    per_capita_income_usd="integer",
+    hardship_index="short",
+    _ingest_year="short",
+    required="community_area _ingest_year",
+)
+
+WEATHER = table(
+    obs_time="timestamp_ntz",
+    temperature_celsius="decimal(5,2)",
+    precipitation_mm="decimal(6,2)",
+    wind_speed_kmh="decimal(5,2)",
+    weather_code_wmo="short",
+    relative_humidity_pct="decimal(5,2)",
+    weather_category="string",
+    temp_band="string",
+    precip_band="string",
+    _ingest_year="short",
+    required="obs_time _ingest_year",
+)
 
 # Area feed: header names to ours.
 AREA_NAMES = {
@@ -54,11 +94,21 @@ AREA_NAMES = {
 }
 
 # Weather feed: one object per file, parallel arrays under "hourly".
-WEATHER_FEED = schema("""
-    hourly STRUCT<
-        time: ARRAY<STRING>, temperature_2m: ARRAY<DOUBLE>,
-        precipitation: ARRAY<DOUBLE>, wind_speed_10m: ARRAY<DOUBLE>,
-        weather_code: ARRAY<INT>, relative_humidity_2m: ARRAY<DOUBLE>>""")
+def _arrays(**types: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, T.ArrayType(t)) for n, t in types.items()])
+
+
+WEATHER_FEED = T.StructType().add(
+    "hourly",
+    _arrays(
+        time=T.StringType(),
+        temperature_2m=T.DoubleType(),
+        precipitation=T.DoubleType(),
+        wind_speed_10m=T.DoubleType(),
+        weather_code=T.IntegerType(),
+        relative_humidity_2m=T.DoubleType(),
+    ),
+)
 
 # Versioned dimensions.
 
@@ -85,91 +135,162 @@ INCIDENT_TYPE = VersionSpec(
 
 # Warehouse tables.
 
-_LIFE = """
-    scd_start_date DATE NOT NULL, scd_end_date DATE NOT NULL,
-    is_current BOOLEAN NOT NULL, scd_version SMALLINT NOT NULL,
-    scd_hash BINARY NOT NULL"""
+LIFE = {
+    "scd_start_date": "date",
+    "scd_end_date": "date",
+    "is_current": "boolean",
+    "scd_version": "short",
+    "scd_hash": "binary",
+}
+LIFE_REQUIRED = " ".join(LIFE)
 
 CONTRACTS = {
     "dim_date": Contract(
-        schema("""
-            date_key INT NOT NULL, full_date DATE NOT NULL,
-            day_of_week SMALLINT NOT NULL, day_name STRING NOT NULL,
-            is_weekend BOOLEAN NOT NULL, is_us_holiday BOOLEAN NOT NULL,
-            month_num SMALLINT NOT NULL, month_name STRING NOT NULL,
-            quarter SMALLINT NOT NULL, year SMALLINT NOT NULL,
-            iso_week SMALLINT NOT NULL"""),
+        table(
+            date_key="integer",
+            full_date="date",
+            day_of_week="short",
+            day_name="string",
+            is_weekend="boolean",
+            is_us_holiday="boolean",
+            month_num="short",
+            month_name="string",
+            quarter="short",
+            year="short",
+            iso_week="short",
+            required="date_key full_date day_of_week day_name is_weekend is_us_holiday month_num month_name quarter year iso_week",
+        ),
         (("date_key",), ("full_date",)),
     ),
     "dim_time_of_day": Contract(
-        schema("""
-            time_key SMALLINT NOT NULL, hour_24 SMALLINT NOT NULL,
-            hour_12 SMALLINT NOT NULL, am_pm STRING NOT NULL,
-            period_of_day STRING NOT NULL"""),
+        table(
+            time_key="short",
+            hour_24="short",
+            hour_12="short",
+            am_pm="string",
+            period_of_day="string",
+            required="time_key hour_24 hour_12 am_pm period_of_day",
+        ),
         (("time_key",),),
     ),
     "dim_location": Contract(
-        schema(f"""
-            location_key BIGINT NOT NULL, community_area SMALLINT, district STRING,
-            ward SMALLINT, beat STRING, block STRING, community_area_name STRING,
-            pct_housing_crowded DECIMAL(5,2), pct_below_poverty DECIMAL(5,2),
-            pct_unemployed_16plus DECIMAL(5,2), pct_no_hs_25plus DECIMAL(5,2),
-            pct_under18_or_over64 DECIMAL(5,2), per_capita_income_usd INT,
-            hardship_index SMALLINT, {_LIFE}"""),
+        table(
+            location_key="long",
+            community_area="short",
+            district="string",
+            ward="short",
+            beat="string",
+            block="string",
+            community_area_name="string",
+            pct_housing_crowded="decimal(5,2)",
+            pct_below_poverty="decimal(5,2)",
+            pct_unemployed_16plus="decimal(5,2)",
+            pct_no_hs_25plus="decimal(5,2)",
+            pct_under18_or_over64="decimal(5,2)",
+            per_capita_income_usd="integer",
+            hardship_index="short",
+            **LIFE,
+            required=f"location_key {LIFE_REQUIRED}",
+        ),
         (
             ("location_key",),
             ("community_area", "district", "ward", "beat", "scd_start_date"),
         ),
     ),
     "dim_crime_type": Contract(
-        schema(f"""
-            crime_type_key BIGINT NOT NULL, iucr STRING NOT NULL, primary_type STRING,
-            description STRING, fbi_code STRING, index_code STRING,
-            active BOOLEAN NOT NULL, {_LIFE}"""),
+        table(
+            crime_type_key="long",
+            iucr="string",
+            primary_type="string",
+            description="string",
+            fbi_code="string",
+            index_code="string",
+            active="boolean",
+            **LIFE,
+            required=f"crime_type_key iucr active {LIFE_REQUIRED}",
+        ),
         (("crime_type_key",), ("iucr", "scd_start_date")),
     ),
     "dim_weather": Contract(
-        schema("""
-            weather_key BIGINT NOT NULL, obs_date_key INT NOT NULL,
-            obs_hour SMALLINT NOT NULL, weather_code_wmo SMALLINT,
-            weather_category STRING, temp_band STRING, precip_band STRING"""),
+        table(
+            weather_key="long",
+            obs_date_key="integer",
+            obs_hour="short",
+            weather_code_wmo="short",
+            weather_category="string",
+            temp_band="string",
+            precip_band="string",
+            required="weather_key obs_date_key obs_hour",
+        ),
         (("weather_key",), ("obs_date_key", "obs_hour")),
     ),
     "dim_crime_flags": Contract(
-        schema("""
-            flags_key SMALLINT NOT NULL, is_arrest BOOLEAN, is_domestic BOOLEAN,
-            label STRING NOT NULL"""),
+        table(
+            flags_key="short",
+            is_arrest="boolean",
+            is_domestic="boolean",
+            label="string",
+            required="flags_key label",
+        ),
         (("flags_key",),),
     ),
     "dim_arrestee": Contract(
-        schema("arrestee_key BIGINT NOT NULL, race STRING, age_band STRING, sex STRING"),
+        table(
+            arrestee_key="long",
+            race="string",
+            age_band="string",
+            sex="string",
+            required="arrestee_key",
+        ),
         (("arrestee_key",),),
     ),
     "fact_crime": Contract(
-        schema("""
-            crime_pk BIGINT NOT NULL, crime_id BIGINT NOT NULL, case_number STRING,
-            occurrence_date_key INT NOT NULL, occurrence_time_key SMALLINT NOT NULL,
-            report_date_key INT NOT NULL, location_key BIGINT NOT NULL,
-            crime_type_key BIGINT NOT NULL, weather_key BIGINT NOT NULL,
-            flags_key SMALLINT NOT NULL, incident_count SMALLINT NOT NULL,
-            is_arrest SMALLINT NOT NULL, is_domestic SMALLINT NOT NULL,
-            hours_to_update INT, latitude DECIMAL(9,6), longitude DECIMAL(9,6),
-            temperature_celsius DECIMAL(5,2), precipitation_mm DECIMAL(6,2)"""),
+        table(
+            crime_pk="long",
+            crime_id="long",
+            case_number="string",
+            occurrence_date_key="integer",
+            occurrence_time_key="short",
+            report_date_key="integer",
+            location_key="long",
+            crime_type_key="long",
+            weather_key="long",
+            flags_key="short",
+            incident_count="short",
+            is_arrest="short",
+            is_domestic="short",
+            hours_to_update="integer",
+            latitude="decimal(9,6)",
+            longitude="decimal(9,6)",
+            temperature_celsius="decimal(5,2)",
+            precipitation_mm="decimal(6,2)",
+            required="crime_pk crime_id occurrence_date_key occurrence_time_key report_date_key location_key crime_type_key weather_key flags_key incident_count is_arrest is_domestic",
+        ),
         (("crime_pk",), ("crime_id",)),
     ),
     "fact_arrest": Contract(
-        schema("""
-            arrest_pk BIGINT NOT NULL, cb_no BIGINT NOT NULL, case_number STRING,
-            arrest_date_key INT NOT NULL, arrest_time_key SMALLINT NOT NULL,
-            arrestee_key BIGINT, arrest_count SMALLINT NOT NULL,
-            charge_count SMALLINT NOT NULL"""),
+        table(
+            arrest_pk="long",
+            cb_no="long",
+            case_number="string",
+            arrest_date_key="integer",
+            arrest_time_key="short",
+            arrestee_key="long",
+            arrest_count="short",
+            charge_count="short",
+            required="arrest_pk cb_no arrest_date_key arrest_time_key arrest_count charge_count",
+        ),
         (("arrest_pk",), ("cb_no",)),
     ),
     "bridge_arrest_charge": Contract(
-        schema("""
-            arrest_pk BIGINT NOT NULL, crime_type_key BIGINT NOT NULL,
-            charge_position SMALLINT NOT NULL, charge_class STRING,
-            charge_statute STRING"""),
+        table(
+            arrest_pk="long",
+            crime_type_key="long",
+            charge_position="short",
+            charge_class="string",
+            charge_statute="string",
+            required="arrest_pk crime_type_key charge_position",
+        ),
         (("arrest_pk", "charge_position"),),
     ),
 }

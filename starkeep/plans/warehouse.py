@@ -44,10 +44,10 @@ from starkeep.sources.tables import YEAR_COLUMN, newest_snapshot, without_triage
 FACT_PARTITION = "fact_year"
 
 # What the arrest feed may hold of a person, and an arrest's own columns.
-PERSON = schemas.schema("race STRING, age_band STRING, sex STRING")
-ARREST = schemas.schema(
-    "cb_no BIGINT, case_number STRING, arrest_date TIMESTAMP_NTZ, race STRING,"
-    "age_band STRING, sex STRING"
+_PERSON = {"race": "string", "age_band": "string", "sex": "string"}
+PERSON = schemas.table(**_PERSON)
+ARREST = schemas.table(
+    cb_no="long", case_number="string", arrest_date="timestamp_ntz", **_PERSON
 )
 
 

@@ -13,7 +13,7 @@ from starkeep.functions.parsing import (
 from starkeep.functions.keys import partition_year
 from starkeep.operators.shaping import conform, rename_present, tag_columns
 from starkeep.plans import cleaning
-from starkeep.plans.schemas import schema
+from starkeep.plans.schemas import table
 from starkeep.queries import feeds
 from starkeep.queries.registry import Tables, query
 from starkeep.sources.files import scratch_path
@@ -140,8 +140,11 @@ def conformed_columns(spark, folder):
     named = rename_present(snake_columns(untidy), {"total_price": "total", "absent": "x"})
     named = named.withColumn("total", F.floor("total"))
     named = named.drop("order_date", "never_there")
-    target = schema(
-        "order_key BIGINT, cust_key BIGINT, order_status STRING, remark STRING,"
-        "total BIGINT"
+    target = table(
+        order_key="long",
+        cust_key="long",
+        order_status="string",
+        remark="string",
+        total="long",
     )
     return tag_columns(conform(named, target), {"total": {"role": "measure"}})

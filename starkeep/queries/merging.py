@@ -3,7 +3,6 @@
 from datetime import date
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starkeep.functions.keys import date_key
 from starkeep.operators import bridge as B
@@ -19,6 +18,7 @@ from starkeep.operators.scd import (
     spread_attribute,
 )
 from starkeep.operators.surrogate import assign_keys, fill_keys
+from starkeep.plans.schemas import LIFE, table
 from starkeep.queries.registry import Tables, query
 
 
@@ -26,9 +26,7 @@ USERS = VersionSpec(surrogate="user_key", keys=("user_id",), tracked=("event_typ
 SECOND_HALF = date(2024, 1, 16)
 FIRST_RUN, SECOND_RUN = date(2024, 1, 15), date(2024, 1, 30)
 
-USERS_SCHEMA = T.StructType.fromDDL("""
-    user_key BIGINT, user_id BIGINT, event_type STRING, scd_start_date DATE,
-    scd_end_date DATE, is_current BOOLEAN, scd_version SMALLINT, scd_hash BINARY""")
+USERS_SCHEMA = table(user_key="long", user_id="long", event_type="string", **LIFE)
 
 
 def last_per(events, *keys):

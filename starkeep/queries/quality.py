@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from starkeep.operators import quality as Q
 from starkeep.operators.quality import Contract
 from starkeep.plans import cleaning
-from starkeep.plans.schemas import schema
+from starkeep.plans.schemas import table
 from starkeep.queries import feeds
 from starkeep.queries.merging import HISTORY_SQL, USERS, user_history
 from starkeep.queries.registry import Tables, query
@@ -59,7 +59,11 @@ def contract_check(spark, folder):
     orders = Tables(spark, folder).orders
     priority = F.nullif("o_orderpriority", F.lit("5-LOW"))
     contract = Contract(
-        schema("o_orderkey BIGINT NOT NULL, o_orderpriority STRING NOT NULL"),
+        table(
+            required="o_orderkey o_orderpriority",
+            o_orderkey="long",
+            o_orderpriority="string",
+        ),
         (("o_custkey", "o_orderdate"),),
     )
     return Q.contract_violations(orders.withColumn("o_orderpriority", priority), contract)
