@@ -7,6 +7,8 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starkeep.sources.files import materialize
+
 BROADCAST_ROWS = 100_000
 HOT_SHARE = 1000  # a key with more than one row in this many is hot: under 1000 keys
 
@@ -69,10 +71,13 @@ def left_lookup(
 
 
 def hot_keys(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that hold more than a thousandth of all rows, so fewer than a thousand."""
+    """Keys that hold more than a thousandth of all rows, so fewer than a thousand.
+
+    Counted once and written, because both sides of the join use them.
+    """
+    least = facts.count() / HOT_SHARE
     counts = facts.groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.filter(F.col("_n") > total / HOT_SHARE).select(*keys)
+    return materialize(counts.filter(F.col("_n") > least).select(*keys), "hot-keys")
 
 
 def _salted_join(

@@ -237,6 +237,20 @@ def scd1_upsert(
     return joined.select(*[value(c).cast(types[c]).alias(c) for c in target.columns])
 
 
+def changed_rows(
+    target: DataFrame, incoming: DataFrame, keys: Sequence[str]
+) -> DataFrame:
+    """Incoming rows that are new or differ from the target's row of the same key."""
+    columns = [c for c in incoming.columns if c not in keys]
+    old = target.select(
+        *[F.col(k).alias(f"_{k}") for k in keys], F.struct(*columns).alias("_old")
+    )
+    same = [incoming[k].eqNullSafe(old[f"_{k}"]) for k in keys]
+    joined = incoming.join(old, reduce(and_, same), "left")
+    equal = F.struct(*columns).eqNullSafe(F.col("_old"))
+    return joined.filter(~equal).select(*incoming.columns)
+
+
 def spread_attribute(
     dimension: DataFrame, source: DataFrame, on: str, column: str
 ) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from starkeep.functions.keys import day
 from starkeep.operators.filters import complete
+from starkeep.sources.files import materialize
 
 # The window that open validity dates are clamped to in the extract.
 CLAMP_FIRST = date(1900, 1, 1)
@@ -167,9 +168,13 @@ def monthly_trend(
 
 
 def category_share(df: DataFrame, category: str, measure: str) -> DataFrame:
-    """Each category's sum and its share of the whole."""
-    sums = summarise(df, [category], {"amount": measure})
-    whole = df.agg(F.sum(measure)).scalar()
+    """Each category's sum and its share of the whole.
+
+    The sums are written once, so that the whole is added up from them and not from a
+    second pass over the facts.
+    """
+    sums = materialize(summarise(df, [category], {"amount": measure}), "sums")
+    whole = sums.agg(F.sum("amount")).scalar()
     share = F.try_divide(F.col("amount").cast("double"), whole.cast("double"))
     return sums.withColumn("share", share)
 

@@ -28,6 +28,7 @@ from starkeep.operators.joins import enrich, left_lookup
 from starkeep.operators.scd import (
     VersionSpec,
     change_counts,
+    changed_rows,
     scd0_insert,
     scd1_upsert,
     scd2_merge,
@@ -362,19 +363,23 @@ def load_facts(
     key: str,
     year_of: str,
 ) -> dict[str, int]:
-    """Upsert by natural key; only year partitions that are touched are rewritten.
+    """Upsert by natural key; known facts keep their surrogate.
 
-    Touched are the years of the incoming rows and the years where their older copies
-    lie (a corrected date moves a fact). Known facts keep their surrogate.
+    Only new and changed facts are merged, and only the years they touch are rewritten:
+    the years of the incoming rows and those where their older copies lie (a corrected
+    date moves a fact). A repeated load writes nothing.
     """
     year = (F.col(year_of) / 10000).cast("int")
-    staged = materialize(facts.withColumn(FACT_PARTITION, year), table)
-    n = staged.count()
+    incoming = facts.withColumn(FACT_PARTITION, year)
     if not store.exists(table):
-        numbered = assign_keys(staged, surrogate, [key])
-        store.publish(table, numbered, FACT_PARTITION, sort_by=[year_of])
-        return {"upserted": n}
+        numbered = assign_keys(incoming, surrogate, [key])
+        published = store.publish(table, numbered, FACT_PARTITION, sort_by=[year_of])
+        return {"upserted": published.count()}
     current = store.read(table)
+    staged = materialize(changed_rows(current, incoming, [key]), table)
+    n = staged.count()
+    if n == 0:
+        return {"upserted": 0}
     known = current.select(key, surrogate, FACT_PARTITION)
     moved = known.join(staged.select(key), key, "left_semi").select(FACT_PARTITION)
     touched = staged.select(FACT_PARTITION).union(moved).distinct()

@@ -46,6 +46,11 @@ def replace_text(spark: SparkSession, uri: str, text: str) -> None:
     context.rename(aside, target, options)
 
 
+def delete(spark: SparkSession, uri: str) -> None:
+    path, fs = _path(spark, uri)
+    fs.delete(path, True)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 

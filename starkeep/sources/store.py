@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starkeep.sources.files import glob, read_text, replace_text
+from starkeep.sources.files import delete, glob, read_text, replace_text
 
 LOAD = "_load"
 
@@ -90,6 +90,18 @@ class TableStore:
         replace_text(self.spark, f"{base}/_current.json", json.dumps(pointer))
         return self.read(table)
 
+    def drop_old_loads(self, table: str) -> int:
+        """Delete folders the pointer does not name; how many. Not while others read."""
+        pointer = self._pointer(table)
+        base = self._folder(table)
+        layout = [f"{pointer['partition_by']}=*"] if pointer["partition_by"] else []
+        found = glob(self.spark, "/".join([base, *layout, f"{LOAD}=*"]))
+        current = tuple(f"/{folder}" for folder in pointer["folders"].values())
+        old = [path for path in found if not path.endswith(current)]
+        for path in old:
+            delete(self.spark, path)
+        return len(old)
+
     def _written(self, base: str, load: str, partition_by: str | None) -> dict[str, str]:
         """Folders of one load by partition value."""
         leaf = f"{LOAD}={load}"

@@ -43,6 +43,18 @@ def test_partitions_are_replaced_alone(spark, store):
     assert {f for f in got.inputFiles() if "year=2023" in f} == files
 
 
+def test_old_loads_are_dropped_on_request(spark, store):
+    schema = "id int, year int"
+    for name, by in (("plain", None), ("parts", "year")):
+        store.publish(name, spark.createDataFrame([(1, 2023), (2, 2024)], schema), by)
+        again = spark.createDataFrame([(3, 2024)], schema)
+        store.publish(name, again, by, replacing=[2024] if by else None)
+        expected = sorted(map(tuple, store.read(name).collect()))
+        assert store.drop_old_loads(name) == 1
+        assert store.drop_old_loads(name) == 0
+        assert sorted(map(tuple, store.read(name).collect())) == expected
+
+
 def test_empty_table(spark, store):
     df = spark.createDataFrame([], "id int, year int")
     for name, by in (("plain", None), ("parts", "year")):
@@ -70,9 +82,10 @@ def test_fact_upsert(store):
     assert load(store, (1, 20230101, 1), (2, 20240101, 1)) == {"upserted": 2}
     first = state(store)
     assert first == [(1, 1, 20230101, 1), (2, 2, 20240101, 1)]
-    load(store, (1, 20230101, 1), (2, 20240101, 1))
-    assert state(store) == first  # idempotent
-    load(store, (2, 20240101, 5), (3, 0, 1))
+    files = store.read("f").inputFiles()
+    assert load(store, (1, 20230101, 1), (2, 20240101, 1)) == {"upserted": 0}
+    assert state(store) == first and store.read("f").inputFiles() == files
+    assert load(store, (1, 20230101, 1), (2, 20240101, 5), (3, 0, 1)) == {"upserted": 2}
     assert state(store) == [(1, 1, 20230101, 1), (2, 2, 20240101, 5), (3, 3, 0, 1)]
     load(store, (2, 20230202, 5))  # the corrected date moves the fact to another year
     assert state(store) == [(1, 1, 20230101, 1), (2, 2, 20230202, 5), (3, 3, 0, 1)]
