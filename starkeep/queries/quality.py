@@ -128,7 +128,7 @@ WHERE ts >= TIMESTAMP '2024-01-19 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00
 def lookback_day(spark, folder):
     """The day eight days before now, in the source's time zone."""
     now = datetime(2024, 1, 28, 3, 0, tzinfo=timezone.utc)  # still the 27th there
-    day = resolve_range(now=now, zone="America/Chicago")
+    day = resolve_range(now=now, zone="America/New_York")
     return slice_days(Tables(spark, folder).events.select("event_id", "ts"), "ts", day)
 
 

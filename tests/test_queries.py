@@ -1,11 +1,24 @@
+import functools
+
 import pytest
 
 import __spark_entry__ as entry
 from compare import differences
+from starkeep.queries import building
 
 FOLDER = "/root/testdata/sf0.001"
 
 
+@pytest.fixture(scope="module", autouse=True)
+def build_once():
+    """Queries over the same warehouse share one build here."""
+    patch = pytest.MonkeyPatch()
+    for name in ("build", "build_arrests"):
+        patch.setattr(building, name, functools.cache(getattr(building, name)))
+    yield
+    patch.undo()
+
+
 def test_every_query_has_its_sql():
     assert set(entry.queries()) == set(entry.oracle_sql())
 

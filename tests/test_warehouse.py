@@ -13,7 +13,12 @@ from starkeep.operators.quality import (
 from starkeep.operators.shaping import conform
 from starkeep.plans import schemas
 from starkeep.plans.reports import incident_extract
-from starkeep.plans.warehouse import Cleaned, build_warehouse
+from starkeep.plans.warehouse import (
+    Cleaned,
+    build_warehouse,
+    incoming_locations,
+    load_versioned,
+)
 from starkeep.sources.store import TableStore
 
 FIRST, SECOND = date(2024, 3, 1), date(2024, 6, 1)
@@ -91,7 +96,7 @@ def check_gates(store):
     assert version_faults(tables["dim_crime_type"], schemas.INCIDENT_TYPE).count() == 0
 
 
-def test_optional_sources_may_be_missing(spark, store):
+def test_without_optional_sources(spark, store):
     counts = build_warehouse(store, Cleaned(incidents(spark)), FIRST)
     assert counts["dim_weather"] == {"skipped": 1}
     assert counts["dim_arrestee"] == {"skipped": 1}
@@ -115,10 +120,31 @@ def test_optional_sources_may_be_missing(spark, store):
     assert types["0110"].active is True and types["UNKN"].active is False
     check_gates(store)
 
+    # A corrected date moves a fact to another year, one fact is new.
+    corrected = incidents(spark).filter("id <> 2").unionByName(
+        incidents(spark, dict(id=2, date=datetime(2023, 5, 1)),
+                  dict(id=9, date=datetime(2024, 2, 1))).filter("arrest and id in (2, 9)")
+    )
+    counts = build_warehouse(store, Cleaned(corrected), SECOND)
+    assert counts["fact_crime"] == {"upserted": 2}
+    after = facts(store)
+    assert after[2].occurrence_date_key == 20230501
+    assert {i: r.crime_pk for i, r in after.items() if i != 9} == {
+        i: r.crime_pk for i, r in got.items()
+    }
+    assert after[9].crime_pk == 5
+
 
-def test_second_run_without_changes_publishes_nothing(spark, store):
-    data = Cleaned(incidents(spark), areas=areas(spark), weather=weather(spark))
+def test_with_all_sources(spark, store):
+    rain = weather(spark)
+    data = Cleaned(incidents(spark), areas=areas(spark), weather=rain)
     build_warehouse(store, data, FIRST)
+    got = facts(store)
+    assert got[1].weather_key == got[4].weather_key == 1
+    assert got[1].temperature_celsius == Decimal("21.50")
+    check_extract({n: store.read(n) for n in schemas.CONTRACTS})
+
+    # The same again: nothing is published.
     names = ("dim_location", "dim_crime_type", "fact_crime")
     before = {n: store.read(n).inputFiles() for n in names}
     counts = build_warehouse(store, data, SECOND)
@@ -126,77 +152,46 @@ def test_second_run_without_changes_publishes_nothing(spark, store):
     assert counts["fact_crime"] == {"upserted": 0}
     assert counts["dim_weather"] == {"inserted": 0}
     assert {n: store.read(n).inputFiles() for n in names} == before
-    check_gates(store)
-
 
-def test_versions_and_keys_as_of_the_event(spark, store):
-    build_warehouse(store, Cleaned(incidents(spark), areas=areas(spark)), FIRST)
-    counts = build_warehouse(
-        store, Cleaned(incidents(spark), areas=areas(spark, "20.00")), SECOND
-    )
+    # New indicators make a version; an hour that is known stays as it was.
+    hot = rain.withColumn("temp_band", F.lit("Hot"))
+    data = Cleaned(incidents(spark), areas=areas(spark, "20.00"), weather=hot)
+    counts = build_warehouse(store, data, SECOND)
     assert counts["dim_location"] == {"new": 0, "changed": 1, "unchanged": 0}
     places = {r.location_key: r for r in store.read("dim_location").collect()}
     got = facts(store)
+    assert len(got) == 4
     # before, and exactly on, the day of the change
     assert places[got[1].location_key].pct_below_poverty == Decimal("10.00")
     assert places[got[2].location_key].pct_below_poverty == Decimal("20.00")
-    assert len(got) == 4
+    hours = {r.weather_key: r.temp_band for r in store.read("dim_weather").collect()}
+    assert hours == {-1: "Unavailable", 1: "Warm"}
     check_gates(store)
 
-
-def test_a_new_name_alone_reaches_all_versions(spark, store):
-    for poverty, name, day in (("10.00", "North", FIRST), ("20.00", "North", SECOND),
-                               ("20.00", "Upper North", date(2024, 7, 1))):
-        data = Cleaned(incidents(spark), areas=areas(spark, poverty, name))
-        build_warehouse(store, data, day)
+    # A new name alone reaches all versions.
+    load_versioned(
+        store,
+        "dim_location",
+        schemas.LOCATION,
+        schemas.UNKNOWN_LOCATION,
+        incoming_locations(incidents(spark), areas(spark, "20.00", "Upper North")),
+        date(2024, 7, 1),
+        spread=("community_area", "community_area_name"),
+    )
     rows = store.read("dim_location").filter("community_area = 7").collect()
     assert {(r.scd_version, r.community_area_name) for r in rows} == {
         (1, "Upper North"), (2, "Upper North"),
     }
 
 
-def test_only_the_newest_snapshot_counts(spark, store):
+def test_only_the_newest_snapshot_counts(spark):
     two = areas(spark, "10.00", year=2023).union(areas(spark, "30.00", year=2024))
-    build_warehouse(store, Cleaned(incidents(spark), areas=two), FIRST)
-    rows = store.read("dim_location").filter("community_area = 7").collect()
-    assert [r.pct_below_poverty for r in rows] == [Decimal("30.00")]
-
-
-def test_weather_is_inserted_once(spark, store):
-    data = Cleaned(incidents(spark), weather=weather(spark))
-    build_warehouse(store, data, FIRST)
-    got = facts(store)
-    assert got[1].weather_key == got[4].weather_key == 1
-    assert got[1].temperature_celsius == Decimal("21.50")
-    changed = weather(spark).withColumn("temp_band", F.lit("Hot"))
-    build_warehouse(store, Cleaned(incidents(spark), weather=changed), SECOND)
-    hours = {r.weather_key: r.temp_band for r in store.read("dim_weather").collect()}
-    assert hours == {-1: "Unavailable", 1: "Warm"}
-
-
-def test_corrections_and_additions(spark, store):
-    build_warehouse(store, Cleaned(incidents(spark)), FIRST)
-    before = facts(store)
-    corrected = incidents(spark).filter("id <> 2").unionByName(
-        incidents(spark, dict(id=2, date=datetime(2023, 5, 1)),
-                  dict(id=9, date=datetime(2024, 2, 1))).filter("arrest and id in (2, 9)")
-    )
-    counts = build_warehouse(store, Cleaned(corrected), SECOND)
-    assert counts["fact_crime"] == {"upserted": 2}
-    after = facts(store)
-    assert after[2].occurrence_date_key == 20230501
-    assert {i: r.crime_pk for i, r in after.items() if i != 9} == {
-        i: r.crime_pk for i, r in before.items()
-    }
-    assert after[9].crime_pk == 5
-    check_gates(store)
+    ready = Cleaned(incidents(spark), areas=two).ready()
+    assert [r.pct_below_poverty for r in ready.areas.collect()] == [Decimal("30.00")]
+    assert ready.incidents.filter("_ingest_year = 9999").count() == 0
 
 
-def test_extract(spark, store):
-    build_warehouse(
-        store, Cleaned(incidents(spark), areas=areas(spark), weather=weather(spark)), FIRST
-    )
-    tables = {n: store.read(n) for n in schemas.CONTRACTS}
+def check_extract(tables):
     extract = incident_extract(tables)
     assert len(extract.columns) == 41
     rows = {r.crime_id: r for r in extract.collect()}
