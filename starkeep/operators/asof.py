@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starkeep.functions.keys import UNKNOWN_KEY
-from starkeep.operators.joins import BROADCAST_ROWS, fits_broadcast, left_lookup
+from starkeep.operators.joins import BROADCAST_ROWS, left_lookup
 from starkeep.operators.scd import VersionSpec
 from starkeep.sources.files import materialize
 
+RANGE_VERSIONS = 64
+
 
 def valid_on(day: Column, start: Column, end: Column, closed: str = "left") -> Column:
     """Half-open by default; ``closed="both"`` lets the end day count as well."""
@@ -45,16 +47,17 @@ def asof_key(
     Keys match null-safely. Reserved members never match: a fact whose key is all NULL,
     or whose day lies before the first version, gets ``default``.
 
-    A small dimension is broadcast and the day range is checked on the fly. A large one
-    is resolved once per distinct (key, day), which a hot key has only as many of as
-    there are days, and the answers are looked up by equality. ``probe`` is a cheaper
+    A small dimension is broadcast and the day range is checked on the fly, which costs a
+    fact one comparison per version of its key. A large dimension, or one with many
+    versions per key, is resolved once per distinct (key, day), which a hot key has only
+    as many of as there are days, and the answers are looked up by equality. ``probe`` is a cheaper
     frame with the same keys and days, where ``facts`` is the outcome of earlier joins.
     """
     on = dict(on or {k: k for k in spec.keys})
     versions = dimension.filter(F.col(spec.surrogate) > 0).select(
         *spec.keys, spec.start, spec.end, spec.surrogate
     )
-    if fits_broadcast(versions, broadcast_rows):
+    if _few(versions, spec.keys, broadcast_rows):
         return _by_range(facts, versions, spec, on, event_date, default)
     probe = facts if probe is None else probe
     answers = materialize(_answers(probe, versions, spec, on, event_date), "answers")
@@ -70,6 +73,13 @@ def asof_key(
     )
 
 
+def _few(versions: DataFrame, keys: Sequence[str], rows: int) -> bool:
+    """At most ``rows`` versions in all and ``RANGE_VERSIONS`` of any key."""
+    sizes = versions.limit(rows + 1).groupBy(*keys).agg(F.count("*").alias("n"))
+    n, most = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.max("n")).first()
+    return n <= rows and (most or 0) <= RANGE_VERSIONS
+
+
 def _by_range(facts, versions, spec, on, event_date, default) -> DataFrame:
     same = [F.col(f"f.{a}").eqNullSafe(F.col(f"d.{b}")) for a, b in on.items()]
     inside = valid_on(

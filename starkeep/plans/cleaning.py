@@ -1,6 +1,7 @@
 """Raw feeds to typed tables. Bad values become NULL, bad rows are set aside; nothing
 is refused."""
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,9 @@ from starkeep.functions.parsing import parse_bool, parse_event_time, parse_iso_m
 from starkeep.operators.dedup import latest_or_keyless, latest_per_key
 from starkeep.operators.shaping import conform, rename_present
 from starkeep.plans import schemas
+from starkeep.sources.files import materialize
 from starkeep.sources.landing import empty, read_csv, read_json
+from starkeep.sources.store import TableStore
 from starkeep.sources.tables import YEAR_COLUMN
 
 
@@ -36,12 +39,17 @@ def clean_incidents(raw: DataFrame) -> DataFrame:
         }
     )
     df = conform(df.drop(YEAR_COLUMN), schemas.INCIDENTS)
-    newest = [F.col("updated_on").desc_nulls_last(), F.col("date").desc_nulls_last()]
-    df = latest_or_keyless(df, "id", newest)
+    df = newest_reports(df)
     year = F.when(F.col("id").isNull(), F.lit(TRIAGE_YEAR).cast("smallint"))
     return df.withColumn(YEAR_COLUMN, year.otherwise(partition_year(F.col("date"))))
 
 
+def newest_reports(df: DataFrame) -> DataFrame:
+    """The latest row per id; rows without an id all stay."""
+    newest = [F.col("updated_on").desc_nulls_last(), F.col("date").desc_nulls_last()]
+    return latest_or_keyless(df, "id", newest)
+
+
 def _snapshot(df: DataFrame, key: str, schema, run_date: date) -> DataFrame:
     """One row per key of a lookup that is delivered whole.
 
@@ -111,6 +119,30 @@ def load_incidents(spark: SparkSession, root: str, source: str) -> DataFrame:
     return clean_incidents(raw.drop("ingest_date"))
 
 
+def add_incidents(
+    store: TableStore, table: str, landing: str, source: str, days: Sequence[date]
+) -> DataFrame:
+    """Bring the cleaned table up to date with the files of some ingest dates.
+
+    The result is the same as cleaning all files again, because the latest of the latest
+    is the latest. Only these dates are read, and only the years are rewritten where a
+    new row or an older report of the same incident lies.
+    """
+    raw = read_csv(store.spark, landing, source)
+    if raw is None:
+        return store.read(table)
+    raw = raw.filter(F.col("ingest_date").isin(list(days))).drop("ingest_date")
+    batch = materialize(clean_incidents(raw), "incidents")
+    current = store.read(table)
+    known = current.select("id", YEAR_COLUMN)
+    moved = known.join(batch.select("id"), "id", "left_semi").select(YEAR_COLUMN)
+    touched = batch.select(YEAR_COLUMN).union(moved).distinct()
+    years = [row[0] for row in touched.collect()]  # a handful: calendar years
+    base = current.filter(F.col(YEAR_COLUMN).isin(years))
+    state = newest_reports(base.unionByName(batch))
+    return store.publish(table, state, YEAR_COLUMN, years)
+
+
 def load_codes(spark: SparkSession, root: str, source: str, run_date: date) -> DataFrame:
     raw = read_csv(spark, root, source)
     return empty(spark, schemas.CODES) if raw is None else clean_codes(raw, run_date)

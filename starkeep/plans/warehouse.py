@@ -37,6 +37,7 @@ from starkeep.operators.scd import (
 from starkeep.operators.shaping import conform
 from starkeep.operators.surrogate import assign_keys, fill_keys
 from starkeep.plans import cleaning, schemas
+from starkeep.plans.reports import incident_extract
 from starkeep.sources.files import materialize
 from starkeep.sources.landing import empty
 from starkeep.sources.store import TableStore
@@ -481,3 +482,11 @@ def clean_feeds(
         for name, df in cleaned.items()
     }
     return Cleaned(**tables, arrests=arrests)
+
+
+def refresh_extract(store: TableStore, **options) -> DataFrame:
+    """Publish the wide reporting table anew; options as for ``incident_extract``."""
+    names = ("fact_crime", "dim_date", "dim_time_of_day", "dim_location")
+    names += ("dim_crime_type", "dim_weather")
+    tables = {name: store.read(name) for name in names}
+    return store.publish("extract", incident_extract(tables, **options))

@@ -5,7 +5,6 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from starkeep.plans import cleaning, schemas, warehouse
-from starkeep.plans.reports import incident_extract
 from starkeep.queries import feeds
 from starkeep.queries.registry import Tables, query
 from starkeep.sources.files import materialize, scratch_path
@@ -157,10 +156,7 @@ WHERE latitude IS NOT NULL AND longitude IS NOT NULL
 """)
 def warehouse_extract(spark, folder):
     """The reporting columns of every incident with a map point."""
-    store = build(spark, folder)
-    names = ("fact_crime", "dim_date", "dim_time_of_day", "dim_location")
-    names += ("dim_crime_type", "dim_weather")
-    return incident_extract({name: store.read(name) for name in names})
+    return warehouse.refresh_extract(build(spark, folder))
 
 
 @query(f"""

@@ -18,7 +18,8 @@ from starkeep.queries import feeds
 from starkeep.queries.registry import Tables, query
 from starkeep.sources.files import scratch_path
 from starkeep.sources.landing import land, read_csv
-from starkeep.sources.tables import without_triage
+from starkeep.sources.store import TableStore
+from starkeep.sources.tables import YEAR_COLUMN, without_triage
 
 RUN_DATE = date(2024, 6, 1)
 
@@ -93,6 +94,20 @@ def clean_incidents(spark, folder):
     return cleaning.load_incidents(spark, root, "incidents")
 
 
+@query(f"WITH {feeds.INCIDENTS_SQL} SELECT * FROM incidents")
+def incremental_incidents(spark, folder):
+    """First reports cleaned, then the corrections of a later ingest date added."""
+    feed = feeds.incident_feed(spark, folder)
+    first = F.col("Description") == "version 1"
+    root = landed(spark, feed.filter(first), "incidents")
+    store = TableStore(spark, scratch_path(spark, "store"))
+    cleaned = cleaning.load_incidents(spark, root, "incidents")
+    store.publish("incidents", cleaned, YEAR_COLUMN)
+    later = date(2024, 6, 2)
+    land(feed.filter(~first), root, "incidents", later)
+    return cleaning.add_incidents(store, "incidents", root, "incidents", [later])
+
+
 @query(f"WITH {feeds.CODES_SQL} SELECT * FROM codes")
 def clean_code_snapshot(spark, folder):
     root = landed(spark, feeds.code_feed(spark, folder), "codes")

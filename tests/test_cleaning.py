@@ -7,6 +7,7 @@ import pytest
 from starkeep.functions.hashing import fingerprint
 from starkeep.plans import cleaning, schemas
 from starkeep.sources import landing
+from starkeep.sources.store import TableStore
 from starkeep.sources.tables import (
     newest_snapshot,
     optional_table,
@@ -81,6 +82,23 @@ def test_repeat_gives_the_same_rows(spark, incidents, tmp_path):
     assert fingerprint(incidents).first() == fingerprint(again).first()
 
 
+def test_adding_dates_equals_cleaning_all(spark, tmp_path):
+    root, days = str(tmp_path / "landing"), [date(2024, 6, d) for d in (1, 2, 3)]
+    store = TableStore(spark, str(tmp_path / "store"))
+    for day, reports in zip(days, (REPORTS[1:3], REPORTS[:1] + REPORTS[3:6], REPORTS[5:])):
+        text = "\n".join([HEADER, *reports]) + "\n"
+        put(tmp_path / "landing", "incidents", "a.csv", text, day.isoformat())
+        if day == days[0]:
+            first = cleaning.load_incidents(spark, root, "incidents")
+            store.publish("incidents", first, "_ingest_year")
+        else:
+            cleaning.add_incidents(store, "incidents", root, "incidents", [day])
+    whole = cleaning.load_incidents(spark, root, "incidents")
+    added = store.read("incidents")
+    assert fingerprint(added).first() == fingerprint(whole).first()
+    assert added.count() == 6
+
+
 def test_no_files_no_reader(spark, tmp_path, monkeypatch):
     def refuse(*args):
         raise AssertionError("reader was called")
