@@ -28,16 +28,17 @@ def hour_key(col: Column, default: int | None = UNKNOWN_KEY) -> Column:
 
 
 def elapsed_hours(start: Column, end: Column) -> Column:
-    """Whole hours between two times, cut toward zero; may be negative.
-
-    Each side is first cut to the second it falls in.
-    """
-    seconds = F.timestamp_diff(
-        "SECOND", F.date_trunc("second", start), F.date_trunc("second", end)
-    )
+    """Whole hours on the clock between two times, cut toward zero; may be negative."""
+    seconds = _wall_seconds(end) - _wall_seconds(start)
     return F.try_divide(seconds, F.lit(3600)).cast("int")
 
 
+def _wall_seconds(time: Column) -> Column:
+    """Seconds since 1970 on the clock, from its fields: no time zone is involved."""
+    days = F.unix_date(F.to_date(time)).cast("bigint")
+    return days * 86400 + F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
+
+
 def flag_measure(col: Column) -> Column:
     """Boolean to an additive 0/1; NULL counts as 0."""
     return F.coalesce(col.cast("int"), F.lit(0)).cast("smallint")

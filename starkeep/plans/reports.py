@@ -157,7 +157,7 @@ def summarise(
 
 
 def month_of(column: str) -> Column:
-    return F.date_trunc("month", F.col(column)).cast("date")
+    return F.trunc(F.to_date(column), "month")
 
 
 def monthly_trend(

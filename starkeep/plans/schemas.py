@@ -105,7 +105,7 @@ WEATHER_FEED = T.StructType().add(
         temperature_2m=T.DoubleType(),
         precipitation=T.DoubleType(),
         wind_speed_10m=T.DoubleType(),
-        weather_code=T.IntegerType(),
+        weather_code=T.DoubleType(),
         relative_humidity_2m=T.DoubleType(),
     ),
 )

@@ -68,9 +68,18 @@ def scratch_root(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/starkeep/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path for one run; nothing exists there yet."""
-    return f"{scratch_root(spark)}/starkeep/{label}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate results, when nothing reads them any more."""
+    delete(spark, _application_folder(spark))
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -107,6 +107,7 @@ def test_keys_and_measures(spark):
         [
             (datetime(2024, 6, 1, 23, 59), datetime(2024, 6, 2, 1, 58, 59), True),
             (datetime(2024, 6, 1, 2), datetime(2024, 5, 31, 23, 1), False),
+            (datetime(2024, 3, 9, 12), datetime(2024, 3, 10, 12), False),  # DST starts
             (None, datetime(2024, 6, 1), None),
         ],
         "a timestamp_ntz, b timestamp_ntz, f boolean",
@@ -122,6 +123,7 @@ def test_keys_and_measures(spark):
     assert [tuple(r) for r in got] == [
         (20240601, 23, 1, 1, 2024),
         (20240601, 2, -2, 0, 2024),
+        (20240309, 12, 24, 0, 2024),
         (0, 0, None, 0, 9999),
     ]
 

@@ -66,6 +66,7 @@ def test_materialize_uses_the_shared_folder(spark):
     df = materialize(spark.range(3).toDF("i"), "probe")
     assert all(scratch_root(spark) in f for f in df.inputFiles())
     assert df.count() == 3
+    assert spark.sparkContext.applicationId in df.inputFiles()[0]
 
 
 def load(store, *rows):
