@@ -42,6 +42,7 @@ from starkeep.sources.files import materialize
 from starkeep.sources.landing import empty
 from starkeep.sources.store import TableStore
 from starkeep.sources.tables import YEAR_COLUMN, newest_snapshot, without_triage
+from starkeep.sources.windows import DayRange
 
 FACT_PARTITION = "fact_year"
 
@@ -490,3 +491,10 @@ def refresh_extract(store: TableStore, **options) -> DataFrame:
     names += ("dim_crime_type", "dim_weather")
     tables = {name: store.read(name) for name in names}
     return store.publish("extract", incident_extract(tables, **options))
+
+
+def facts_in(store: TableStore, table: str, day_key: str, days: DayRange) -> DataFrame:
+    """Facts of a range of days; only the partitions of its years are read."""
+    first, last = (int(d.strftime("%Y%m%d")) for d in (days.first, days.last))
+    years = F.col(FACT_PARTITION).between(days.first.year, days.last.year)
+    return store.read(table).filter(years & F.col(day_key).between(first, last))

@@ -4,13 +4,16 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from starkeep.plans import cleaning, schemas, warehouse
+from starkeep.functions.keys import flag_measure
+from starkeep.operators.asof import active_on
+from starkeep.plans import cleaning, reports, schemas, warehouse
 from starkeep.queries import feeds
 from starkeep.queries.registry import Tables, query
 from starkeep.sources.files import materialize, scratch_path
 from starkeep.sources.landing import land
 from starkeep.sources.store import TableStore
 from starkeep.sources.tables import typed_nulls, without_triage
+from starkeep.sources.windows import DayRange
 
 FIRST_RUN, SECOND_RUN = date(2024, 1, 10), date(2024, 1, 20)
 
@@ -26,6 +29,17 @@ def land_feeds(spark, folder):
     return root
 
 
+BUILT = {}  # published warehouses of this process, by application and table folder
+
+
+def built(spark, folder):
+    """The warehouse, built on first use; reports read the published tables."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in BUILT or not TableStore(spark, BUILT[key]).exists("fact_crime"):
+        BUILT[key] = build(spark, folder).root
+    return TableStore(spark, BUILT[key])
+
+
 def build(spark, folder):
     """Two runs from raw files to facts.
 
@@ -110,7 +124,7 @@ STAR_SQL = f"""
 def warehouse_facts(spark, folder):
     """Facts after two runs: keys as of the event, every incident once."""
     columns = schemas.CONTRACTS["fact_crime"].schema.names
-    return build(spark, folder).read("fact_crime").select(*columns)
+    return built(spark, folder).read("fact_crime").select(*columns)
 
 
 @query(f"""
@@ -156,7 +170,75 @@ WHERE latitude IS NOT NULL AND longitude IS NOT NULL
 """)
 def warehouse_extract(spark, folder):
     """The reporting columns of every incident with a map point."""
-    return warehouse.refresh_extract(build(spark, folder))
+    return warehouse.refresh_extract(built(spark, folder))
+
+
+@query(f"""
+WITH {STAR_SQL}
+SELECT CAST(community_area AS SMALLINT) AS community_area, primary_type,
+    count(*) AS n_incidents
+FROM facts JOIN locations USING (location_key) JOIN types USING (crime_type_key)
+WHERE occurrence_date_key BETWEEN 20240103 AND 20241231
+GROUP BY 1, 2 ORDER BY n_incidents DESC, community_area, primary_type LIMIT 10
+""")
+def warehouse_top(spark, folder):
+    """Largest groups of a range of days over the published star."""
+    store = built(spark, folder)
+    days = DayRange(date(2024, 1, 3), date(2024, 12, 31))
+    facts = warehouse.facts_in(store, "fact_crime", "occurrence_date_key", days)
+    star = reports.join_star(
+        facts.select("location_key", "crime_type_key"),
+        [
+            (store.read("dim_location"), "location_key", "location_key"),
+            (store.read("dim_crime_type"), "crime_type_key", "crime_type_key"),
+        ],
+    )
+    groups = ["community_area", "primary_type"]
+    return reports.top(reports.summarise(star, groups, count="n_incidents"),
+                       "n_incidents", groups)
+
+
+@query(f"""
+WITH {STAR_SQL}
+SELECT hardship_index, pct_below_poverty, count(*) AS n_incidents,
+    count(CASE WHEN index_code = 'I' THEN 1 END) AS n_index,
+    CAST(count(CASE WHEN index_code = 'I' THEN 1 END) AS DOUBLE) * 100
+        / CAST(count(*) AS DOUBLE) AS index_rate
+FROM facts JOIN locations USING (location_key) JOIN types USING (crime_type_key)
+LEFT JOIN codes USING (iucr)
+GROUP BY 1, 2
+""")
+def warehouse_index_rate(spark, folder):
+    """Rate by indicators as they were on the day of the event."""
+    store = built(spark, folder)
+    star = reports.join_star(
+        store.read("fact_crime").select("location_key", "crime_type_key"),
+        [
+            (store.read("dim_location"), "location_key", "location_key"),
+            (store.read("dim_crime_type"), "crime_type_key", "crime_type_key"),
+        ],
+    )
+    star = star.withColumn("is_index", flag_measure(F.col("index_code") == "I"))
+    by = ["hardship_index", "pct_below_poverty"]
+    sums = reports.summarise(star, by, {"n_index": "is_index"}, count="n_incidents")
+    return reports.with_ratio(sums, "index_rate", "n_index", "n_incidents")
+
+
+@query(f"""
+WITH {STAR_SQL}
+SELECT CAST(coalesce(community_area, 0) AS INTEGER) AS community_area,
+    count(*) AS n_incidents
+FROM facts JOIN locations USING (location_key)
+WHERE latitude IS NOT NULL AND scd_start_date <= DATE '2024-01-20'
+    AND scd_end_date > DATE '2024-01-20'
+GROUP BY 1
+""")
+def warehouse_active(spark, folder):
+    """Incidents whose place and type versions were both valid on a day."""
+    extract = warehouse.refresh_extract(built(spark, folder))
+    ranges = [(f"{p}_scd_start", f"{p}_scd_end") for p in ("location", "crime_type")]
+    active = active_on(extract, F.lit(date(2024, 1, 20)), ranges)
+    return reports.summarise(active, ["community_area"], count="n_incidents")
 
 
 @query(f"""

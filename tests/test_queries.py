@@ -11,10 +11,9 @@ FOLDER = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module", autouse=True)
 def build_once():
-    """Queries over the same warehouse share one build here."""
+    """Queries over the arrests share one build here."""
     patch = pytest.MonkeyPatch()
-    for name in ("build", "build_arrests"):
-        patch.setattr(building, name, functools.cache(getattr(building, name)))
+    patch.setattr(building, "build_arrests", functools.cache(building.build_arrests))
     yield
     patch.undo()
 
