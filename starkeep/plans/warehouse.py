@@ -1,10 +1,13 @@
 """Cleaned tables to the published star."""
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starkeep.functions.keys import (
@@ -127,6 +130,14 @@ def incoming_weather(weather: DataFrame) -> DataFrame:
 # Loads: each publishes a table and returns its counts.
 
 
+def together(spark: SparkSession, **loads: Callable) -> dict:
+    """Run independent loads at the same time, so that small ones share the cluster."""
+    in_session = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(loads)) as pool:
+        started = {name: pool.submit(in_session(f)) for name, f in loads.items()}
+        return {name: load.result() for name, load in started.items()}
+
+
 def _counts(df: DataFrame) -> dict[str, int]:
     return {r["change"]: r["n_rows"] for r in df.collect()}  # three classes
 
@@ -430,9 +441,10 @@ def build_warehouse(
 ) -> dict[str, dict[str, int]]:
     """Dimensions first, then facts; returns each step's counts."""
     data = cleaned.ready()
-    seed(store)
-    steps = {
-        "dim_location": load_versioned(
+    steps = together(
+        store.spark,
+        generated=lambda: seed(store),
+        dim_location=lambda: load_versioned(
             store,
             "dim_location",
             schemas.LOCATION,
@@ -441,7 +453,7 @@ def build_warehouse(
             run_date,
             spread=("community_area", "community_area_name"),
         ),
-        "dim_crime_type": load_versioned(
+        dim_crime_type=lambda: load_versioned(
             store,
             "dim_crime_type",
             schemas.INCIDENT_TYPE,
@@ -449,9 +461,10 @@ def build_warehouse(
             incoming_types(data.incidents, data.codes),
             run_date,
         ),
-        "dim_weather": load_weather(store, data.weather),
-        "dim_arrestee": load_arrestees(store, data.arrests),
-    }
+        dim_weather=lambda: load_weather(store, data.weather),
+        dim_arrestee=lambda: load_arrestees(store, data.arrests),
+    )
+    del steps["generated"]
     dims = {
         name: store.read(name)
         for name in (*steps, "dim_date", "dim_time_of_day", "dim_crime_flags")
@@ -471,17 +484,19 @@ def clean_feeds(
     Every run reads all landed files and publishes whole tables, so a row whose year
     changed does not stay behind in its old partition.
     """
-    spark = store.spark
-    cleaned = {
-        "incidents": cleaning.load_incidents(spark, landing, "incidents"),
-        "codes": cleaning.load_codes(spark, landing, "codes", run_date),
-        "areas": cleaning.load_areas(spark, landing, "areas", run_date),
-        "weather": cleaning.load_weather(spark, landing, "weather"),
-    }
-    tables = {
-        name: store.publish(f"clean_{name}", df, YEAR_COLUMN)
-        for name, df in cleaned.items()
+    loads = {
+        "incidents": (cleaning.load_incidents,),
+        "codes": (cleaning.load_codes, run_date),
+        "areas": (cleaning.load_areas, run_date),
+        "weather": (cleaning.load_weather,),
     }
+
+    def load(name: str) -> DataFrame:
+        clean, *run = loads[name]
+        df = clean(store.spark, landing, name, *run)
+        return store.publish(f"clean_{name}", df, YEAR_COLUMN)
+
+    tables = together(store.spark, **{name: partial(load, name) for name in loads})
     return Cleaned(**tables, arrests=arrests)
 
 
