@@ -21,6 +21,8 @@ def latest_per_key(
         raise ValueError(f"column {RANK} is reserved")
     sortable = [n for n, t in df.dtypes if n not in keys and not t.startswith("map")]
     ties = [F.col(n).desc_nulls_last() for n in sortable]
+    if not order and not ties:
+        return df.distinct()  # the key is the whole row
     ranked = Window.partitionBy(*keys).orderBy(*order, *ties)
     rows = df.withColumn(RANK, F.row_number().over(ranked))
     return rows.filter(F.col(RANK) == 1).drop(RANK)

@@ -193,6 +193,16 @@ def scd2_history(
     )
 
 
+def new_rows(
+    target: DataFrame, incoming: DataFrame, keys: Sequence[str]
+) -> DataFrame:
+    """Incoming rows, one per key, whose key the target does not have."""
+    known = target.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    rows = latest_per_key(incoming, keys)
+    same = reduce(and_, [rows[k].eqNullSafe(known[f"_{k}"]) for k in keys])
+    return rows.join(known, same, "left_anti")
+
+
 def scd0_insert(
     target: DataFrame, incoming: DataFrame, keys: Sequence[str]
 ) -> DataFrame:
@@ -200,10 +210,7 @@ def scd0_insert(
 
     Columns that ``incoming`` lacks (a surrogate) are NULL in the new rows.
     """
-    known = target.select(*[F.col(k).alias(f"_{k}") for k in keys])
-    rows = latest_per_key(incoming, keys)
-    same = reduce(and_, [rows[k].eqNullSafe(known[f"_{k}"]) for k in keys])
-    new = rows.join(known, same, "left_anti")
+    new = new_rows(target, incoming, keys)
     return target.unionByName(new, allowMissingColumns=True).select(*target.columns)
 
 

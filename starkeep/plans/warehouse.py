@@ -1,6 +1,6 @@
 """Cleaned tables to the published star."""
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
@@ -32,7 +32,7 @@ from starkeep.operators.scd import (
     VersionSpec,
     change_counts,
     changed_rows,
-    scd0_insert,
+    new_rows,
     scd1_upsert,
     scd2_merge,
     spread_attribute,
@@ -204,35 +204,43 @@ def _spread_changes(current: DataFrame, incoming: DataFrame, on: str, column: st
     return both.filter(~F.col(column).eqNullSafe(F.col("_c"))).count()
 
 
-def load_weather(
-    store: TableStore, weather: DataFrame | None, overwrite: bool = False
+def _load_keyed(
+    store: TableStore,
+    table: str,
+    reserved: Sequence[Mapping],
+    incoming: DataFrame | None,
+    keys: Sequence[str],
+    overwrite: bool = False,
 ) -> dict[str, int]:
-    """Insert new hours; ``overwrite`` also replaces the attributes of known hours."""
-    table, keys = "dim_weather", ["obs_date_key", "obs_hour"]
-    current = _seeded(store, table, [schemas.NO_WEATHER])
-    if weather is None:
+    """Insert, and with ``overwrite`` update, by key; nothing to do publishes nothing."""
+    current = _seeded(store, table, reserved)
+    if incoming is None:
         if not store.exists(table):
             store.publish(table, current)
         return {"skipped": 1}
-    incoming = incoming_weather(weather)
-    merge = scd1_upsert if overwrite else scd0_insert
-    state = fill_keys(merge(current, incoming, keys), "weather_key", keys)
-    before = current.count()
-    return {"inserted": store.publish(table, state).count() - before}
+    find = changed_rows if overwrite else new_rows
+    fresh = materialize(find(current, incoming, keys), table)
+    n = fresh.count()
+    if n or not store.exists(table):
+        state = scd1_upsert(current, fresh, keys)
+        store.publish(table, fill_keys(state, current.columns[0], keys))
+    return {"upserted": n}
+
+
+def load_weather(
+    store: TableStore, weather: DataFrame | None, overwrite: bool = False
+) -> dict[str, int]:
+    """Insert new hours; ``overwrite`` also replaces the attributes of known hours."""
+    incoming = None if weather is None else incoming_weather(weather)
+    keys = ("obs_date_key", "obs_hour")
+    reserved = [schemas.NO_WEATHER]
+    return _load_keyed(store, "dim_weather", reserved, incoming, keys, overwrite)
 
 
 def load_arrestees(store: TableStore, arrests: DataFrame | None) -> dict[str, int]:
     """Distinct demographics; without the source the dimension stays empty."""
-    table, names = "dim_arrestee", list(PERSON.names)
-    current = _seeded(store, table, [])
-    if arrests is None:
-        if not store.exists(table):
-            store.publish(table, current)
-        return {"skipped": 1}
-    state = scd1_upsert(current, conform(arrests, PERSON).distinct(), names)
-    before = current.count()
-    published = store.publish(table, fill_keys(state, "arrestee_key", names))
-    return {"inserted": published.count() - before}
+    people = None if arrests is None else conform(arrests, PERSON).distinct()
+    return _load_keyed(store, "dim_arrestee", [], people, PERSON.names)
 
 
 # Facts.

@@ -154,6 +154,7 @@ def test_latest_per_key(spark):
     )
     got = latest_per_key(df, ["id"], [F.col("ts").desc_nulls_last()])
     assert sorted(map(tuple, got.collect())) == [(1, 2, "new"), (2, 1, "some"), (3, 5, "b")]
+    assert latest_per_key(df.select("id"), ["id"]).count() == 3
     with pytest.raises(ValueError):
         latest_per_key(df.withColumn("__rank__", F.lit(1)), ["id"])
 

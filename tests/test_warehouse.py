@@ -18,6 +18,7 @@ from starkeep.plans.warehouse import (
     build_warehouse,
     incoming_locations,
     load_versioned,
+    load_weather,
 )
 from starkeep.sources.store import TableStore
 
@@ -145,12 +146,12 @@ def test_with_all_sources(spark, store):
     check_extract({n: store.read(n) for n in schemas.CONTRACTS})
 
     # The same again: nothing is published.
-    names = ("dim_location", "dim_crime_type", "fact_crime")
+    names = ("dim_location", "dim_crime_type", "dim_weather", "fact_crime")
     before = {n: store.read(n).inputFiles() for n in names}
     counts = build_warehouse(store, data, SECOND)
     assert counts["dim_location"] == {"new": 0, "changed": 0, "unchanged": 1}
     assert counts["fact_crime"] == {"upserted": 0}
-    assert counts["dim_weather"] == {"inserted": 0}
+    assert counts["dim_weather"] == {"upserted": 0}
     assert {n: store.read(n).inputFiles() for n in names} == before
 
     # New indicators make a version; an hour that is known stays as it was.
@@ -166,6 +167,9 @@ def test_with_all_sources(spark, store):
     assert places[got[2].location_key].pct_below_poverty == Decimal("20.00")
     hours = {r.weather_key: r.temp_band for r in store.read("dim_weather").collect()}
     assert hours == {-1: "Unavailable", 1: "Warm"}
+    assert load_weather(store, hot, overwrite=True) == {"upserted": 1}
+    hours = {r.weather_key: r.temp_band for r in store.read("dim_weather").collect()}
+    assert hours == {-1: "Unavailable", 1: "Hot"}
     check_gates(store)
 
     # A new name alone reaches all versions.
