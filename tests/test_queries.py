@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import differences
-from starkeep.queries import building
+from starkeep.queries import ORACLE, QUERIES, building
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -19,14 +19,15 @@ def build_once():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= entry.queries().items()
+    assert ORACLE.items() <= entry.oracle_sql().items()
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 10
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
-    df = entry.queries()[name](spark, FOLDER)
-    assert differences(df, entry.oracle_sql()[name], FOLDER) == []
+    assert differences(QUERIES[name](spark, FOLDER), ORACLE[name], FOLDER) == []
