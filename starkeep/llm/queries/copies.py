@@ -1,8 +1,35 @@
 """Queries that find repeated documents, lines and passages."""
 
+from pyspark.sql import functions as F
+
+from starkeep.llm.linededup import drop_repeated_lines
 from starkeep.llm.queries.registry import query, table
 from starkeep.llm.simhash import near_duplicates
 
+LINES = r"""
+WITH lines AS (
+  SELECT doc_id, i, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS i
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))),
+repeated AS (
+  SELECT key, max(doc_id) AS keep FROM lines WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+marked AS (
+  SELECT doc_id, i, line, keep IS NOT NULL AND doc_id <> keep AS gone
+  FROM lines LEFT JOIN repeated USING (key))
+SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@query(LINES)
+def op2_line_dedup(spark, folder):
+    kept = drop_repeated_lines(table(spark, folder, "documents"))
+    text = F.coalesce("text", F.lit(""))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(text, 256).alias("kept_sha256"))
+
 
 @query()
 def op7_simhash(spark, folder):
