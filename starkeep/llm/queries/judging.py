@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from starkeep.llm.decontamination import find_items
 from starkeep.llm.queries.registry import query, table
 from starkeep.llm.toxicity import fit, score
 
@@ -11,6 +12,11 @@ def crc_part(column, parts):
     return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(parts))
 
 
+@query()
+def op1_decontamination(spark, folder):
+    return find_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query()
 def op8_toxicity(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
