@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from starkeep.llm.decontamination import find_items
+from starkeep.llm.licenses import scan, scan_sql
 from starkeep.llm.queries.registry import query, table
 from starkeep.llm.toxicity import fit, score
 
@@ -17,6 +18,12 @@ def op1_decontamination(spark, folder):
     return find_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query(scan_sql())
+def op5_licenses(spark, folder):
+    columns = "doc_id n_words n_base first_word last_word base_labels labels score".split()
+    return scan(table(spark, folder, "documents").select("doc_id", "text")).select(*columns)
+
+
 @query()
 def op8_toxicity(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
