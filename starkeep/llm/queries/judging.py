@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from starkeep.llm import langid
 from starkeep.llm.decontamination import find_items
 from starkeep.llm.licenses import scan, scan_sql
 from starkeep.llm.queries.registry import query, table
@@ -24,6 +25,15 @@ def op5_licenses(spark, folder):
     return scan(table(spark, folder, "documents").select("doc_id", "text")).select(*columns)
 
 
+@query()
+def op6_langid(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(crc_part("doc_id", 3) == 1, F.lit(False)).alias("held_out")
+    model = langid.fit(docs.filter(crc_part("doc_id", 3) != 1))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out, "lang_pred", "score")
+
+
 @query()
 def op8_toxicity(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
