@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from starkeep.llm.linededup import drop_repeated_lines
 from starkeep.llm.queries.registry import query, table
 from starkeep.llm.simhash import near_duplicates
+from starkeep.llm.substrings import drop_repeated_passages
 
 LINES = r"""
 WITH lines AS (
@@ -34,3 +35,9 @@ def op2_line_dedup(spark, folder):
 @query()
 def op7_simhash(spark, folder):
     return near_duplicates(table(spark, folder, "documents"))
+
+
+@query()
+def op9_substrings(spark, folder):
+    kept = drop_repeated_passages(table(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
