@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starkeep.llm.fmindex import FMIndex
+from starkeep.llm.scratch import settled
 from starkeep.llm.words import NOT_BLANK, chunks, runs, span_hashes
-from starkeep.sources.files import materialize
+from starkeep.sources.files import delete, scratch_path
 
 WINDOW = 20
 GRAM = 6
@@ -65,6 +66,9 @@ def _segments(hashes, rows):
     return first, count, anchor[first], twice > 1
 
 
+ANCHOR = "anchor long, key long, start long, windows int, weight int"
+
+
 def anchors(docs: DataFrame) -> DataFrame:
     """``(anchor, key, start, windows, weight)`` of the segments of ``docs (key, text)``."""
 
@@ -85,20 +89,28 @@ def anchors(docs: DataFrame) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["anchor", "key", "start", "windows", "weight"])
 
-    return docs.select("key", "text").mapInArrow(
-        per_batch, "anchor long, key long, start long, windows int, weight int"
-    )
+    return docs.select("key", "text").mapInArrow(per_batch, ANCHOR)
 
 
 def _suspects(docs: DataFrame) -> DataFrame:
-    """``(key, segments)``: for each text its segments whose anchors repeat."""
-    found = materialize(anchors(docs), "anchors")
+    """``(key, segments)``: for each text its segments whose anchors repeat.
+
+    The table of all anchors and its shuffle files are deleted as soon as the result is written.
+    """
+    spark = docs.sparkSession
+    path = scratch_path(spark, "anchors")
+    anchors(docs).write.parquet(path)
+    found = spark.read.schema(ANCHOR).parquet(path)
     repeated = found.groupBy("anchor").agg(F.sum("weight").alias("total")).filter("total > 1")
-    return (
+    common = (F.col("total") > COMMON).alias("common")
+    suspects = (
         found.join(repeated, "anchor")
         .groupBy("key")
-        .agg(F.collect_list(F.struct("start", "windows", (F.col("total") > COMMON).alias("common"), "anchor")).alias("segments"))
+        .agg(F.collect_list(F.struct("start", "windows", common, "anchor")).alias("segments"))
     )
+    suspects = settled(suspects, "suspects")
+    delete(spark, path)
+    return suspects
 
 
 SEGMENT = "route long, key long, doc_id long, start long, text binary"
@@ -106,7 +118,7 @@ SEGMENT = "route long, key long, doc_id long, start long, text binary"
 
 def _cut(batches):
     """Texts with their suspected segments to segments; those of common anchors window by window."""
-    for batch in batches:
+    for batch in (b.slice(k, 500) for b in batches for k in range(0, b.num_rows, 500)):
         out = {name: [] for name in ("route", "key", "doc_id", "start", "text")}
 
         def add(route, key, doc_id, start, words, out=out):
@@ -186,7 +198,7 @@ def drop_repeated_passages(docs: DataFrame) -> DataFrame:
     docs = docs.drop("n_words", "n_removed", "_key")
     names, at = docs.columns, docs.columns.index("text")
     keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    suspects = materialize(_suspects(keyed.select(F.col("_key").alias("key"), "text")), "suspects")
+    suspects = _suspects(keyed.select(F.col("_key").alias("key"), "text"))
     count = suspects.agg(F.sum(F.size("segments"))).first()[0] or 0
     shards = -(-count // SHARD) or 1
     cut = (
