@@ -5,9 +5,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starkeep.operators.joins import fits_broadcast
 from starkeep.sources.files import materialize
 
+#: Members of a parent that one task pairs with the others.
+SPLIT = 1024
+
 
 def bridge_from_columns(
     df: DataFrame, parent: str, groups: Sequence[Mapping[str, str]], member: str
@@ -36,6 +38,26 @@ def bridge_from_list(
     )
 
 
+def bridge_from_lists(
+    df: DataFrame,
+    parent: str,
+    lists: Mapping[str, str],
+    member: str,
+    delimiter: str = "|",
+) -> DataFrame:
+    """Delimited lists side by side to ``(parent, position, fields)``.
+
+    ``lists`` maps output field to source column; entries of one place belong together. Empty
+    entries are NULL, an entry without a ``member`` gives no row but keeps its place, and there may be any number.
+    """
+    split = [F.split(F.col(c), f"\\Q{delimiter}\\E").alias(f) for f, c in lists.items()]
+    rows = df.select(parent, *split)
+    rows = rows.select(parent, F.posexplode(F.arrays_zip(*lists)).alias("_pos", "_item"))
+    fields = [F.nullif(F.trim(F.col(f"_item.{f}")), F.lit("")).alias(f) for f in lists]
+    number = (F.col("_pos") + 1).cast("smallint").alias("position")
+    return rows.select(parent, number, *fields).filter(F.col(member).isNotNull())
+
+
 def count_members(
     parents: DataFrame, bridge: DataFrame, parent: str, into: str
 ) -> DataFrame:
@@ -46,24 +68,22 @@ def count_members(
     return joined.withColumn(into, number)
 
 
-def pair_counts(
-    bridge: DataFrame, parent: str, member: str, max_members: int = 4096
-) -> DataFrame:
+def pair_counts(bridge: DataFrame, parent: str, member: str) -> DataFrame:
     """``(member_a, member_b, n_parents)`` for members of the same parent, a < b.
 
-    Rows of a parent are first reduced to its distinct members, then equal member sets
-    are counted, so a pair is formed once per distinct set and not once per parent. The
-    sets, and with them the widest row, are bounded by the member domain (a code list),
-    which is checked: a larger domain is refused rather than cut.
+    Distinct members meet in a join by parent. A parent of many members is split: one side's
+    rows get one of several salts, the other side's all of them, so a task forms at most
+    ``SPLIT`` times as many pairs as it reads rows. NULL parents and members take no part.
     """
     distinct = materialize(
         bridge.select(parent, member).dropna().distinct(), "bridge-members"
     )
-    if not fits_broadcast(distinct.select(member).distinct(), max_members):
-        raise ValueError(f"{member} has over {max_members} values; count coarser members")
-    sets = distinct.groupBy(parent).agg(F.sort_array(F.collect_set(member)).alias("_set"))
-    weights = sets.filter(F.size("_set") > 1).groupBy("_set").agg(F.count("*").alias("_n"))
-    first = weights.select("_set", "_n", F.posexplode("_set").alias("_i", "member_a"))
-    later = F.slice("_set", F.col("_i") + 2, F.size("_set"))
-    pairs = first.select("member_a", F.explode(later).alias("member_b"), "_n")
-    return pairs.groupBy("member_a", "member_b").agg(F.sum("_n").alias("n_parents"))
+    salts = F.ceil(F.count("*") / SPLIT).cast("int").alias("_salts")
+    sizes = distinct.groupBy(parent).agg(salts, F.count("*").alias("_n"))
+    sized = distinct.join(sizes.filter("_n > 1").drop("_n"), parent)
+    one = F.pmod(F.xxhash64(member), F.col("_salts")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))
+    a = sized.select(parent, F.col(member).alias("member_a"), one.alias("_salt"))
+    b = sized.select(parent, F.col(member).alias("member_b"), every.alias("_salt"))
+    pairs = a.join(b, [parent, "_salt"]).filter("member_a < member_b")
+    return pairs.groupBy("member_a", "member_b").agg(F.count("*").alias("n_parents"))

@@ -1,7 +1,7 @@
 """Report filters. A filter without a value lets every row through."""
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,13 +15,16 @@ def complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def in_days(
     df: DataFrame, column: str, first: date | None = None, last: date | None = None
 ) -> DataFrame:
-    """Whole days, both ends included; rows without a day stay."""
-    day = F.to_date(column)
+    """Whole days, both ends included; rows without a day stay.
+
+    The bounds are put on the column itself (a date or a time), so they reach the scan.
+    """
+    day = F.col(column)
     inside = F.lit(True)
     if first is not None:
         inside = inside & (day >= F.lit(first))
     if last is not None:
-        inside = inside & (day <= F.lit(last))
+        inside = inside & (day < F.lit(last + timedelta(days=1)))
     return df.filter(day.isNull() | inside)
 
 

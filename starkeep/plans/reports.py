@@ -7,6 +7,7 @@ their additive parts when asked for and never stored.
 from collections.abc import Mapping, Sequence
 from datetime import date
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -207,8 +208,15 @@ def top(df: DataFrame, by: str, ties: Sequence[str], n: int = 10) -> DataFrame:
 def drill_across(parts: Mapping[str, DataFrame], on: Sequence[str]) -> DataFrame:
     """Join aggregates of different facts that were brought to one grain.
 
-    Each part is aggregated first, so the join sees one row per group.
+    Each part is aggregated first, so the join sees one row per group. A NULL group of one
+    part meets the NULL group of another.
     """
-    first, *rest = [df.select(*on, *[c for c in df.columns if c not in on])
-                    for df in parts.values()]
-    return reduce(lambda a, b: a.join(b, list(on), "full_outer"), rest, first)
+
+    def meet(a: DataFrame, b: DataFrame) -> DataFrame:
+        same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in on]
+        joined = a.alias("a").join(b.alias("b"), reduce(and_, same), "full_outer")
+        keys = [F.coalesce(f"a.{c}", f"b.{c}").alias(c) for c in on]
+        values = [F.col(f"{s}.{c}") for s, df in (("a", a), ("b", b)) for c in df.columns if c not in on]
+        return joined.select(*keys, *values)
+
+    return reduce(meet, parts.values())

@@ -1,10 +1,11 @@
 """Cleaned tables to the published star."""
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
-from functools import partial
+from functools import partial, reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from starkeep.functions.keys import (
     hour_key,
 )
 from starkeep.operators.asof import asof_key
-from starkeep.operators.bridge import bridge_from_columns, count_members
+from starkeep.operators.bridge import bridge_from_columns, bridge_from_lists, count_members
 from starkeep.operators.dedup import latest_per_key
 from starkeep.operators.dimensions import (
     calendar_dimension,
@@ -317,14 +318,28 @@ def incident_facts(
     return df.select(*names)
 
 
-CHARGES = (1, 2, 3, 4)  # fixed value: an arrest lists up to four charges
+# Charge columns of the feed, repeated (``charge_1_type``) or as lists (``charges_type``).
+CHARGE_FIELDS = {"iucr": "type", "charge_class": "class", "charge_statute": "statute"}
 
 
 def arrest_charges(arrests: DataFrame) -> DataFrame:
-    """One row per arrest and charge, with its position."""
-    fields = {"iucr": "type", "charge_class": "class", "charge_statute": "statute"}
-    groups = [{f: f"charge_{i}_{c}" for f, c in fields.items()} for i in CHARGES]
-    rows = bridge_from_columns(arrests, "cb_no", groups, "iucr")
+    """One row per arrest and charge, with its position.
+
+    The delimited lists hold all charges of an arrest, however many. An arrest without
+    them has those of its repeated columns, as many as the feed has.
+    """
+    columns = set(arrests.columns)
+    lists = {f: f"charges_{c}" for f, c in CHARGE_FIELDS.items()}
+    listed = columns.issuperset(lists.values())
+    parts = []
+    if listed:
+        parts.append(bridge_from_lists(arrests, "cb_no", lists, "iucr"))
+        arrests = arrests.filter(F.col(lists["iucr"]).isNull())
+    numbers = sorted(int(m[1]) for c in columns if (m := re.fullmatch(r"charge_(\d+)_type", c)))
+    if numbers:
+        groups = [{f: f"charge_{i}_{c}" for f, c in CHARGE_FIELDS.items()} for i in numbers]
+        parts.append(bridge_from_columns(arrests, "cb_no", groups, "iucr"))
+    rows = reduce(DataFrame.unionByName, parts)
     return rows.withColumnRenamed("position", "charge_position")
 
 

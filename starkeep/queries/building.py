@@ -320,18 +320,25 @@ def warehouse_people(spark, folder):
 
 
 def arrest_feed(spark, folder):
-    """Every order as an arrest, its first four lines as charges."""
+    """Every order as an arrest, its lines as charges.
+
+    Even orders list them in delimited fields, odd ones in repeated columns, as many as the
+    longest order has lines.
+    """
     t = Tables(spark, folder)
     code = F.lpad((F.col("l_partkey") % 120).cast("string"), 4, "0")
-    columns = []
-    for i in warehouse.CHARGES:
-        line = F.col("l_linenumber") == i
-        columns += [
-            F.max(F.when(line, code)).alias(f"charge_{i}_type"),
-            F.max(F.when(line, F.col("l_returnflag"))).alias(f"charge_{i}_class"),
-            F.max(F.when(line, F.col("l_linestatus"))).alias(f"charge_{i}_statute"),
-        ]
-    charges = t.lineitem.groupBy("l_orderkey").agg(*columns)
+    line = F.struct("l_linenumber", code.alias("type"), "l_returnflag", "l_linestatus")
+    lines = t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    most = lines.agg(F.max(F.size("lines"))).first()[0] or 1
+    even, columns = F.col("l_orderkey") % 2 == 0, []
+    fields = {"type": "type", "class": "l_returnflag", "statute": "l_linestatus"}
+    for name, field in fields.items():
+        entries = F.col(f"lines.{field}")
+        columns.append(F.when(even, F.concat_ws("|", entries)).alias(f"charges_{name}"))
+        for i in range(most):
+            entry = F.when(~even, F.get(entries, F.lit(i)))
+            columns.append(entry.alias(f"charge_{i + 1}_{name}"))
+    charges = lines.select("l_orderkey", *columns)
     orders = t.orders.select(
         F.col("o_orderkey").alias("cb_no"),
         F.concat(F.lit("C"), "o_orderkey").alias("case_number"),
@@ -350,10 +357,12 @@ ARRESTS_SQL = """
             SELECT DISTINCT lpad(CAST(p_partkey % 100 AS VARCHAR), 4, '0') AS iucr
             FROM part) AS c),
     charges AS (
-        SELECT l_orderkey AS cb_no, CAST(l_linenumber AS SMALLINT) AS charge_position,
-            max(lpad(CAST(l_partkey % 120 AS VARCHAR), 4, '0')) AS iucr,
-            max(l_returnflag) AS charge_class, max(l_linestatus) AS charge_statute
-        FROM lineitem WHERE l_linenumber <= 4 GROUP BY 1, 2),
+        SELECT l_orderkey AS cb_no, CAST(row_number() OVER (PARTITION BY l_orderkey
+                ORDER BY l_linenumber, iucr, charge_class, charge_statute) AS SMALLINT)
+                AS charge_position, iucr, charge_class, charge_statute
+        FROM (SELECT *, lpad(CAST(l_partkey % 120 AS VARCHAR), 4, '0') AS iucr,
+                  l_returnflag AS charge_class, l_linestatus AS charge_statute
+              FROM lineitem) AS l),
     arrests AS (
         SELECT row_number() OVER (ORDER BY o_orderkey) AS arrest_pk,
             o_orderkey AS cb_no, 'C' || o_orderkey AS case_number,

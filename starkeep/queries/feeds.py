@@ -15,6 +15,12 @@ def k_of(props):
     return F.get_json_object(props, "$.k").cast("int")
 
 
+def padded(col, width):
+    """Zeros in front up to ``width``; longer values stay whole (``lpad`` would cut them)."""
+    text = col.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
+
+
 def incident_feed(spark, folder):
     """Every event as two reports, the second a later correction.
 
@@ -29,7 +35,7 @@ def incident_feed(spark, folder):
     flag = F.when(F.col("version") == 1, "no").when(event_type == "purchase", "TRUE")
     flag = flag.when(event_type == "error", " False ").when(event_type == "view", "true")
     domestic = F.when(value > 50, "true").when(value > 20, "false").otherwise("")
-    padded = F.lpad(user.cast("string"), 6, "0")
+    user_digits = padded(user, 6)
     keyless = (value < 1) | value.between(6, 7)
     reports = events.withColumn("version", F.explode(F.array(F.lit(1), F.lit(2))))
     return reports.select(
@@ -37,14 +43,14 @@ def incident_feed(spark, folder):
         F.concat(F.lit("C"), "event_id").alias("Case Number"),
         when.otherwise(F.date_format("ts", ISO)).alias("Date"),
         F.concat(F.lit('the "'), event_type, F.lit('", corner')).alias("Block"),
-        F.lpad(k_of("props").cast("string"), 4, "0").alias("IUCR"),
+        padded(k_of("props"), 4).alias("IUCR"),
         F.upper(event_type).alias("Primary Type"),
         F.concat(F.lit("version "), F.col("version")).alias("Description"),
         F.lit(None).cast("string").alias("Location Description"),
         flag.otherwise("").alias("Arrest"),
         domestic.alias("Domestic"),
-        F.lpad((user % 40).cast("string"), 4, "0").alias("Beat"),
-        F.lpad((user % 20).cast("string"), 3, "0").alias("District"),
+        padded(user % 40, 4).alias("Beat"),
+        padded(user % 20, 3).alias("District"),
         F.when(user % 10 == 3, "n/a").otherwise((user % 10).cast("string")).alias("Ward"),
         (user % 25).cast("string").alias("Community Area"),
         F.substring(event_type, 1, 2).alias("FBI Code"),
@@ -52,8 +58,8 @@ def incident_feed(spark, folder):
         F.lit("2").alias("Y Coordinate"),
         F.date_format("ts", "yyyy").alias("Year"),
         F.date_format(updated, ISO).alias("Updated On"),
-        F.when(value >= 10, F.concat(F.lit("41."), padded)).alias("Latitude"),
-        F.concat(F.lit("-87."), padded).alias("Longitude"),
+        F.when(value >= 10, F.concat(F.lit("41."), user_digits)).alias("Latitude"),
+        F.concat(F.lit("-87."), user_digits).alias("Longitude"),
         F.lit("(41, -87)").alias("Location"),
     )
 
@@ -67,7 +73,8 @@ INCIDENTS_SQL = """
                  WHEN event_type = 'click' THEN date_trunc('second', ts)
                  ELSE CAST(date_trunc('millisecond', ts) AS TIMESTAMP) END AS date,
             'the "' || event_type || '", corner' AS block,
-            lpad(regexp_extract(props, '(\\d+)', 1), 4, '0') AS iucr,
+            lpad(regexp_extract(props, '(\\d+)', 1),
+                greatest(4, length(regexp_extract(props, '(\\d+)', 1)))::INT, '0') AS iucr,
             upper(event_type) AS primary_type, 'version ' || version AS description,
             CAST(NULL AS VARCHAR) AS location_description,
             CASE WHEN version = 1 THEN NULL WHEN event_type IN ('purchase', 'view')
@@ -92,12 +99,10 @@ INCIDENTS_SQL = """
 
 
 def code_feed(spark, folder):
-    """Every part as a code of four characters, untidy."""
+    """Every part as a code of four characters or more, untidy."""
     parts = Tables(spark, folder).part
     return parts.select(
-        F.concat(F.lit(" "), F.lpad(F.col("p_partkey").cast("string"), 4, "0")).alias(
-            "IUCR"
-        ),
+        F.concat(F.lit(" "), padded(F.col("p_partkey"), 4)).alias("IUCR"),
         F.col("p_name").alias("Primary Description"),
         F.col("p_type").alias("Secondary Description"),
         F.when(F.col("p_size") > 25, "i").otherwise("n").alias("Index Code"),
@@ -110,9 +115,8 @@ def code_feed(spark, folder):
 
 CODES_SQL = """
     codes AS (
-        SELECT CASE WHEN p_partkey < 10000
-                    THEN lpad(CAST(p_partkey AS VARCHAR), 4, '0')
-                    ELSE substr(CAST(p_partkey AS VARCHAR), 1, 4) END AS iucr,
+        SELECT lpad(CAST(p_partkey AS VARCHAR),
+                greatest(4, length(CAST(p_partkey AS VARCHAR)))::INT, '0') AS iucr,
             p_name AS primary_description, p_type AS secondary_description,
             CASE WHEN p_size > 25 THEN 'I' ELSE 'N' END AS index_code,
             CASE p_size % 3 WHEN 0 THEN FALSE WHEN 1 THEN TRUE END AS active,

@@ -1,12 +1,11 @@
 """Keys looked up in dimensions."""
 
-from datetime import date
 
 from pyspark.sql import functions as F
 
 from starkeep.functions.keys import date_key, hour_key
 from starkeep.operators.asof import asof_key
-from starkeep.operators.dimensions import days_between, describe_days
+from starkeep.operators.dimensions import days_covering, describe_days
 from starkeep.operators.joins import enrich, left_lookup
 from starkeep.operators.surrogate import assign_keys
 from starkeep.plans.reports import prefixed
@@ -140,10 +139,11 @@ SELECT year(o_orderdate) AS order_year, monthname(l_shipdate) AS ship_month,
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1, 2, 3
 """)
 def role_playing_dates(spark, folder):
-    """One calendar in two roles."""
+    """One calendar in two roles; it covers the days of both."""
     t = Tables(spark, folder)
-    calendar = describe_days(days_between(spark, date(1990, 1, 1), date(2010, 12, 31)))
-    calendar = F.broadcast(calendar)  # 21 years of days
+    both = t.lineitem.select(F.to_date("l_shipdate").alias("day"))
+    both = both.union(t.orders.select(F.to_date("o_orderdate")))
+    calendar = F.broadcast(describe_days(days_covering(both, "day")))  # one row a day
     lines = t.lineitem.select("l_orderkey", date_key(F.col("l_shipdate")).alias("shipped"))
     orders = t.orders.select("o_orderkey", date_key(F.col("o_orderdate")).alias("ordered"))
     facts = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))

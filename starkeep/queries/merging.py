@@ -20,6 +20,7 @@ from starkeep.operators.scd import (
 from starkeep.operators.surrogate import assign_keys, fill_keys
 from starkeep.plans.schemas import LIFE, table
 from starkeep.queries.registry import Tables, query
+from starkeep.sources.files import materialize
 
 
 USERS = VersionSpec(surrogate="user_key", keys=("user_id",), tracked=("event_type",))
@@ -207,44 +208,41 @@ def surrogate_keys(spark, folder):
     return assign_keys(parts, "part_key", ["p_name", "p_partkey"])
 
 
-# Bridges: an order with the brands of its first four lines as repeated columns.
+# Bridges: an order with the brands of all its lines, in their order.
 
-POSITIONS = (1, 2, 3, 4)
 
-
-def brand_columns(spark, folder):
+def order_brands(spark, folder):
+    """The brands of an order's lines as an array; line numbers may repeat."""
     t = Tables(spark, folder)
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
     brands = t.part.select("p_partkey", "p_brand")
     joined = lines.join(brands, F.col("l_partkey") == F.col("p_partkey"))
-    columns = [
-        F.max(F.when(F.col("l_linenumber") == i, F.col("p_brand"))).alias(f"brand_{i}")
-        for i in POSITIONS
-    ]
-    return joined.groupBy("l_orderkey").agg(*columns)
+    listed = F.array_sort(F.collect_list(F.struct("l_linenumber", "p_brand")))
+    return joined.groupBy("l_orderkey").agg(listed.getField("p_brand").alias("brands"))
 
 
 BRIDGE_SQL = """
-    SELECT l_orderkey, CAST(l_linenumber AS SMALLINT) AS position, max(p_brand) AS brand
-    FROM lineitem JOIN part ON p_partkey = l_partkey
-    WHERE l_linenumber <= 4 GROUP BY 1, 2"""
+    SELECT l_orderkey, p_brand AS brand, CAST(row_number() OVER (
+        PARTITION BY l_orderkey ORDER BY l_linenumber, p_brand) AS SMALLINT) AS position
+    FROM lineitem JOIN part ON p_partkey = l_partkey"""
 
 
 @query(BRIDGE_SQL)
 def bridge_rows(spark, folder):
-    groups = [{"brand": f"brand_{i}"} for i in POSITIONS]
-    return B.bridge_from_columns(
-        brand_columns(spark, folder), "l_orderkey", groups, "brand"
-    )
+    """From repeated columns, as many as the longest order has lines."""
+    orders = materialize(order_brands(spark, folder), "order-brands")
+    most = orders.agg(F.max(F.size("brands"))).first()[0] or 1
+    columns = [F.get("brands", F.lit(i)).alias(f"brand_{i + 1}") for i in range(most)]
+    groups = [{"brand": f"brand_{i + 1}"} for i in range(most)]
+    wide = orders.select("l_orderkey", *columns)
+    return B.bridge_from_columns(wide, "l_orderkey", groups, "brand")
 
 
 @query(BRIDGE_SQL)
 def bridge_from_text(spark, folder):
     """The same members from one delimited field."""
-    fields = [F.coalesce(f"brand_{i}", F.lit("")) for i in POSITIONS]
-    listed = brand_columns(spark, folder).select(
-        "l_orderkey", F.concat_ws("|", *fields).alias("brands")
-    )
+    brands = F.concat_ws("|", "brands").alias("brands")
+    listed = order_brands(spark, folder).select("l_orderkey", brands)
     return B.bridge_from_list(listed, "l_orderkey", "brands", "brand")
 
 

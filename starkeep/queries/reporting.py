@@ -8,15 +8,14 @@ from starkeep.functions.banding import first_match, temperature_band
 from starkeep.functions.calendar import day_of_week
 from starkeep.functions.keys import date_key, flag_measure, hour_key
 from starkeep.operators import filters
-from starkeep.operators.dimensions import days_between, describe_days
+from starkeep.operators.dimensions import days_covering, describe_days
 from starkeep.plans import reports as R
 from starkeep.queries.registry import Tables, money, query
 
 
-def calendar(spark):
-    return F.broadcast(
-        describe_days(days_between(spark, date(1990, 1, 1), date(2010, 12, 31)))
-    )
+def calendar(df, column):
+    """The days the events cover."""
+    return describe_days(days_covering(df, column))
 
 
 def star(spark, folder):
@@ -66,7 +65,7 @@ def smoke_top10(spark, folder):
     """Largest groups of one calendar year."""
     t = Tables(spark, folder)
     facts = t.orders.select("o_custkey", date_key(F.col("o_orderdate")).alias("date_key"))
-    year = calendar(spark).filter(F.col("year") == 1997).select("date_key")
+    year = calendar(t.orders, "o_orderdate").filter("year = 1997").select("date_key")
     joined = R.join_star(
         facts,
         [

@@ -41,8 +41,16 @@ def test_pair_counts_against_brute_force(spark):
     df = spark.createDataFrame(data, "p int, m string")
     got = bridge.pair_counts(df, "p", "m").collect()
     assert {(r.member_a, r.member_b): r.n_parents for r in got} == expected
-    with pytest.raises(ValueError):
-        bridge.pair_counts(df, "p", "m", max_members=3)
+
+
+def test_pair_counts_of_a_large_parent(spark, monkeypatch):
+    """A member domain and a parent of any size."""
+    monkeypatch.setattr(bridge, "SPLIT", 7)
+    df = spark.range(5000).selectExpr("id % 2500 AS p", "cast(id AS string) AS m")
+    big = spark.range(60).selectExpr("-1 AS p", "cast(id AS string) AS m")
+    got = bridge.pair_counts(df.union(big), "p", "m")
+    assert got.count() == 2500 + 60 * 59 // 2
+    assert got.filter("n_parents <> 1").count() == 0
 
 
 def test_shaping(spark):
