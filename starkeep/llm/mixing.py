@@ -22,8 +22,9 @@ SHARD_SLOTS = 1024
 ROUNDS = 16
 SEED = 7
 WORD = r"[^\x20\x09-\x0D]+"
-#: Documents of one source whose places are counted together, and slots made from one row.
+#: Documents of one source whose places are counted together, and slots made from one row and in one task.
 BUCKET = 4096
+TASK_SLOTS = 1 << 16
 
 
 def sizes(docs: DataFrame) -> DataFrame:
@@ -120,9 +121,10 @@ def slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int =
     plan = plan.filter("slots > 0")
     run = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(slots - 1) div {BUCKET}")))
     last = F.least(F.col("slots"), (F.col("run") + 1) * BUCKET) - 1
+    tasks = 1 + (plan.agg(F.sum("slots")).first()[0] or 0) // TASK_SLOTS
     made = (
         plan.withColumn("run", run)
-        .repartition("sid", "run")
+        .repartition(tasks, "sid", "run")
         .withColumn("slot", F.explode(F.sequence(F.col("run") * BUCKET, last)))
     )
     return made.select(
@@ -145,6 +147,8 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     targets = materialize(source_targets(sized), "targets")
     known = targets.select("sid", "source", "source_size", "target")
     takes = slots(targets, block_words).groupBy("sid", "block").agg(F.count("*").alias("times"))
+    # the planner can't know how many slots come of a few sources, and would broadcast them
+    takes = takes.hint("merge")
     taken = (
         pieces(laid_out(sized, targets), block_words)
         .join(takes, ["sid", "block"], "left")
@@ -179,6 +183,7 @@ def mixed_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     )
     return (
         slots(targets, block_words)
+        .hint("merge")
         .join(parts, ["sid", "block"])
         .join(targets.select("sid", "source"), "sid")
         .select("shard", "source", "slot", "block", "text")
