@@ -45,7 +45,8 @@ def asof_key(
     """Add ``spec.surrogate`` to every fact row; no row is lost or repeated.
 
     Keys match null-safely. Reserved members never match: a fact whose key is all NULL,
-    or whose day lies before the first version, gets ``default``.
+    or whose day lies before the first version, gets ``default``. Of versions that overlap
+    the later start counts, and of equal starts the larger surrogate, whichever way is taken.
 
     A small dimension is broadcast and the day range is checked on the fly, which costs a
     fact one comparison per version of its key. A large dimension, or one with many
@@ -54,9 +55,7 @@ def asof_key(
     frame with the same keys and days, where ``facts`` is the outcome of earlier joins.
     """
     on = dict(on or {k: k for k in spec.keys})
-    versions = dimension.filter(F.col(spec.surrogate) > 0).select(
-        *spec.keys, spec.start, spec.end, spec.surrogate
-    )
+    versions = _apart(dimension.filter(F.col(spec.surrogate) > 0), spec)
     if _few(versions, spec.keys, broadcast_rows):
         return _by_range(facts, versions, spec, on, event_date, default)
     probe = facts if probe is None else probe
@@ -73,6 +72,15 @@ def asof_key(
     )
 
 
+def _apart(versions: DataFrame, spec: VersionSpec) -> DataFrame:
+    """One version per key and start, each ending where the next one starts at the latest."""
+    last = F.max_by(F.struct(spec.end, spec.surrogate), spec.surrogate).alias("_v")
+    one = versions.groupBy(*spec.keys, spec.start).agg(last)
+    following = F.lead(spec.start).over(Window.partitionBy(*spec.keys).orderBy(spec.start))
+    end = F.least(F.col(f"_v.{spec.end}"), following).alias(spec.end)
+    return one.select(*spec.keys, spec.start, end, f"_v.{spec.surrogate}")
+
+
 def _few(versions: DataFrame, keys: Sequence[str], rows: int) -> bool:
     """At most ``rows`` versions in all and ``RANGE_VERSIONS`` of any key."""
     sizes = versions.limit(rows + 1).groupBy(*keys).agg(F.count("*").alias("n"))

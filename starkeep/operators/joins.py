@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from starkeep.sources.files import materialize
 
 BROADCAST_ROWS = 100_000
-HOT_SHARE = 1000  # a key with more than one row in this many is hot: under 1000 keys
+HOT_SHARE = 1000  # a key with more than one row in this many is hot, at the least
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
@@ -37,8 +37,9 @@ def left_lookup(
 ) -> DataFrame:
     """Add columns of ``lookup`` to every fact row; no fact row is lost or repeated.
 
-    ``on`` maps fact columns to lookup columns (unique in ``lookup``), ``take`` maps
-    lookup columns to the new names, ``defaults`` fills the new columns on a miss.
+    ``on`` maps fact columns to lookup columns, ``take`` maps lookup columns to the new
+    names, ``defaults`` fills the new columns on a miss. Of lookup rows with the same key
+    the one with the smallest values counts.
 
     A lookup that is small by count, or ``bounded`` by its making, is broadcast.
     Beyond that both sides are shuffled, with hot keys spread by a salt. ``probe`` is a
@@ -51,6 +52,9 @@ def left_lookup(
         *[F.col(c).alias(f"_t{i}") for i, c in enumerate(take)],
     )
     keyed = {a: columns[b] for a, b in on.items()}
+    values = F.struct(*[f"_t{i}" for i in range(len(take))])
+    slim = slim.groupBy(*columns.values()).agg(F.min(values).alias("_v"))
+    slim = slim.select(*columns.values(), "_v.*")
     if bounded or fits_broadcast(slim, broadcast_rows):
         condition = _match("f", "l", keyed, null_safe)
         joined = facts.alias("f").join(F.broadcast(slim).alias("l"), condition, "left")
@@ -71,11 +75,13 @@ def left_lookup(
 
 
 def hot_keys(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that hold more than a thousandth of all rows, so fewer than a thousand.
+    """Keys that hold more than a thousandth of all rows, or than half a fair partition.
 
-    Counted once and written, because both sides of the join use them.
+    So there are fewer than a thousand, or than twice the shuffle partitions. Counted once
+    and written, because both sides of the join use them.
     """
-    least = facts.count() / HOT_SHARE
+    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = facts.count() / max(HOT_SHARE, 2 * partitions)
     counts = facts.groupBy(*keys).agg(F.count("*").alias("_n"))
     return materialize(counts.filter(F.col("_n") > least).select(*keys), "hot-keys")
 

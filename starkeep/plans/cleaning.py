@@ -128,17 +128,17 @@ def add_incidents(
     is the latest. Only these dates are read, and only the years are rewritten where a
     new row or an older report of the same incident lies.
     """
-    raw = read_csv(store.spark, landing, source)
+    raw = read_csv(store.spark, landing, source, days=days)
     if raw is None:
         return store.read(table)
-    raw = raw.filter(F.col("ingest_date").isin(list(days))).drop("ingest_date")
-    batch = materialize(clean_incidents(raw), "incidents")
+    batch = materialize(clean_incidents(raw.drop("ingest_date")), "incidents")
     current = store.read(table)
     known = current.select("id", YEAR_COLUMN)
     moved = known.join(batch.select("id"), "id", "left_semi").select(YEAR_COLUMN)
     touched = batch.select(YEAR_COLUMN).union(moved).distinct()
     years = [row[0] for row in touched.collect()]  # a handful: calendar years
-    base = current.filter(F.col(YEAR_COLUMN).isin(years))
+    wanted = F.col(YEAR_COLUMN).isin([y for y in years if y is not None])
+    base = current.filter(wanted | F.col(YEAR_COLUMN).isNull() if None in years else wanted)
     state = newest_reports(base.unionByName(batch))
     return store.publish(table, state, YEAR_COLUMN, years)
 

@@ -391,6 +391,14 @@ def charge_bridge(
     return rows.select(*schemas.CONTRACTS["bridge_arrest_charge"].schema.names)
 
 
+def require_unique(rows: DataFrame, key: str, table: str) -> None:
+    """Raise for natural keys that are NULL or repeated."""
+    bad = rows.groupBy(key).count().filter(F.col(key).isNull() | (F.col("count") > 1))
+    found = [r[0] for r in bad.select(key).limit(5).collect()]
+    if found:
+        raise ValueError(f"{table}: {key} missing or repeated, for instance {found}")
+
+
 def load_facts(
     store: TableStore,
     table: str,
@@ -403,16 +411,22 @@ def load_facts(
 
     Only new and changed facts are merged, and only the years they touch are rewritten:
     the years of the incoming rows and those where their older copies lie (a corrected
-    date moves a fact). A repeated load writes nothing.
+    date moves a fact). A repeated load writes nothing. A natural key that is missing or comes twice
+    in one load is refused before anything is published.
     """
     year = (F.col(year_of) / 10000).cast("int")
     incoming = facts.withColumn(FACT_PARTITION, year)
     if not store.exists(table):
-        numbered = assign_keys(incoming, surrogate, [key])
+        staged = materialize(incoming, table)
+        require_unique(staged, key, table)
+        # only the keys are sorted to be numbered; the rows are joined once
+        keyed = assign_keys(staged.select(key), surrogate, [key])
+        numbered = staged.join(keyed, key).select(surrogate, *incoming.columns)
         published = store.publish(table, numbered, FACT_PARTITION, sort_by=[year_of])
         return {"upserted": published.count()}
     current = store.read(table)
     staged = materialize(changed_rows(current, incoming, [key]), table)
+    require_unique(staged, key, table)
     n = staged.count()
     if n == 0:
         return {"upserted": 0}
@@ -423,7 +437,10 @@ def load_facts(
     new = staged.join(known.select(key), key, "left_anti")
     top = known.agg(F.coalesce(F.max(surrogate), F.lit(0))).first()[0]
     keyed = assign_keys(new.select(key), surrogate, [key], top + 1)
-    base = current.filter(F.col(FACT_PARTITION).isin(years))
+    touched_years = F.col(FACT_PARTITION).isin([y for y in years if y is not None])
+    if None in years:
+        touched_years = touched_years | F.col(FACT_PARTITION).isNull()
+    base = current.filter(touched_years)
     state = scd1_upsert(base, staged, [key]).alias("s")
     state = state.join(keyed.withColumnRenamed(surrogate, "_fresh"), key, "left")
     state = state.withColumn(surrogate, F.coalesce(surrogate, "_fresh"))

@@ -31,6 +31,28 @@ def landed(spark, df, source, fmt="csv", **options):
     return root
 
 
+def two_layouts(spark, folder):
+    """Codes landed on two days: the older files lack a column, the newer have one more in front."""
+    codes = feeds.code_feed(spark, folder)
+    key = F.trim("IUCR").cast("int")
+    root = scratch_path(spark, "landing")
+    land(codes.filter(key % 3 == 0).drop("Active"), root, "codes", date(2024, 5, 1))
+    newer = codes.filter(key % 3 != 0).select(F.lit("n,1").alias("Note"), *reversed(codes.columns))
+    land(newer, root, "codes", RUN_DATE)
+    return root
+
+
+@query(f"""
+WITH {feeds.CODES_SQL}
+SELECT iucr, primary_description, secondary_description, index_code,
+    CASE WHEN CAST(iucr AS INTEGER) % 3 <> 0 THEN active END AS active, _ingest_year
+FROM codes
+""")
+def changing_headers(spark, folder):
+    """Files of different layouts are each read by their own header."""
+    return cleaning.load_codes(spark, two_layouts(spark, folder), "codes", RUN_DATE)
+
+
 def text_times(spark, folder):
     """Event times as text in both formats, one type unreadable."""
     kind = F.col("event_type")

@@ -39,19 +39,24 @@ added AS (
         + row_number() OVER (ORDER BY o_orderkey) AS new_pk
     FROM orders WHERE o_orderstatus = 'P')
 SELECT coalesce(old_pk, new_pk) AS order_pk, orders.o_orderkey,
-    CAST(strftime(CASE WHEN o_orderstatus = 'F' THEN orders.o_orderdate
-        ELSE orders.o_orderdate + INTERVAL 400 DAY END, '%Y%m%d') AS INTEGER) AS date_key
+    CASE WHEN orders.o_orderkey % 10 <> 3 THEN
+        CAST(strftime(CASE WHEN o_orderstatus = 'F' THEN orders.o_orderdate
+            ELSE orders.o_orderdate + INTERVAL 400 DAY END, '%Y%m%d') AS INTEGER)
+        END AS date_key
 FROM orders LEFT JOIN loaded USING (o_orderkey, o_orderstatus)
 LEFT JOIN added ON added.o_orderkey = orders.o_orderkey
 """)
 def fact_upsert(spark, folder):
-    """Facts loaded twice: known ones move to another year and keep their key."""
+    """Facts loaded twice: known ones move to another year and keep their key.
+
+    Some have no day in either load; they share the partition without a value.
+    """
     orders = Tables(spark, folder).orders
 
     def facts(df, shift):
         day = F.date_add(F.to_date("o_orderdate"), shift)
-        key = F.date_format(day, "yyyyMMdd").cast("int").alias("date_key")
-        return df.select("o_orderkey", key)
+        key = F.date_format(day, "yyyyMMdd").cast("int")
+        return df.select("o_orderkey", F.when(F.col("o_orderkey") % 10 != 3, key).alias("date_key"))
 
     store = TableStore(spark, scratch_path(spark, "store"))
     first = facts(orders.filter(F.col("o_orderstatus") != "P"), 0)

@@ -6,6 +6,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Schemes of stores that have no atomic rename.
+OBJECT_STORES = {"s3", "s3a", "s3n", "gs", "wasb", "wasbs", "cosn", "oss", "obs"}
+
+
 def _path(spark: SparkSession, uri: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(uri)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -29,10 +33,31 @@ def read_text(spark: SparkSession, uri: str) -> str | None:
         stream.close()
 
 
+def first_line(spark: SparkSession, uri: str) -> str | None:
+    """The first line of a text file without its end; None for an empty file."""
+    path, fs = _path(spark, uri)
+    jvm = spark._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(path), "UTF-8"))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
 def replace_text(spark: SparkSession, uri: str, text: str) -> None:
-    """Write a small file aside, then rename it over the old one."""
+    """Replace a small file in one step, so readers see the old text or the new.
+
+    File systems that rename atomically get it written aside and renamed over the old one. On
+    object stores a rename is a copy and a delete, while an object appears as a whole when
+    its stream is closed: there it is overwritten.
+    """
     jvm = spark._jvm
-    target, _ = _path(spark, uri)
+    target, fs = _path(spark, uri)
+    if fs.getScheme() in OBJECT_STORES:
+        stream = fs.create(target, True)
+        stream.write(bytearray(text, "utf-8"))
+        stream.close()
+        return
     aside, fs = _path(spark, f"{uri}.{uuid.uuid4().hex}")
     stream = fs.create(aside, True)
     stream.write(bytearray(text, "utf-8"))

@@ -4,16 +4,21 @@ Files are only ever added. CSV columns are read as text and typed later; a sourc
 without files yields an empty frame, and the reader is not called.
 """
 
+import csv
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starkeep.sources.files import glob
+from starkeep.sources.files import first_line, glob
 
 # The CSV dialect.
 CSV_DIALECT = {"header": True, "quote": '"', "escape": '"'}
+HEADER_THREADS = 16
 
 
 def source_folder(root: str, source: str) -> str:
@@ -29,20 +34,46 @@ def _reader(spark: SparkSession, suffix: str):
     return spark.read.option("mode", "PERMISSIVE").option("pathGlobFilter", f"*{suffix}")
 
 
+def _csv_layouts(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header; empty files have none and are left out."""
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        lines = list(pool.map(partial(first_line, spark), files))
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for file, line in zip(files, lines, strict=True):
+        if line:
+            header = tuple(next(csv.reader([line.removeprefix("\ufeff")])))
+            layouts.setdefault(header, []).append(file)
+    return layouts
+
+
 def read_csv(
-    spark: SparkSession, root: str, source: str, schema: T.StructType | None = None
+    spark: SparkSession,
+    root: str,
+    source: str,
+    schema: T.StructType | None = None,
+    days: Sequence[date] | None = None,
 ) -> DataFrame | None:
     """All landed CSV files as text columns plus ``ingest_date``; None without files.
 
-    Names come from the header. With ``schema`` the header is not read ahead, and a
-    file whose header differs fails instead of shifting columns.
+    Names come from each file's own header: files are grouped by header, each group is
+    read by it, and the groups are joined by name, with NULL for columns a file lacks. With ``schema`` no header is read ahead, and a
+    file whose header differs fails instead of shifting columns. With ``days`` only files
+    of these ingest dates are listed and read.
     """
-    if not has_files(spark, root, source, ".csv"):
+    folder = source_folder(root, source)
+    dates = ["*"] if days is None else sorted({day.isoformat() for day in days})
+    files = [f for day in dates for f in glob(spark, f"{folder}/ingest_date={day}/*.csv")]
+    if not files:
         return None
-    reader = _reader(spark, ".csv").options(**CSV_DIALECT)
+    reader = _reader(spark, ".csv").options(**CSV_DIALECT, enforceSchema=False)
+    reader = reader.option("basePath", folder)
     if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
-    return reader.csv(source_folder(root, source))
+        return reader.schema(schema).csv(files)
+    parts = []
+    for header, group in sorted(_csv_layouts(spark, files).items()):
+        text = T.StructType([T.StructField(name, T.StringType()) for name in header])
+        parts.append(reader.schema(text).csv(group))
+    return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), parts) if parts else None
 
 
 def read_json(

@@ -17,6 +17,16 @@ from pyspark.sql import types as T
 from starkeep.sources.files import delete, glob, read_text, replace_text
 
 LOAD = "_load"
+# Fixed value: Spark's folder name for rows without a partition value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _folder_value(spark: SparkSession, value) -> str:
+    """A partition value as Spark writes it in a folder's name."""
+    if value is None or value == "":
+        return NO_VALUE
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return utils.escapePathName(str(value))
 
 
 class TableStore:
@@ -57,8 +67,8 @@ class TableStore:
     ) -> DataFrame:
         """Make ``df`` the table's state and return the published table.
 
-        With ``replacing`` (values of ``partition_by``) only those partitions change:
-        they become what ``df`` holds of them, the other partitions keep their files.
+        With ``replacing`` (values of ``partition_by``, NULL among them) only those
+        partitions change: they become what ``df`` holds of them, the others keep their files.
 
         Rows of one partition value are brought together before the write, in several
         tasks where they are many, so neither many small files nor one huge task arises.
@@ -79,7 +89,7 @@ class TableStore:
         written = self._written(base, load, partition_by)
         if replacing is not None:
             before = self._pointer(table)
-            gone = {str(value) for value in replacing}
+            gone = {_folder_value(self.spark, value) for value in replacing}
             kept = before["folders"] if before else {}
             written = {v: f for v, f in kept.items() if v not in gone} | written
         pointer = {

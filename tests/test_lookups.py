@@ -48,6 +48,35 @@ def test_asof(spark, dim, limit):
     }
 
 
+@pytest.mark.parametrize("limit", [100, 0])
+def test_overlapping_versions_give_one_key(spark, limit):
+    """The later start counts, of equal starts the larger surrogate, on either path."""
+    versions = [
+        (1, "A", date(2020, 1, 1), date(2025, 1, 1)),
+        (2, "A", date(2022, 1, 1), date(2023, 1, 1)),
+        (3, "B", date(2020, 1, 1), date(9999, 12, 31)),
+        (4, "B", date(2020, 1, 1), date(2021, 1, 1)),
+    ]
+    asked = [("A", 2021), ("A", 2022), ("A", 2024), ("B", 2020), ("B", 2024)]
+    facts = [(i, k, date(year, 6, 1)) for i, (k, year) in enumerate(asked)]
+    got = asof_key(
+        spark.createDataFrame(facts, FACTS),
+        spark.createDataFrame(versions, VERSIONS),
+        SPEC,
+        "day",
+        broadcast_rows=limit,
+    )
+    assert sorted((r.id, r.dim_key) for r in got.collect()) == [(0, 1), (1, 2), (2, 0), (3, 4), (4, 0)]
+
+
+@pytest.mark.parametrize("limit", [100, 0])
+def test_repeated_lookup_keys_repeat_no_fact(spark, limit):
+    facts = spark.createDataFrame([(1, "A"), (2, "B"), (3, None)], "id int, k string")
+    lookup = spark.createDataFrame([("A", 7), ("A", 5), ("A", 7), (None, 1)], "k string, v int")
+    got = left_lookup(facts, lookup, {"k": "k"}, {"v": "v"}, null_safe=True, broadcast_rows=limit)
+    assert sorted((r.id, r.v) for r in got.collect()) == [(1, 5), (2, None), (3, 1)]
+
+
 def test_closed_interval_repeats_the_boundary(spark):
     closed = spark.createDataFrame(
         [(10, "A", date(2020, 1, 1), date(2023, 1, 1)),

@@ -90,3 +90,40 @@ def test_fact_upsert(store):
     assert state(store) == [(1, 1, 20230101, 1), (2, 2, 20240101, 5), (3, 3, 0, 1)]
     load(store, (2, 20230202, 5))  # the corrected date moves the fact to another year
     assert state(store) == [(1, 1, 20230101, 1), (2, 2, 20230202, 5), (3, 3, 0, 1)]
+
+
+def test_rows_without_a_partition_value_stay(spark, store):
+    """A load replaces the partition without a value only with all its rows."""
+    schema = "k int, day int"
+    for batch in ([(1, None), (2, None), (3, 20240101)], [(4, None)], [(1, 20240105)], [(5, 20230101)]):
+        load_facts(store, "f", spark.createDataFrame(batch, schema), "pk", "k", "day")
+    got = sorted((r.k, r.day) for r in store.read("f").select("k", "day").collect())
+    assert got == [(1, 20240105), (2, None), (3, 20240101), (4, None), (5, 20230101)]
+
+
+def test_partition_values_are_escaped(spark, store):
+    schema = "id int, place string"
+    store.publish("t", spark.createDataFrame([(1, "a/b=c"), (2, None), (3, "x")], schema), "place")
+    new = spark.createDataFrame([(9, "a/b=c"), (8, None)], schema)
+    got = store.publish("t", new, "place", replacing=["a/b=c", None])
+    assert sorted(r.id for r in got.collect()) == [3, 8, 9]
+
+
+def test_repeated_natural_keys_are_refused(spark, store):
+    schema = "k int, day int"
+    good = spark.createDataFrame([(1, 20240101)], schema)
+    for bad in ([(2, 20240101), (2, 20240102)], [(None, 20240101)]):
+        with pytest.raises(ValueError, match="k missing or repeated"):
+            load_facts(store, "f", good.union(spark.createDataFrame(bad, schema)), "pk", "k", "day")
+        assert not store.exists("f")
+    load_facts(store, "f", good, "pk", "k", "day")
+    with pytest.raises(ValueError):
+        load_facts(store, "f", spark.createDataFrame([(3, 1), (3, 2)], schema), "pk", "k", "day")
+    assert store.read("f").count() == 1
+
+
+def test_pointer_is_overwritten_on_object_stores(spark, store, monkeypatch):
+    monkeypatch.setattr("starkeep.sources.files.OBJECT_STORES", {"file"})
+    for value in (1, 2):
+        store.publish("t", spark.createDataFrame([(value,)], "id int"))
+    assert [r.id for r in store.read("t").collect()] == [2]
