@@ -91,6 +91,36 @@ def schema_drift(df: DataFrame, contract: Contract) -> list[tuple[str, str, str]
     ]
 
 
+class GateError(ValueError):
+    """A table that breaks its contract; it is not published."""
+
+
+def require(table: str, *reports: DataFrame) -> None:
+    """Raise for any report ``(rule, n_violations)`` with violations."""
+    rows = reduce(DataFrame.unionByName, reports).filter("n_violations > 0")
+    found = [f"{r['rule']} ({r['n_violations']})" for r in rows.limit(20).collect()]
+    if found:
+        raise GateError(f"{table}: {'; '.join(sorted(found))}")
+
+
+def version_violations(dimension: DataFrame, spec: VersionSpec) -> DataFrame:
+    """How many natural keys have a broken chain of versions, as ``(rule, n_violations)``."""
+    faults = version_faults(dimension, spec).agg(F.count("*").alias("n_violations"))
+    return faults.select(F.lit("versions").alias("rule"), "n_violations")
+
+
+def orphan_violations(
+    facts: DataFrame, members: Mapping[str, tuple[DataFrame, str]]
+) -> DataFrame:
+    """How many rows have a foreign key without a member, as ``(rule, n_violations)``."""
+    parts = []
+    for key, (dimension, member) in members.items():
+        rows = F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_violations")
+        lost = orphans(facts, key, dimension, member).agg(rows)
+        parts.append(lost.select(F.lit(f"member: {key}").alias("rule"), "n_violations"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def contract_violations(df: DataFrame, contract: Contract) -> DataFrame:
     """``(rule, n_violations)`` for every not-null column and unique key.
 
@@ -98,6 +128,9 @@ def contract_violations(df: DataFrame, contract: Contract) -> DataFrame:
     """
     required = [f.name for f in contract.schema.fields if not f.nullable]
     parts = []
+    spark = df.sparkSession
+    if not required and not contract.unique:
+        return spark.createDataFrame([], "rule string, n_violations long")
     if required:
         nulls = df.agg(
             *[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in required]

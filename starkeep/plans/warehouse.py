@@ -8,8 +8,9 @@ from datetime import date
 from functools import partial, reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starkeep.functions.keys import (
     NOT_APPLICABLE_KEY,
@@ -29,6 +30,14 @@ from starkeep.operators.dimensions import (
     with_reserved,
 )
 from starkeep.operators.joins import enrich, left_lookup
+from starkeep.operators.quality import (
+    Contract,
+    GateError,
+    contract_violations,
+    orphan_violations,
+    require,
+    version_violations,
+)
 from starkeep.operators.scd import (
     VersionSpec,
     change_counts,
@@ -194,7 +203,10 @@ def load_versioned(
     if spread is not None:
         state = spread_attribute(state, incoming, *spread)
     order = [*spec.keys, spec.start]
-    store.publish(table, fill_keys(state, spec.surrogate, order))
+    state = materialize(fill_keys(state, spec.surrogate, order), table)
+    gate = version_violations(state, spec)
+    require(table, gate, contract_violations(state, schemas.CONTRACTS[table]))
+    store.publish(table, state)
     return counts
 
 
@@ -391,12 +403,18 @@ def charge_bridge(
     return rows.select(*schemas.CONTRACTS["bridge_arrest_charge"].schema.names)
 
 
+def in_values(column: str, values: Sequence) -> Column:
+    """``isin`` that finds NULL as well, where it is among the values."""
+    found = F.col(column).isin([v for v in values if v is not None])
+    return found | F.col(column).isNull() if None in values else found
+
+
 def require_unique(rows: DataFrame, key: str, table: str) -> None:
     """Raise for natural keys that are NULL or repeated."""
     bad = rows.groupBy(key).count().filter(F.col(key).isNull() | (F.col("count") > 1))
     found = [r[0] for r in bad.select(key).limit(5).collect()]
     if found:
-        raise ValueError(f"{table}: {key} missing or repeated, for instance {found}")
+        raise GateError(f"{table}: {key} missing or repeated, for instance {found}")
 
 
 def load_facts(
@@ -406,19 +424,31 @@ def load_facts(
     surrogate: str,
     key: str,
     year_of: str,
+    members: Mapping[str, tuple[DataFrame, str]] | None = None,
 ) -> dict[str, int]:
     """Upsert by natural key; known facts keep their surrogate.
 
     Only new and changed facts are merged, and only the years they touch are rewritten:
     the years of the incoming rows and those where their older copies lie (a corrected
-    date moves a fact). A repeated load writes nothing. A natural key that is missing or comes twice
-    in one load is refused before anything is published.
+    date moves a fact). A repeated load writes nothing. Before anything is published the new and
+    changed facts must pass the gates: natural keys are there and unique, required
+    columns are filled, and foreign keys (``members`` maps them to dimension and key) have members.
     """
+
+    def gate(rows: DataFrame) -> None:
+        require_unique(rows, key, table)
+        reports = [orphan_violations(rows, members)] if members else []
+        if table in schemas.CONTRACTS:
+            fields = [f for f in schemas.CONTRACTS[table].schema if f.name in rows.columns]
+            reports.append(contract_violations(rows, Contract(StructType(fields))))
+        if reports:
+            require(table, *reports)
+
     year = (F.col(year_of) / 10000).cast("int")
     incoming = facts.withColumn(FACT_PARTITION, year)
     if not store.exists(table):
         staged = materialize(incoming, table)
-        require_unique(staged, key, table)
+        gate(staged)
         # only the keys are sorted to be numbered; the rows are joined once
         keyed = assign_keys(staged.select(key), surrogate, [key])
         numbered = staged.join(keyed, key).select(surrogate, *incoming.columns)
@@ -426,7 +456,7 @@ def load_facts(
         return {"upserted": published.count()}
     current = store.read(table)
     staged = materialize(changed_rows(current, incoming, [key]), table)
-    require_unique(staged, key, table)
+    gate(staged)
     n = staged.count()
     if n == 0:
         return {"upserted": 0}
@@ -437,10 +467,7 @@ def load_facts(
     new = staged.join(known.select(key), key, "left_anti")
     top = known.agg(F.coalesce(F.max(surrogate), F.lit(0))).first()[0]
     keyed = assign_keys(new.select(key), surrogate, [key], top + 1)
-    touched_years = F.col(FACT_PARTITION).isin([y for y in years if y is not None])
-    if None in years:
-        touched_years = touched_years | F.col(FACT_PARTITION).isNull()
-    base = current.filter(touched_years)
+    base = current.filter(in_values(FACT_PARTITION, years))
     state = scd1_upsert(base, staged, [key]).alias("s")
     state = state.join(keyed.withColumnRenamed(surrogate, "_fresh"), key, "left")
     state = state.withColumn(surrogate, F.coalesce(surrogate, "_fresh"))
@@ -461,25 +488,47 @@ def load_arrests(
         return {table: {"skipped": 1} for table in names}
     charges = materialize(arrest_charges(arrests), "charges")
     facts = arrest_facts(arrests, charges, dims)
+    members = {
+        "arrest_date_key": (dims["dim_date"], "date_key"),
+        "arrestee_key": (dims["dim_arrestee"], "arrestee_key"),
+    }
     counts = load_facts(
-        store, "fact_arrest", facts, "arrest_pk", "cb_no", "arrest_date_key"
+        store, "fact_arrest", facts, "arrest_pk", "cb_no", "arrest_date_key", members
     )
     published = store.read("fact_arrest")
-    fresh = charge_bridge(charges, published, arrests, dims)
-    if store.exists(names[1]):
-        # An arrest's charges are replaced as a whole: a correction may list fewer.
-        loaded = published.join(arrests.select("cb_no"), "cb_no", "left_semi")
-        old = store.read(names[1])
-        kept = old.join(loaded.select("arrest_pk"), "arrest_pk", "left_anti")
-        fresh = kept.select(*old.columns).unionByName(fresh)
-    bridge = store.publish(names[1], fresh)
-    return {names[0]: counts, names[1]: {"rows": bridge.count()}}
+    years = published.select("arrest_pk", FACT_PARTITION)
+    fresh = charge_bridge(charges, published, arrests, dims).join(years, "arrest_pk")
+    fresh = materialize(fresh, names[1])
+    require(names[1], contract_violations(fresh, schemas.CONTRACTS[names[1]]))
+    if not store.exists(names[1]):
+        bridge = store.publish(names[1], fresh, FACT_PARTITION, sort_by=["arrest_pk"])
+        return {names[0]: counts, names[1]: {"changed": bridge.count()}}
+    # An arrest's charges are replaced as a whole: a correction may list fewer.
+    loaded = published.join(arrests.select("cb_no"), "cb_no", "left_semi")
+    old = store.read(names[1]).select(*fresh.columns)
+    before = old.join(loaded.select("arrest_pk"), "arrest_pk", "left_semi")
+    differing = fresh.exceptAll(before).unionByName(before.exceptAll(fresh))
+    differing = materialize(differing.select("arrest_pk", FACT_PARTITION), "charges")
+    n = differing.count()
+    if n:
+        touched = [r[0] for r in differing.select(FACT_PARTITION).distinct().collect()]
+        changed = differing.select("arrest_pk").distinct()
+        kept = old.join(changed, "arrest_pk", "left_anti")
+        state = kept.unionByName(fresh.join(changed, "arrest_pk", "left_semi"))
+        state = state.filter(in_values(FACT_PARTITION, touched))
+        store.publish(names[1], state, FACT_PARTITION, touched, ["arrest_pk"])
+    return {names[0]: counts, names[1]: {"changed": n}}
 
 
 def build_warehouse(
-    store: TableStore, cleaned: Cleaned, run_date: date
+    store: TableStore, cleaned: Cleaned, run_date: date, drop_old: bool = False
 ) -> dict[str, dict[str, int]]:
-    """Dimensions first, then facts; returns each step's counts."""
+    """Dimensions first, then facts; returns each step's counts.
+
+    Each table passes its gates before it is published: a violation raises ``GateError``
+    and leaves the published state alone. With ``drop_old`` the loads that are no longer current are
+    deleted at the end; not while others read them.
+    """
     data = cleaned.ready()
     steps = together(
         store.spark,
@@ -510,10 +559,20 @@ def build_warehouse(
         for name in (*steps, "dim_date", "dim_time_of_day", "dim_crime_flags")
     }
     facts = incident_facts(data.incidents, data.weather, dims)
+    members = {
+        "occurrence_date_key": (dims["dim_date"], "date_key"),
+        "location_key": (dims["dim_location"], "location_key"),
+        "crime_type_key": (dims["dim_crime_type"], "crime_type_key"),
+        "flags_key": (dims["dim_crime_flags"], "flags_key"),
+    }
     steps["fact_crime"] = load_facts(
-        store, "fact_crime", facts, "crime_pk", "crime_id", "occurrence_date_key"
+        store, "fact_crime", facts, "crime_pk", "crime_id", "occurrence_date_key", members
     )
-    return steps | load_arrests(store, data.arrests, dims)
+    steps |= load_arrests(store, data.arrests, dims)
+    if drop_old:
+        for table in (*dims, "fact_crime", "fact_arrest", "bridge_arrest_charge"):
+            store.drop_old_loads(table)
+    return steps
 
 
 def clean_feeds(
@@ -541,11 +600,16 @@ def clean_feeds(
 
 
 def refresh_extract(store: TableStore, **options) -> DataFrame:
-    """Publish the wide reporting table anew; options as for ``incident_extract``."""
+    """Publish the wide reporting table anew, by year and sorted by day.
+
+    Options as for ``incident_extract``. The year is a column more than its 41.
+    """
     names = ("fact_crime", "dim_date", "dim_time_of_day", "dim_location")
     names += ("dim_crime_type", "dim_weather")
     tables = {name: store.read(name) for name in names}
-    return store.publish("extract", incident_extract(tables, **options))
+    wide = incident_extract(tables, **options)
+    wide = wide.withColumn(FACT_PARTITION, F.year("occurrence_date"))
+    return store.publish("extract", wide, FACT_PARTITION, sort_by=["occurrence_date"])
 
 
 def facts_in(store: TableStore, table: str, day_key: str, days: DayRange) -> DataFrame:

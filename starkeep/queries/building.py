@@ -1,10 +1,13 @@
 """The whole warehouse, built from the sample tables written as raw feeds."""
 
 from datetime import date
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starkeep.functions.keys import flag_measure
+from starkeep.operators import quality
 from starkeep.operators.asof import active_on
 from starkeep.plans import cleaning, reports, schemas, warehouse
 from starkeep.queries import feeds
@@ -29,17 +32,6 @@ def land_feeds(spark, folder):
     return root
 
 
-BUILT = {}  # published warehouses of this process, by application and table folder
-
-
-def built(spark, folder):
-    """The warehouse, built on first use; reports read the published tables."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in BUILT or not TableStore(spark, BUILT[key]).exists("fact_crime"):
-        BUILT[key] = build(spark, folder).root
-    return TableStore(spark, BUILT[key])
-
-
 def build(spark, folder):
     """Two runs from raw files to facts.
 
@@ -124,7 +116,7 @@ STAR_SQL = f"""
 def warehouse_facts(spark, folder):
     """Facts after two runs: keys as of the event, every incident once."""
     columns = schemas.CONTRACTS["fact_crime"].schema.names
-    return built(spark, folder).read("fact_crime").select(*columns)
+    return build(spark, folder).read("fact_crime").select(*columns)
 
 
 @query(f"""
@@ -170,7 +162,8 @@ WHERE latitude IS NOT NULL AND longitude IS NOT NULL
 """)
 def warehouse_extract(spark, folder):
     """The reporting columns of every incident with a map point."""
-    return warehouse.refresh_extract(built(spark, folder))
+    extract = warehouse.refresh_extract(build(spark, folder))
+    return extract.drop(warehouse.FACT_PARTITION)
 
 
 @query(f"""
@@ -183,7 +176,7 @@ GROUP BY 1, 2 ORDER BY n_incidents DESC, community_area, primary_type LIMIT 10
 """)
 def warehouse_top(spark, folder):
     """Largest groups of a range of days over the published star."""
-    store = built(spark, folder)
+    store = build(spark, folder)
     days = DayRange(date(2024, 1, 3), date(2024, 12, 31))
     facts = warehouse.facts_in(store, "fact_crime", "occurrence_date_key", days)
     star = reports.join_star(
@@ -210,7 +203,7 @@ GROUP BY 1, 2
 """)
 def warehouse_index_rate(spark, folder):
     """Rate by indicators as they were on the day of the event."""
-    store = built(spark, folder)
+    store = build(spark, folder)
     star = reports.join_star(
         store.read("fact_crime").select("location_key", "crime_type_key"),
         [
@@ -235,12 +228,48 @@ GROUP BY 1
 """)
 def warehouse_active(spark, folder):
     """Incidents whose place and type versions were both valid on a day."""
-    extract = warehouse.refresh_extract(built(spark, folder))
+    extract = warehouse.refresh_extract(build(spark, folder))
     ranges = [(f"{p}_scd_start", f"{p}_scd_end") for p in ("location", "crime_type")]
     active = active_on(extract, F.lit(date(2024, 1, 20)), ranges)
     return reports.summarise(active, ["community_area"], count="n_incidents")
 
 
+@query(f"""
+WITH {STAR_SQL}
+SELECT 'fact_crime' AS table_name, count(*) AS n_rows, count(*) - count(DISTINCT crime_id)
+    + count(CASE WHEN location_key IS NULL OR crime_type_key IS NULL THEN 1 END)
+    AS n_violations FROM facts
+UNION ALL
+SELECT 'dim_location', count(*) + 1, count(*) - count(DISTINCT location_key) FROM locations
+UNION ALL
+SELECT 'dim_crime_type', count(*) + 1, count(*) - count(DISTINCT crime_type_key) FROM types
+""")
+def warehouse_gates(spark, folder):
+    """Rows and violations of contracts, foreign keys and version chains after a build."""
+    store = build(spark, folder)
+    tables = {n: store.read(n) for n in ("fact_crime", "dim_location", "dim_crime_type")}
+    more = {
+        "fact_crime": quality.orphan_violations(
+            tables["fact_crime"],
+            {
+                "location_key": (tables["dim_location"], "location_key"),
+                "crime_type_key": (tables["dim_crime_type"], "crime_type_key"),
+            },
+        ),
+        "dim_location": quality.version_violations(tables["dim_location"], schemas.LOCATION),
+        "dim_crime_type": quality.version_violations(
+            tables["dim_crime_type"], schemas.INCIDENT_TYPE
+        ),
+    }
+    parts = []
+    for name, df in tables.items():
+        found = quality.contract_violations(df, schemas.CONTRACTS[name]).unionByName(more[name])
+        sums = found.agg(F.sum("n_violations").alias("n_violations"))
+        parts.append(sums.select(F.lit(name).alias("table_name"), "n_violations"))
+    violations = reduce(DataFrame.unionByName, parts)
+    return quality.row_counts(tables).join(violations, "table_name")
+
+
 @query(f"""
 WITH {STAR_SQL}
 SELECT location_key, community_area, district, ward, beat,
@@ -410,4 +439,5 @@ FROM charges JOIN arrests USING (cb_no) LEFT JOIN codes ON codes.iucr = charges.
 """)
 def warehouse_charges(spark, folder):
     """The bridge from arrests to codes."""
-    return build_arrests(spark, folder).read("bridge_arrest_charge")
+    columns = schemas.CONTRACTS["bridge_arrest_charge"].schema.names
+    return build_arrests(spark, folder).read("bridge_arrest_charge").select(*columns)

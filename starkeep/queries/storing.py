@@ -1,5 +1,7 @@
 """Partitioned writes and published tables."""
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from starkeep.plans.warehouse import load_facts
@@ -7,6 +9,7 @@ from starkeep.queries.registry import Tables, query
 from starkeep.sources.files import scratch_path
 from starkeep.sources.store import TableStore
 from starkeep.sources.tables import write_cleaned
+from starkeep.sources.windows import DayRange, backfill, slice_days
 
 
 @query("""
@@ -64,3 +67,24 @@ def fact_upsert(spark, folder):
     for batch in (first, second):
         load_facts(store, "orders", batch, "order_pk", "o_orderkey", "date_key")
     return store.read("orders").select("order_pk", "o_orderkey", "date_key")
+
+
+@query("""
+SELECT row_number() OVER (
+        ORDER BY date_trunc('month', o_orderdate), o_orderkey) AS order_pk,
+    o_orderkey, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_key
+FROM orders WHERE o_orderdate >= DATE '1996-01-01' AND o_orderdate < DATE '1996-04-01'
+""")
+def backfill_loads(spark, folder):
+    """A quarter loaded month by month; every chunk's facts are numbered after the last's."""
+    orders = Tables(spark, folder).orders
+    store = TableStore(spark, scratch_path(spark, "store"))
+
+    def load(days):
+        rows = slice_days(orders, "o_orderdate", days)
+        key = F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("date_key")
+        facts = rows.select("o_orderkey", key)
+        return load_facts(store, "orders", facts, "order_pk", "o_orderkey", "date_key")
+
+    backfill(spark, DayRange(date(1996, 1, 1), date(1996, 3, 31)), load)
+    return store.read("orders").select("order_pk", "o_orderkey", "date_key")

@@ -1,12 +1,16 @@
 """Which days a load covers."""
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
+from typing import TypeVar
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 # Fixed value: the feed publishes a day about a week late.
 LOOKBACK_DAYS = 8
 
@@ -68,6 +72,19 @@ def month_chunks(spark: SparkSession, days: DayRange) -> DataFrame:
     return chunk_months(one, "first", "last")
 
 
+def backfill(
+    spark: SparkSession, days: DayRange, load: Callable[[DayRange], T]
+) -> list[tuple[DayRange, T]]:
+    """Run one load for each month chunk, in order; what each returned.
+
+    A chunk that fails ends the run: those before it are loaded, and loading a chunk again
+    changes nothing, so the run can be started anew from any chunk.
+    """
+    chunks = month_chunks(spark, days).orderBy("chunk_start").collect()
+    ranges = [DayRange(r["chunk_start"], r["chunk_end"]) for r in chunks]
+    return [(chunk, load(chunk)) for chunk in ranges]
+
+
 def chunk_months(df: DataFrame, first: str, last: str) -> DataFrame:
     """As :func:`month_chunks`, for every row's range; the last chunk may be short.
 

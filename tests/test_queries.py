@@ -11,9 +11,10 @@ FOLDER = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module", autouse=True)
 def build_once():
-    """Queries over the arrests share one build here."""
+    """Queries over the warehouse share one build here, and those over the arrests another."""
     patch = pytest.MonkeyPatch()
-    patch.setattr(building, "build_arrests", functools.cache(building.build_arrests))
+    for name in ("build", "build_arrests"):
+        patch.setattr(building, name, functools.cache(getattr(building, name)))
     yield
     patch.undo()
 

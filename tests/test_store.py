@@ -1,9 +1,13 @@
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
+from starkeep.operators.quality import GateError
 from starkeep.plans.warehouse import load_facts
 from starkeep.sources.files import materialize, scratch_root
 from starkeep.sources.store import TableStore
+from starkeep.sources.windows import DayRange, backfill
 
 
 @pytest.fixture
@@ -127,3 +131,32 @@ def test_pointer_is_overwritten_on_object_stores(spark, store, monkeypatch):
     for value in (1, 2):
         store.publish("t", spark.createDataFrame([(value,)], "id int"))
     assert [r.id for r in store.read("t").collect()] == [2]
+
+
+def test_a_violating_load_leaves_the_table_alone(spark, store):
+    """Facts whose foreign key has no member are refused before the pointer changes."""
+    days = spark.createDataFrame([(20240101,), (20240102,)], "date_key int")
+    members = {"day": (days, "date_key")}
+
+    def load(rows):
+        df = spark.createDataFrame(rows, "k int, day int")
+        return load_facts(store, "f", df, "pk", "k", "day", members)
+
+    with pytest.raises(GateError, match="member: day"):
+        load([(1, 20240101), (2, 20249999)])
+    assert not store.exists("f")
+    load([(1, 20240101)])
+    for bad in ([(1, 20249999)], [(2, None)]):
+        with pytest.raises(GateError):
+            load(bad)
+    assert [(r.k, r.day) for r in store.read("f").collect()] == [(1, 20240101)]
+
+
+def test_backfill_runs_every_chunk_in_order(spark):
+    seen = []
+    found = backfill(spark, DayRange(date(2024, 1, 31), date(2024, 4, 2)), seen.append)
+    assert [d.label for d in seen] == [d.label for d, _ in found] == [
+        "2024-01-31_to_2024-02-28",
+        "2024-02-29_to_2024-03-30",
+        "2024-03-31_to_2024-04-02",
+    ]
