@@ -28,6 +28,7 @@ KEEP_RATIO, LABEL_RATIO = 4.0, 10.0
 CUT = 0.3
 SPAN_CUT = 0.5
 LINE = 64
+BLOCK = 1024
 GAPS = 64
 BITS = 20
 
@@ -133,99 +134,108 @@ def _summary(words, sums, peaks):
     return np.column_stack((np.ones(len(sums)), np.log1p(sums), peaks, rate))
 
 
-def _contexts(column):
-    """Kinds of features of the words of some texts, each context once; and all of them by line."""
-    found, lines, at = [], [], 0
+def _context_counts(column):
+    """Features and in how many distinct contexts each stands, and the number of contexts."""
+    seen, parts = np.zeros(0, np.uint64), []
     for chunk in chunks(_lowered(column)):
-        starts, _, rows, kinds = _features(chunk)
+        kinds = _features(chunk)[3]
         h = np.concatenate((kinds[0][-1:], kinds[0], kinds[0][:1]))
         place = mixed(h[:-2] * np.uint64(3) + mixed(h[1:-1]) * np.uint64(5) + mixed(mixed(h[2:])))
-        first = np.unique(place, return_index=True)[1]
-        found.append((place[first], kinds[:, first]))
-        newlines = np.cumsum(chunk.data == 10)
-        line = newlines[starts] + rows if len(starts) else starts
-        lines.append((kinds, line + at))
-        at += int(line[-1]) + 2 if len(line) else 1
-    if not found:
-        return np.zeros((1 + len(PREFIX_BYTES), 0), np.uint64), []
-    places, kinds = np.concatenate([p for p, _ in found]), np.concatenate([k for _, k in found], axis=1)
-    return kinds[:, np.unique(places, return_index=True)[1]], lines
-
-
-def _counts(kinds):
-    values, counts = np.unique(kinds[kinds != 0], return_counts=True)
-    return values, counts
+        place, first = np.unique(place, return_index=True)
+        fresh = ~np.isin(place, seen, assume_unique=True)
+        seen = np.concatenate((seen, place[fresh]))
+        kinds = kinds[:, first[fresh]]
+        parts.append(np.unique(kinds[kinds != 0], return_counts=True))
+    if not parts:
+        return seen, np.zeros(0), 0
+    values, at = np.unique(np.concatenate([v for v, _ in parts]), return_inverse=True)
+    return values, np.bincount(at, np.concatenate([c for _, c in parts]), minlength=len(values)), len(seen)
 
 
 def _chosen(toxic, clean):
     """Features that lean to toxic documents: hashes, and whether they label a token."""
-    values, t = _counts(toxic)
-    others, c = _counts(clean)
+    values, t, dark = toxic
+    others, c, light = clean
     k = np.minimum(np.searchsorted(others, values), max(len(others) - 1, 0))
     both = np.where(others[k] == values, c[k], 0) if len(others) else np.zeros(len(values))
-    ratio = ((t + 0.5) / (toxic.shape[1] + 1)) / ((both + 0.5) / (clean.shape[1] + 1))
+    ratio = ((t + 0.5) / (dark + 1)) / ((both + 0.5) / (light + 1))
     keep = (t >= LEAST_CONTEXTS) & (ratio >= KEEP_RATIO)
     return values[keep], ratio[keep] >= LABEL_RATIO
 
 
-def _sequences(lines, hashes, labels, toxic: bool):
+def _sequences(column, hashes, labels, toxic: bool):
     """Feature indexes and token labels of lines that hold a chosen feature, as sequences of LINE."""
-    for kinds, line in lines:
+    for chunk in chunks(_lowered(column)):
+        starts, _, rows, kinds = _features(chunk)
+        line = np.cumsum(chunk.data == 10)[starts] + rows if len(starts) else starts
         k = np.minimum(np.searchsorted(hashes, kinds), len(hashes) - 1)
         found = hashes[k] == kinds
         lit = found.any(axis=0)
-        for value in np.unique(line[lit])[:2000].tolist():
+        for value in np.unique(line[lit]).tolist():
             a, b = np.searchsorted(line, [value, value + 1])
             centre = a + int(np.argmax(lit[a:b]))
             a = max(a, centre - LINE // 2)
             b = min(b, a + LINE)
             ids = np.where(found[:, a:b], k[:, a:b], len(hashes))
             y = toxic & (found[:, a:b] & labels[k[:, a:b]]).any(axis=0)
-            yield ids, y
+            yield ids.astype(np.int32), y
 
 
-def _fit_chain(sequences, size, rounds=80, decay=1e-3):
-    """Weights, bias and transitions that maximise the likelihood of the labels (Adam on the gradient)."""
+def _padded(sequences, size):
+    """Sequences as arrays of one length: feature indexes (``size``: none), labels, and what is filled."""
     n, longest = len(sequences), max(y.size for _, y in sequences)
-    ids = np.full((n, longest, sequences[0][0].shape[0]), size)
+    ids = np.full((n, longest, sequences[0][0].shape[0]), size, np.int32)
     gold, mask = np.zeros((n, longest), bool), np.zeros((n, longest), bool)
     for i, (x, y) in enumerate(sequences):
         ids[i, : y.size], gold[i, : y.size], mask[i, : y.size] = x.T, y, True
+    return ids, gold, mask
+
+
+def _gradient(theta, size, ids, gold, mask):
+    """The gradient of the labels' log likelihood, from forward and backward sums."""
+    n, longest = gold.shape
+    step = np.exp(theta[size + 2 :].reshape(2, 2))
+    score = np.append(theta[:size], 0.0)[ids].sum(axis=2) + theta[size]
+    emit = np.stack((np.ones_like(score), np.exp(np.minimum(score, 50.0))), axis=2)
+    emit[~mask] = 1.0
+    ahead, back = np.zeros((longest, n, 2)), np.ones((longest, n, 2))
+    ahead[0] = emit[:, 0] / emit[:, 0].sum(axis=1, keepdims=True)
+    for t in range(1, longest):
+        go = (ahead[t - 1] @ step) * emit[:, t]
+        go = np.where(mask[:, t, None], go, ahead[t - 1])
+        ahead[t] = go / go.sum(axis=1, keepdims=True)
+    for t in range(longest - 2, -1, -1):
+        go = (emit[:, t + 1] * back[t + 1]) @ step.T
+        go = np.where(mask[:, t + 1, None], go, 1.0)
+        back[t] = go / go.max(axis=1, keepdims=True)
+    p = ahead * back
+    p = (p[:, :, 1] / p.sum(axis=2)).T
+    short = np.where(mask, gold - p, 0.0)
+    out = np.zeros_like(theta)
+    shares = np.repeat(short.ravel(), ids.shape[2])
+    out[:size] = np.bincount(ids.ravel(), shares, minlength=size + 1)[:size]
+    out[size] = short.sum()
+    between = ahead[:-1, :, :, None] * step * (emit[:, 1:].transpose(1, 0, 2) * back[1:])[:, :, None, :]
+    between /= between.sum(axis=(2, 3), keepdims=True)
+    follow = mask[:, 1:]
+    pairs = [((gold[:, :-1] == a) & (gold[:, 1:] == b) & follow).sum() for a in (0, 1) for b in (0, 1)]
+    out[size + 2 :] = pairs - (between * follow.T[:, :, None, None]).sum(axis=(0, 1)).ravel()
+    return out
+
+
+def _fit_chain(sequences, size, rounds=80, decay=1e-3):
+    """Weights, bias and transitions that maximise the likelihood of the labels (Adam on the gradient).
+
+    Sequences are padded and summed a block at a time, shorter ones first.
+    """
+    sequences = sorted(sequences, key=lambda s: s[1].size)
+    blocks = [_padded(sequences[k : k + BLOCK], size) for k in range(0, len(sequences), BLOCK)]
     theta = np.zeros(size + 2 + 4)
     theta[size] = -4.0
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    pair = np.zeros((2, 2))
-    follow = mask[:, 1:]
-    for a in range(2):
-        for b in range(2):
-            pair[a, b] = ((gold[:, :-1] == a) & (gold[:, 1:] == b) & follow).sum()
     for turn in range(1, rounds + 1):
-        w = np.append(theta[:size], 0.0)
-        bias, chain = theta[size], theta[size + 2 :].reshape(2, 2)
-        step = np.exp(chain)
-        hit = np.exp(np.minimum(w[ids].sum(axis=2) + bias, 50.0))
-        emit = np.stack((np.ones_like(hit), hit), axis=2)
-        emit[~mask] = 1.0
-        ahead, back = np.zeros((longest, n, 2)), np.ones((longest, n, 2))
-        ahead[0] = emit[:, 0] / emit[:, 0].sum(axis=1, keepdims=True)
-        for t in range(1, longest):
-            go = (ahead[t - 1] @ step) * emit[:, t]
-            go = np.where(mask[:, t, None], go, ahead[t - 1])
-            ahead[t] = go / go.sum(axis=1, keepdims=True)
-        for t in range(longest - 2, -1, -1):
-            go = (emit[:, t + 1] * back[t + 1]) @ step.T
-            go = np.where(mask[:, t + 1, None], go, 1.0)
-            back[t] = go / go.max(axis=1, keepdims=True)
-        p = ahead * back
-        p = (p[:, :, 1] / p.sum(axis=2)).T
-        short = np.where(mask, gold - p, 0.0)
-        gradient = np.zeros_like(theta)
-        gradient[:size] = np.bincount(ids.ravel(), np.repeat(short.ravel(), ids.shape[2]), minlength=size + 1)[:size]
-        gradient[size] = short.sum()
-        between = ahead[:-1, :, :, None] * step * (emit[:, 1:].transpose(1, 0, 2) * back[1:])[:, :, None, :]
-        between /= between.sum(axis=(2, 3), keepdims=True)
-        gradient[size + 2 :] = (pair - (between * follow.T[:, :, None, None]).sum(axis=(0, 1))).ravel()
-        gradient = gradient / n - decay * theta
+        gradient = sum(_gradient(theta, size, *block) for block in blocks)
+        gradient = gradient / len(sequences) - decay * theta
         m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
         theta += 0.3 * (m / (1 - 0.9**turn)) / (np.sqrt(v / (1 - 0.99**turn)) + 1e-8)
     return theta[:size], float(theta[size]), theta[size + 2 :].reshape(2, 2)
@@ -265,11 +275,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_cha
     if not y.any() or y.all():
         return None
     parts = [rows.filter(pa.array(y == side)).column("text").combine_chunks() for side in (True, False)]
-    (toxic, dark), (clean, light) = map(_contexts, parts)
-    hashes, labelling = _chosen(toxic, clean)
+    hashes, labelling = _chosen(*map(_context_counts, parts))
     weights, bias, chain = np.zeros(len(hashes)), -4.0, np.zeros((2, 2))
     if len(hashes):
-        sequences = [s for lines, side in ((dark, True), (light, False)) for s in _sequences(lines, hashes, labelling, side)]
+        sequences = [s for part, side in zip(parts, (True, False), strict=True) for s in _sequences(part, hashes, labelling, side)]
         if sequences:
             weights, bias, chain = _fit_chain(sequences, len(hashes))
     model = Model(hashes, weights, bias, chain, np.zeros(4))
