@@ -8,6 +8,8 @@ all. Everything happens within a row, so no shuffle holds texts; only the word c
 """
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,10 +72,15 @@ def words_of(text: Column) -> Column:
 
 
 def document_frequencies(docs: DataFrame, templates=TEMPLATES) -> dict[str, int]:
-    """In how many texts each word of the key phrases stands; one number a word reaches the driver."""
-    known = F.array(*(F.lit(w) for w in sorted({w for t in templates for w in t.phrase})))
-    found = docs.select(F.explode(F.array_intersect(words_of(F.lower(F.coalesce("text", F.lit("")))), known)).alias("word"))
-    return {r["word"]: r["count"] for r in found.groupBy("word").count().collect()}
+    """In how many texts each word of the key phrases occurs, also inside of longer words.
+
+    That is what a search for it must look at. It only decides which word a posting is under; the
+    scan's result is the same for any. One row reaches the driver.
+    """
+    known = sorted({w for t in templates for w in t.phrase})
+    small = F.lower(F.coalesce("text", F.lit("")))
+    counts = docs.agg(*(F.count_if(F.contains(small, F.lit(w))) for w in known)).first()
+    return dict(zip(known, counts, strict=True))
 
 
 def _posting(t: Template, frequency: dict[str, int]) -> Column:
@@ -106,7 +113,7 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     rare = sorted({min(t.phrase, key=lambda w: frequency.get(w, 0)) for t in templates})
     text = F.coalesce("text", F.lit(""))
     small = F.lower(text)
-    maybe = F.exists(F.array(*map(F.lit, rare)), lambda w: F.contains(small, w))
+    maybe = reduce(or_, [F.contains(small, F.lit(w)) for w in rare])
     none = F.array().cast("array<string>")
     words, places = F.col("_words"), F.col("_places")
 
