@@ -260,7 +260,7 @@ def find_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     windows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(per_batch, schema)
     pairs = (
         windows.select("doc_id", "start", "n", "window", F.explode("keys").alias("key"))
-        .join(keys, ["key", "n"])
+        .join(keys.hint("merge"), ["key", "n"])
         .select("doc_id", "start", "window", "item", "n", "item_id")
         .distinct()
     )
