@@ -1,8 +1,8 @@
 """Chats with tool calls: calls linked to results, ordered, validated, and written as canonical JSON.
 
 Calls and results are rows of their own and meet in a join by conversation and identifier. A call may name calls it
-needs; its level is one more than the highest level among them, found round by round
-from the calls that need nothing, so rows of a conversation sort by level and turn and no task
+needs; its level is one more than the highest level among them, found by doubling pointers along chains and round by
+round where calls have several needs, so rows of a conversation sort by level and turn and no task
 holds a conversation. Arguments are parsed to variants, held against the tool's schema, and
 written with sorted keys and without spaces.
 """
@@ -10,6 +10,7 @@ written with sorted keys and without spaces.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starkeep.llm.scratch import settled
 from starkeep.sources.files import materialize
 
 #: JSON Schema types by what Spark calls a variant's type.
@@ -77,25 +78,65 @@ def faults(arguments: Column, fields: Column) -> Column:
     return F.when(fields.isNotNull(), F.when(values.isNull(), F.array(F.lit("*"))).otherwise(F.array_sort(F.concat(bad, extra))))
 
 
+def _chains(single: DataFrame) -> DataFrame:
+    """``(conv_id, id, anchor, steps)`` of calls with one need each ``(conv_id, id, need)``.
+
+    The anchor is the first call down the chain that has no need or several. Pointers are
+    doubled, so the rounds grow with the logarithm of the longest chain. What has not
+    arrived by then runs in a cycle, and gets no row.
+    """
+    way = single.select("conv_id", "id", F.col("need").alias("anchor"), F.lit(1).cast("long").alias("steps"))
+    way = settled(way, "chains")
+    for _ in range(max(1, way.count()).bit_length() + 1):
+        further = way.select("conv_id", F.col("id").alias("anchor"), F.col("anchor").alias("next"), F.col("steps").alias("more"))
+        joined = way.join(further, ["conv_id", "anchor"], "left")
+        way = settled(
+            joined.select(
+                "conv_id",
+                "id",
+                F.coalesce("next", "anchor").alias("anchor"),
+                (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
+                F.col("next").isNull().alias("there"),
+            ),
+            "chains",
+        )
+        if way.filter("NOT there").isEmpty():
+            break
+    return way.filter("there").drop("there")
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """``(conv_id, id, level)`` of calls ``(conv_id, id, needs)`` whose needs can all be met.
 
-    A need that names no call of the conversation is ignored. Calls in or behind a cycle get no row. A round
-    settles every call whose needs are all settled, and is written to the shared folder.
+    A level is one more than the highest among the needs, 0 without any. A need that names no
+    call of the conversation is ignored. Calls in or behind a cycle get no row. Chains of calls with one need
+    each are drawn together first; then a round settles every call of several needs whose needs are all settled.
+    So a conversation of one long chain takes few rounds, and no task holds a conversation.
     """
     ids = calls.select("conv_id", "id").distinct()
     edges = calls.select("conv_id", "id", F.explode("needs").alias("need")).filter("need IS NOT NULL").distinct()
-    edges = materialize(edges.join(ids.select("conv_id", F.col("id").alias("need")), ["conv_id", "need"]), "needs")
-    settled = ids.join(edges, ["conv_id", "id"], "left_anti").withColumn("level", F.lit(0).cast("long"))
-    done = new = materialize(settled, "levels")
-    while not edges.isEmpty() and not new.isEmpty():
-        have = done.select("conv_id", F.col("id").alias("need"), F.col("level").alias("below"))
-        met = edges.join(have, ["conv_id", "need"], "left").groupBy("conv_id", "id")
-        met = met.agg(F.max("below").alias("top"), F.bool_and(F.col("below").isNotNull()).alias("ready")).filter("ready")
-        new = materialize(met.select("conv_id", "id", (F.col("top") + 1).alias("level")), "levels")
-        edges = materialize(edges.join(new, ["conv_id", "id"], "left_anti"), "needs")
-        done = done.unionByName(new)
-    return done
+    edges = settled(edges.join(ids.select("conv_id", F.col("id").alias("need")), ["conv_id", "need"]), "needs")
+    counted = settled(edges.groupBy("conv_id", "id").agg(F.count("*").alias("n"), F.min("need").alias("need")), "needs")
+    chains = _chains(counted.filter("n = 1"))
+    own = ids.join(counted.filter("n = 1"), ["conv_id", "id"], "left_anti")
+    own = own.select("conv_id", "id", F.col("id").alias("anchor"), F.lit(0).cast("long").alias("steps"))
+    reached = settled(own.unionByName(chains), "anchors")
+    roots = ids.join(counted, ["conv_id", "id"], "left_anti").withColumn("level", F.lit(0).cast("long"))
+    done = settled(roots, "levels")
+    several = edges.join(counted.filter("n > 1").select("conv_id", "id"), ["conv_id", "id"], "left_semi")
+    through = reached.select("conv_id", F.col("id").alias("need"), "anchor", "steps")
+    left = settled(several.join(through, ["conv_id", "need"], "left"), "needs")
+    while not left.isEmpty():
+        have = done.select("conv_id", F.col("id").alias("anchor"), F.col("level").alias("below"))
+        met = left.join(have, ["conv_id", "anchor"], "left").groupBy("conv_id", "id")
+        met = met.agg(F.max(F.col("below") + F.col("steps")).alias("top"), F.bool_and(F.col("below").isNotNull()).alias("ready"))
+        new = settled(met.filter("ready").select("conv_id", "id", (F.col("top") + 1).alias("level")), "levels")
+        if new.isEmpty():
+            break
+        left = settled(left.join(new, ["conv_id", "id"], "left_anti"), "needs")
+        done = settled(done.unionByName(new), "levels")
+    at = done.select("conv_id", F.col("id").alias("anchor"), "level")
+    return reached.join(at, ["conv_id", "anchor"]).select("conv_id", "id", (F.col("level") + F.col("steps")).alias("level"))
 
 
 def format_chats(messages: DataFrame, schemas: DataFrame) -> DataFrame:

@@ -129,6 +129,18 @@ def test_tools_are_linked_and_ordered(spark):
         assert r["line"] == json.dumps(json.loads(r["line"]), ensure_ascii=False, sort_keys=True, separators=(",", ":"))
 
 
+def test_levels_of_chains_and_diamonds(spark):
+    """A long chain, calls of several needs on top of it, and a cycle with what hangs on it."""
+    needs = {f"c{i}": [f"c{i - 1}"] if i else [] for i in range(70)}
+    needs |= {"d": ["c69", "c3"], "e": ["d", "c0", "f"], "f": ["d"], "g": ["e"], "h": [None, "nowhere"]}
+    needs |= {"x": ["y"], "y": ["z"], "z": ["x"], "u": ["z"], "v": ["u", "c1"], "w": ["v"]}
+    df = spark.createDataFrame([(1, k, v) for k, v in needs.items()] + [(2, "c1", ["c0"])], "conv_id int, id string, needs array<string>")
+    got = {(r["conv_id"], r["id"]): r["level"] for r in chats.levels(df).collect()}
+    want = {(1, f"c{i}"): i for i in range(70)}
+    want |= {(1, "d"): 70, (1, "f"): 71, (1, "e"): 72, (1, "g"): 73, (1, "h"): 0, (2, "c1"): 0}
+    assert got == want
+
+
 def test_chats_of_nothing(spark):
     turns = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     schemas = spark.sql("SELECT 'f' AS tool, array(named_struct('name', 'a', 'type', 'null', 'required', true)) AS fields")
