@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starkeep.llm.words import ALNUM, chunks, mixed, span_hashes
@@ -263,8 +263,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_cha
     ids are left out.
     """
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg((F.max("toxic") > 0).alias("y"))
-    order = Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = known.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_class).select("doc_id", "y")
+    # a top list of each class: every task passes on per_class rows at most
+    sides = [known.filter(F.col("y") == side).orderBy(F.xxhash64("doc_id"), "doc_id") for side in (True, False)]
+    sample = sides[0].limit(per_class).union(sides[1].limit(per_class))
     share = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     if len(share) < 2:
         return None
