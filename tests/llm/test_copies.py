@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -7,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from starkeep.llm import linededup, substrings
+from starkeep.llm import linededup, neardup, substrings
 from starkeep.llm.bloom import Pair, contains
 from starkeep.llm.fmindex import FMIndex, WaveletMatrix
 from starkeep.llm.graph import connected_components
@@ -62,6 +63,53 @@ def test_keep_one(corpus):
     assert keep_one(corpus).columns == corpus.columns
 
 
+def test_near_copies(spark, corpus, corpus_rows):
+    """Texts edited down to a similarity of 0.8, pairs inside a large family of texts half alike, and a large group of copies."""
+    rng, texts = random.Random(8), []
+    draw = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+    def changed(w, edits):
+        w = list(w)
+        for k in rng.sample(range(len(w)), edits):
+            w[k] = draw(1)[0]
+        return w
+
+    for i in range(60):
+        w = draw(200)
+        texts += [w, changed(w, 1 + i % 5)]
+    frame, tight = draw(150), draw(300)
+    for _ in range(150):
+        w = frame + draw(50)
+        texts += [w, w[:160] + draw(1) + w[161:]]
+    texts += [changed(tight, rng.randrange(1, 7)) for _ in range(150)]
+    rows = [(1000 + i, " ".join(w)) for i, w in enumerate(texts)] + [(r[0], r[1]) for r in corpus_rows]
+    sets = {}
+    for doc_id, text in rows:
+        w = words(ascii_lower(text or ""))
+        found = frozenset(" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
+        sets.setdefault(found, set()).add(doc_id)
+    group = {s: s for s in sets}
+
+    def root(s):
+        while group[s] != s:
+            s = group[s]
+        return s
+
+    for a, b in combinations(sets, 2):
+        if a and b and 5 * len(a & b) >= 4 * len(a | b):
+            group[root(a)] = root(b)
+    least = defaultdict(list)
+    for s, ids in sets.items():
+        least[root(s)] += [i for i in ids if i is not None]
+    want = {i: min(least[root(s)]) for s, ids in sets.items() for i in ids if i is not None}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_copies(docs).collect()}
+    assert {i: got[i] for i in want} == want
+    assert sum(i != c for i, c in want.items()) > 300
+    kept = [r["doc_id"] for r in neardup.keep_one(docs).collect()]
+    assert {i for i in kept if i is not None} == set(want.values())
+
+
 def test_links_in_dense_groups(spark):
     """Fingerprints that fill a block: every two at most two bits apart end in one component."""
     values = sorted({(1 << a) ^ (1 << b) ^ (7 << 50) for a in range(13) for b in range(13)})
