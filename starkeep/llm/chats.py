@@ -18,8 +18,12 @@ KINDS = {"string": "STRING", "integer": "BIGINT", "boolean": "BOOLEAN", "array":
 CALL = "array<struct<id:string,name:string,arguments:string,needs:array<string>>>"
 
 
+#: Calls as they are read: the usual nested form has name and arguments in ``function``.
+READ = "array<struct<id:string,name:string,arguments:string,needs:array<string>,function:struct<name:string,arguments:string>>>"
+
+
 def messages_of(conversations: DataFrame) -> DataFrame:
-    """Turns as messages ``(conv_id, turn, role, content, calls, result_of)``.
+    """Turns as messages ``(conv_id, turn, role, content, calls, result_of, own_calls)``; ``own_calls`` says that the turn itself lists calls.
 
     A text that is a JSON object with ``tool_calls`` makes calls (a call may list ``needs``); one with ``tool_call_id`` is
     a result. Of plain chats, each question is read as a call of the tool ``reply``, named
@@ -27,7 +31,7 @@ def messages_of(conversations: DataFrame) -> DataFrame:
     result that meets no call is left unlinked; so every turn takes part, without a look at its neighbours.
     """
     text = F.coalesce("text", F.lit(""))
-    shape = f"content string, tool_calls {CALL}, tool_call_id string"
+    shape = f"content string, tool_calls {READ}, tool_call_id string"
     parsed = F.when(F.startswith(F.ltrim(text), F.lit("{")), F.from_json(text, shape))
     rows = conversations.select("conv_id", F.col("turn").cast("long"), "role", text.alias("text"), parsed.alias("m"))
     own = F.col("m.tool_calls").isNull() & F.col("m.tool_call_id").isNull()
@@ -38,15 +42,25 @@ def messages_of(conversations: DataFrame) -> DataFrame:
         F.to_json(F.struct(F.col("text").alias("prompt"), "turn")).alias("arguments"),
         F.array(back(2)).alias("needs"),
     )
-    calls = F.coalesce("m.tool_calls", F.when(own & (F.col("role") == "user"), F.array(named)))
+    flat = F.transform(
+        "m.tool_calls",
+        lambda c: F.struct(
+            c["id"].alias("id"),
+            F.coalesce(c["name"], c["function"]["name"]).alias("name"),
+            F.coalesce(c["arguments"], c["function"]["arguments"]).alias("arguments"),
+            c["needs"].alias("needs"),
+        ),
+    )
+    calls = F.coalesce(flat, F.when(own & (F.col("role") == "user"), F.array(named)))
     answer = F.when(own & (F.col("role") == "assistant"), back(1))
     return rows.select(
         "conv_id",
         "turn",
         "role",
-        F.coalesce("m.content", "text").alias("content"),
+        F.when(F.col("m.tool_calls").isNotNull(), F.col("m.content")).otherwise(F.coalesce("m.content", "text")).alias("content"),
         calls.cast(CALL).alias("calls"),
         F.coalesce("m.tool_call_id", answer).alias("result_of"),
+        F.col("m.tool_calls").isNotNull().alias("own_calls"),
     )
 
 
@@ -139,7 +153,7 @@ def levels(calls: DataFrame) -> DataFrame:
     return reached.join(at, ["conv_id", "anchor"]).select("conv_id", "id", (F.col("level") + F.col("steps")).alias("level"))
 
 
-def format_chats(messages: DataFrame, schemas: DataFrame) -> DataFrame:
+def format_chats(messages: DataFrame, schemas: DataFrame, whole: bool = False) -> DataFrame:
     """``(conv_id, level, turn, kind, id, linked, faults, line)``: one canonical JSON line for each message, call and result.
 
     Sorted by conv_id, level, turn and kind (``call`` before ``message`` before ``result``), a conversation's lines put each call after the
@@ -147,21 +161,26 @@ def format_chats(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     result and a result its call; ``faults`` are those of a call's arguments, ``tool`` for an unknown tool and
     ``cycle`` for a call whose needs can't be met (it has no level). Null ids link nothing. Of calls that repeat an identifier
     in a conversation the first turn's is linked; all are written. A null text is an empty one.
+
+    With ``whole``, calls with a null id are written too, unlinked, and a turn that lists calls has a ``message`` line
+    besides if it has content or its list is empty; without, those lines are left out.
     """
-    calls = messages.select("conv_id", "turn", F.explode("calls").alias("c")).select("conv_id", "turn", "c.*")
-    calls = materialize(calls.filter("id IS NOT NULL"), "calls")
+    calls = messages.select("conv_id", "turn", F.explode("calls").alias("c")).filter("c IS NOT NULL").select("conv_id", "turn", "c.*")
+    nameless = F.concat(F.lit("\0"), F.sha2(F.to_json(F.struct("turn", "name", "arguments", "needs")), 256))
+    calls = calls.withColumn("key", F.coalesce("id", nameless))
+    calls = materialize(calls if whole else calls.filter("id IS NOT NULL"), "calls")
     results = messages.filter("result_of IS NOT NULL").select("conv_id", "turn", "content", F.col("result_of").alias("id"))
-    level = levels(calls.select("conv_id", "id", "needs"))
+    level = levels(calls.select("conv_id", F.col("key").alias("id"), "needs"))
     answered = results.select("conv_id", "id").distinct().withColumn("answered", F.lit(True))
     first = F.min("turn").alias("called")
-    known = calls.groupBy("conv_id", "id").agg(first).join(level, ["conv_id", "id"], "left")
+    known = calls.groupBy("conv_id", F.col("key").alias("id")).agg(first).join(level, ["conv_id", "id"], "left")
     tools = F.broadcast(schemas.select(F.col("tool").alias("name"), "fields"))
     wrong = F.when(F.col("fields").isNull(), F.array(F.lit("tool"))).otherwise(faults(F.col("arguments"), F.col("fields")))
     wrong = F.when(F.col("level").isNull(), F.array_append(wrong, F.lit("cycle"))).otherwise(wrong)
     arguments = F.coalesce(canonical(F.col("arguments")), F.to_json(F.to_variant_object(F.struct(F.col("arguments").alias("raw")))))
     head = F.concat(F.lit('{"arguments":'), arguments, F.lit(',"id":'), _text("id"), F.lit(',"name":'), _text("name"))
     called = (
-        calls.join(known, ["conv_id", "id"], "left")
+        calls.join(known.withColumnRenamed("id", "key"), ["conv_id", "key"], "left")
         .join(answered, ["conv_id", "id"], "left")
         .join(tools, "name", "left")
         .select(
@@ -185,7 +204,8 @@ def format_chats(messages: DataFrame, schemas: DataFrame) -> DataFrame:
         F.lit(None).cast("array<string>").alias("faults"),
         F.concat(F.lit('{"content":'), _text("content"), F.lit(',"tool_call_id":'), _text("id"), F.lit(',"turn":'), _number("turn"), F.lit("}")).alias("line"),
     )
-    plain = messages.filter("calls IS NULL AND result_of IS NULL").select(
+    spoken = "own_calls AND (content != '' OR size(filter(calls, c -> c IS NOT NULL)) = 0)" if whole else "false"
+    plain = messages.filter(f"(calls IS NULL OR {spoken}) AND result_of IS NULL").select(
         "conv_id",
         F.lit(-1).cast("long").alias("level"),
         "turn",

@@ -47,5 +47,5 @@ FROM t WHERE role NOT IN ('user', 'assistant')
 @query(CHATS)
 def op4_chats(spark, folder):
     messages = messages_of(table(spark, folder, "conversations"))
-    lines = format_chats(messages, spark.sql(TOOLS))
+    lines = format_chats(messages, spark.sql(TOOLS), whole=True)
     return lines.withColumn("faults", F.array_join("faults", ","))

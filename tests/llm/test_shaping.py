@@ -129,6 +129,32 @@ def test_tools_are_linked_and_ordered(spark):
         assert r["line"] == json.dumps(json.loads(r["line"]), ensure_ascii=False, sort_keys=True, separators=(",", ":"))
 
 
+def test_whole_chats_keep_content_and_nameless_calls(spark):
+    nested = {"id": "n", "function": {"name": "f", "arguments": '{"a": 1}'}}
+    rows = [
+        (1, 0, "assistant", json.dumps({"content": "so", "tool_calls": [nested, tool(None, "f", '{"a": 2}', ["n"])]})),
+        (1, 1, "assistant", json.dumps({"content": None, "tool_calls": []})),
+        (1, 2, "assistant", json.dumps({"content": "both", "tool_calls": []})),
+        (1, 3, "assistant", json.dumps({"tool_calls": [tool("m", "f", '{"a": 3}')]})),
+        (2, None, "user", "when?"),
+    ]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    schemas = spark.sql("SELECT 'f' AS tool, array(named_struct('name', 'a', 'type', 'integer', 'required', true)) AS fields")
+    found = chats.format_chats(chats.messages_of(turns), schemas, whole=True).collect()
+    lines = {r["line"]: (r["conv_id"], r["kind"], r["level"], r["linked"]) for r in found}
+    assert lines.pop([r["line"] for r in found if r["conv_id"] == 2][0]) == (2, "call", 0, False)
+    assert any("when?" in r["line"] for r in found)
+    assert lines == {
+        '{"content":"so","role":"assistant","turn":0}': (1, "message", -1, None),
+        '{"arguments":{"a":1},"id":"n","name":"f","turn":0}': (1, "call", 0, False),
+        '{"arguments":{"a":2},"id":null,"name":"f","turn":0}': (1, "call", 2, False),
+        '{"content":null,"role":"assistant","turn":1}': (1, "message", -1, None),
+        '{"content":"both","role":"assistant","turn":2}': (1, "message", -1, None),
+        '{"arguments":{"a":3},"id":"m","name":"f","turn":3}': (1, "call", 0, False),
+    }
+    assert len(found) == 7
+
+
 def test_levels_of_chains_and_diamonds(spark):
     """A long chain, calls of several needs on top of it, and a cycle with what hangs on it."""
     needs = {f"c{i}": [f"c{i - 1}"] if i else [] for i in range(70)}
