@@ -3,7 +3,7 @@
 A document holds an item of n words if some n consecutive words of it (all of them, if it has fewer) are within a
 word edit distance of n/5, that is, similar to 0.8 or more. Every such window is embedded
 by the CGK random walk, which turns edit distance into Hamming distance: at each step it writes the word it
-stands on, and moves on or stays by a random bit of step and word. Each of REPEATS walks with its
+stands on, and moves on or stays by a random bit of step and word. Each of ``walks(n)`` walks with its
 own bits samples PICKS of the first 2n symbols written (the mean length until the end) to one key; windows and items that share a key of
 equal length are compared exactly by edit distance.
 
@@ -12,6 +12,7 @@ within distance k has at least n-2-3k of the item's runs of three words; windows
 fewer are not embedded. Keys that no item has are not shuffled.
 """
 
+import math
 from functools import lru_cache
 
 import numpy as np
@@ -23,7 +24,9 @@ from starkeep.llm.words import ALNUM, chunks, mixed, runs, span_hashes
 from starkeep.sources.files import materialize
 
 MIN_WORDS = 5
+#: Least number of walks, and walks for each word of an item: longer walks drift apart, so more are needed for a recall of 0.98.
 REPEATS = 16
+WALKS_A_WORD = 0.4
 PICKS = 2
 SEED = 20240601
 #: Bits of each table: 4 MB of bytes in packed form; more items fill them up and only cost time.
@@ -35,6 +38,11 @@ def allowed(n: int) -> int:
     return min(n // 5, (n - 3) // 3)
 
 
+def walks(n: int) -> int:
+    """Walks for items of n words: in proportion to n, and faster above 200."""
+    return max(REPEATS, math.ceil(WALKS_A_WORD * n * max(1.0, n / 200) ** 0.5))
+
+
 def _words(chunk):
     starts, ends, rows = chunk.spans(ALNUM)
     return starts, ends, rows, span_hashes(chunk.prefix(), starts, ends)
@@ -44,7 +52,7 @@ def _words(chunk):
 def _picks(n: int) -> np.ndarray:
     """The steps each walk over n words samples, sorted; one row for each repeat."""
     rng = np.random.default_rng([SEED, n])
-    return np.sort(np.array([rng.choice(2 * n, PICKS, replace=False) for _ in range(REPEATS)]), axis=1)
+    return np.sort(np.array([rng.choice(2 * n, PICKS, replace=False) for _ in range(walks(n))]), axis=1)
 
 
 def embed_keys(hashes: np.ndarray, starts: np.ndarray, width: int, n: int) -> np.ndarray:
@@ -53,21 +61,23 @@ def embed_keys(hashes: np.ndarray, starts: np.ndarray, width: int, n: int) -> np
     steps = int(picks.max()) + 1
     low, high = int(starts.min()), int(starts.max()) + width
     local = np.append(hashes[low:high], np.uint64(0))
-    salts = mixed(np.arange(REPEATS * (steps // 64 + 1), dtype=np.uint64) + np.uint64(SEED)).reshape(REPEATS, -1)
-    coins = mixed(salts.T[:, :, None] ^ local).reshape(salts.shape[1], -1)
-    repeat = np.arange(REPEATS) * len(local)
-    place = np.zeros((len(starts), REPEATS), np.int64)
+    repeats = walks(n)
+    salts = mixed(np.arange(repeats * (steps // 64 + 1), dtype=np.uint64) + np.uint64(SEED)).reshape(repeats, -1)
+    repeat = np.arange(repeats) * len(local)
+    place = np.zeros((len(starts), repeats), np.int64)
     origin = (starts - low)[:, None]
-    keys = np.broadcast_to(mixed(np.arange(REPEATS, dtype=np.uint64) * np.uint64(1 << 20) + np.uint64(n)), place.shape).copy()
-    taken = np.zeros(REPEATS, np.int64)
+    keys = np.broadcast_to(mixed(np.arange(repeats, dtype=np.uint64) * np.uint64(1 << 20) + np.uint64(n)), place.shape).copy()
+    taken = np.zeros(repeats, np.int64)
     for step in range(steps):
+        if step & 63 == 0:
+            coins = mixed(salts[:, step >> 6, None] ^ local).reshape(-1)
         at = np.where(place < width, origin + place, len(local) - 1)
         sampled = taken < PICKS
         sampled[sampled] = picks[sampled, taken[sampled]] == step
         if sampled.any():
             keys[:, sampled] = mixed(keys[:, sampled] * np.uint64(31) + local[at[:, sampled]])
             taken[sampled] += 1
-        bits = np.take(coins[step >> 6], at + repeat) >> np.uint64(step & 63)
+        bits = np.take(coins, at + repeat) >> np.uint64(step & 63)
         place += (bits & np.uint64(1)).view(np.int64)
     return keys
 
@@ -168,7 +178,7 @@ class Search:
                 continue
             seen = np.concatenate(([0], np.cumsum(_in(self.grams, _marks(grams, n)))))
             starts = np.flatnonzero(seen[width - 2 :] - seen[: len(seen) - width + 2] >= n - 2 - 3 * k)
-            for part in np.array_split(starts, 1 + len(starts) // 4096):
+            for part in np.array_split(starts, 1 + len(starts) * walks(n) // (4096 * REPEATS)):
                 if len(part):
                     keys = embed_keys(hashes, part, width, n)
                     known = _in(self.keys, (keys & np.uint64(TABLE_BITS - 1)).astype(np.int64))

@@ -53,6 +53,24 @@ def test_recall_of_keys():
     assert hits / tries > 0.98
 
 
+@pytest.mark.parametrize("n", [50, 100, 200, 300, 500])
+@pytest.mark.parametrize("kind", ["replaced", "deleted"])
+def test_recall_of_keys_by_length(n, kind):
+    """Also of long items: with n/5 words replaced, or n/10 deleted and as many after the end."""
+    rng, hits = random.Random(n), 0
+    for _ in range(60):
+        item = [rng.getrandbits(60) for _ in range(n)]
+        gone = set(rng.sample(range(n), allowed(n) // (1 if kind == "replaced" else 2)))
+        fresh = [rng.getrandbits(60) for _ in range(n)]
+        if kind == "replaced":
+            window = [fresh[i] if i in gone else x for i, x in enumerate(item)]
+        else:
+            window = [x for i, x in enumerate(item) if i not in gone] + fresh[: len(gone)]
+        a, b = (embed_keys(np.array(x, np.uint64), np.zeros(1, np.int64), n, n)[0] for x in (item, window))
+        hits += bool((a == b).any())
+    assert hits / 60 >= 0.95
+
+
 @pytest.fixture(scope="module")
 def items(spark):
     rng = random.Random(8)
