@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from starkeep.llm.linededup import drop_repeated_lines
+from starkeep.llm.periodic import collapse_runs, strongest, with_periodic_tail
 from starkeep.llm.queries.registry import query, table
 from starkeep.llm.simhash import near_duplicates
 from starkeep.llm.substrings import drop_repeated_passages
@@ -41,3 +42,20 @@ def op7_simhash(spark, folder):
 def op9_substrings(spark, folder):
     kept = drop_repeated_passages(table(spark, folder, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query()
+def op13_periodic_runs(spark, folder):
+    docs = with_periodic_tail(table(spark, folder, "documents"))
+    found = collapse_runs(docs).withColumn("top", strongest(F.col("runs")))
+    line = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
