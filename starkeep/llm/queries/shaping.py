@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from starkeep.llm.chats import format_chats, messages_of
 from starkeep.llm.mixing import mix
 from starkeep.llm.queries.registry import query, table
+from starkeep.llm.sharding import place
 
 
 @query()
@@ -49,3 +50,10 @@ def op4_chats(spark, folder):
     messages = messages_of(table(spark, folder, "conversations"))
     lines = format_chats(messages, spark.sql(TOOLS), whole=True)
     return lines.withColumn("faults", F.array_join("faults", ","))
+
+
+@query()
+def op12_sharding(spark, folder):
+    placed = place(table(spark, folder, "documents").select("doc_id", "text"))
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
