@@ -20,7 +20,7 @@ from starkeep.operators.shaping import conform, rename_present
 from starkeep.plans import schemas
 from starkeep.sources.files import materialize
 from starkeep.sources.landing import empty, read_csv, read_json
-from starkeep.sources.store import TableStore
+from starkeep.sources.store import TableStore, in_values
 from starkeep.sources.tables import YEAR_COLUMN
 
 
@@ -122,37 +122,79 @@ def load_incidents(spark: SparkSession, root: str, source: str) -> DataFrame:
 def add_incidents(
     store: TableStore, table: str, landing: str, source: str, days: Sequence[date]
 ) -> DataFrame:
-    """Bring the cleaned table up to date with the files of some ingest dates.
+    """Bring the cleaned table up to date with the files of some ingest dates; only these are read."""
+    raw = read_csv(store.spark, landing, source, days=days)
+    if raw is not None:
+        merge_incidents(store, table, incident_batch(raw))
+    return store.read(table)
+
+
+def incident_batch(raw: DataFrame) -> DataFrame:
+    return materialize(clean_incidents(raw.drop("ingest_date")), "incidents")
+
 
-    The result is the same as cleaning all files again, because the latest of the latest
-    is the latest. Only these dates are read, and only the years are rewritten where a
+def merge_incidents(store: TableStore, table: str, batch: DataFrame) -> list:
+    """Merge cleaned reports into the published table; returns the years that were rewritten.
+
+    The result is the same as cleaning all reports again, because the latest of the latest
+    is the latest; merging a batch again changes nothing. Only the years are rewritten where a
     new row or an older report of the same incident lies.
     """
-    raw = read_csv(store.spark, landing, source, days=days)
-    if raw is None:
-        return store.read(table)
-    batch = materialize(clean_incidents(raw.drop("ingest_date")), "incidents")
+    if not store.exists(table):
+        store.publish(table, batch, YEAR_COLUMN)
+        return [row[0] for row in batch.select(YEAR_COLUMN).distinct().collect()]
     current = store.read(table)
     known = current.select("id", YEAR_COLUMN)
     moved = known.join(batch.select("id"), "id", "left_semi").select(YEAR_COLUMN)
     touched = batch.select(YEAR_COLUMN).union(moved).distinct()
     years = [row[0] for row in touched.collect()]  # a handful: calendar years
-    wanted = F.col(YEAR_COLUMN).isin([y for y in years if y is not None])
-    base = current.filter(wanted | F.col(YEAR_COLUMN).isNull() if None in years else wanted)
+    base = current.filter(in_values(YEAR_COLUMN, years))
     state = newest_reports(base.unionByName(batch))
-    return store.publish(table, state, YEAR_COLUMN, years)
+    store.publish(table, state, YEAR_COLUMN, years)
+    return years
+
+
+def merge_weather(store: TableStore, table: str, rows: DataFrame, files: Sequence[str]) -> None:
+    """Add the observations of some landed files; a file of the batch that was added last is not added again."""
+    if not store.exists(table):
+        store.publish(table, rows, YEAR_COLUMN, made_from={"files": list(files)})
+        return
+    if set(store.made_from(table).get("files", ())) >= set(files):
+        return
+    rows = materialize(rows, table)
+    years = [row[0] for row in rows.select(YEAR_COLUMN).distinct().collect()]
+    state = store.read(table).filter(in_values(YEAR_COLUMN, years)).unionByName(rows)
+    store.publish(table, state, YEAR_COLUMN, years, made_from={"files": list(files)})
+
+
+def merge_snapshot(
+    store: TableStore, table: str, key: str, rows: DataFrame, run_date: date, newest: date
+) -> None:
+    """Overwrite a lookup's rows by those of later deliveries; keys they lack stay."""
+    year = F.lit(run_date.year).cast("smallint")
+    rows = materialize(rows, table)
+    if store.exists(table):
+        kept = store.read(table).join(rows.select(key), key, "left_anti")
+        rows = kept.select(rows.columns).withColumn(YEAR_COLUMN, year).unionByName(rows)
+    store.publish(table, rows, YEAR_COLUMN, made_from={"newest": newest.isoformat()})
 
 
-def load_codes(spark: SparkSession, root: str, source: str, run_date: date) -> DataFrame:
-    raw = read_csv(spark, root, source)
+def load_codes(
+    spark: SparkSession, root: str, source: str, run_date: date, files: Sequence[str] | None = None
+) -> DataFrame:
+    raw = read_csv(spark, root, source, files=files)
     return empty(spark, schemas.CODES) if raw is None else clean_codes(raw, run_date)
 
 
-def load_areas(spark: SparkSession, root: str, source: str, run_date: date) -> DataFrame:
-    raw = read_csv(spark, root, source)
+def load_areas(
+    spark: SparkSession, root: str, source: str, run_date: date, files: Sequence[str] | None = None
+) -> DataFrame:
+    raw = read_csv(spark, root, source, files=files)
     return empty(spark, schemas.AREAS) if raw is None else clean_areas(raw, run_date)
 
 
-def load_weather(spark: SparkSession, root: str, source: str) -> DataFrame:
-    raw = read_json(spark, root, source, schemas.WEATHER_FEED)
+def load_weather(
+    spark: SparkSession, root: str, source: str, files: Sequence[str] | None = None
+) -> DataFrame:
+    raw = read_json(spark, root, source, schemas.WEATHER_FEED, files)
     return empty(spark, schemas.WEATHER) if raw is None else clean_weather(raw)

@@ -53,8 +53,9 @@ def incident_extract(
     tables: Mapping[str, DataFrame],
     need_coordinates: bool = True,
     missing_measures_as_zero: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """The 41 reporting columns of every incident.
+    """The 41 reporting columns of every incident, and those of the facts named in ``carry``.
 
     ``need_coordinates`` drops incidents without a map point. Missing weather stays NULL,
     so averages leave it out; ``missing_measures_as_zero`` gives the original's zeros.
@@ -131,7 +132,7 @@ def incident_extract(
         "temp_band": text("temp_band", "Unavailable"),
         "precip_band": text("precip_band", "Unavailable"),
     }
-    return star.select(*[col.alias(name) for name, col in columns.items()])
+    return star.select(*[col.alias(name) for name, col in columns.items()], *carry)
 
 
 def total(df: DataFrame, measures: Mapping[str, str]) -> DataFrame:

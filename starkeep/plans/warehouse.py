@@ -8,10 +8,11 @@ from datetime import date
 from functools import partial, reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from starkeep.functions.hashing import change_hash_json
 from starkeep.functions.keys import (
     NOT_APPLICABLE_KEY,
     UNKNOWN_KEY,
@@ -53,11 +54,20 @@ from starkeep.plans import cleaning, schemas
 from starkeep.plans.reports import incident_extract
 from starkeep.sources.files import materialize
 from starkeep.sources.landing import empty
-from starkeep.sources.store import TableStore
+from starkeep.sources.keyindex import KeyIndex
+from starkeep.sources.store import NO_VALUE, TableStore, in_values
 from starkeep.sources.tables import YEAR_COLUMN, newest_snapshot, without_triage
 from starkeep.sources.windows import DayRange
 
 FACT_PARTITION = "fact_year"
+LINEAGE = "fact_crime_lineage"
+VERSIONED = ("dim_location", "dim_crime_type")
+#: Dimensions whose members can change, and the fact's key to each.
+EXTRACT_KEYS = {
+    "dim_location": "location_key",
+    "dim_crime_type": "crime_type_key",
+    "dim_weather": "weather_key",
+}
 
 # What the arrest feed may hold of a person, and an arrest's own columns.
 _PERSON = {"race": "string", "age_band": "string", "sex": "string"}
@@ -183,6 +193,7 @@ def load_versioned(
     incoming: DataFrame,
     run_date: date,
     spread: tuple[str, str] | None = None,
+    made_from: Mapping | None = None,
 ) -> dict[str, int]:
     """Merge, number the new versions, publish.
 
@@ -198,6 +209,8 @@ def load_versioned(
     if spread is not None and store.exists(table):
         renamed = _spread_changes(current, incoming, *spread)
     if counts["new"] + counts["changed"] + renamed == 0 and store.exists(table):
+        if made_from is not None:
+            store.record(table, made_from)
         return counts
     state = scd2_merge(current, incoming, spec, run_date)
     if spread is not None:
@@ -206,7 +219,7 @@ def load_versioned(
     state = materialize(fill_keys(state, spec.surrogate, order), table)
     gate = version_violations(state, spec)
     require(table, gate, contract_violations(state, schemas.CONTRACTS[table]))
-    store.publish(table, state)
+    store.publish(table, state, made_from=made_from)
     return counts
 
 
@@ -330,6 +343,39 @@ def incident_facts(
     return df.select(*names)
 
 
+def load_incident_facts(
+    store: TableStore,
+    incidents: DataFrame,
+    weather: DataFrame | None,
+    dims: Mapping[str, DataFrame],
+) -> dict[str, int]:
+    """Facts of these incidents, merged into the published ones.
+
+    What is recorded with the facts are the loads of the versioned dimensions, so that the next run can tell
+    which versions are new to them.
+    """
+    members = {
+        "occurrence_date_key": (dims["dim_date"], "date_key"),
+        "report_date_key": (dims["dim_date"], "date_key"),
+        "occurrence_time_key": (dims["dim_time_of_day"], "time_key"),
+        "location_key": (dims["dim_location"], "location_key"),
+        "crime_type_key": (dims["dim_crime_type"], "crime_type_key"),
+        "weather_key": (dims["dim_weather"], "weather_key"),
+        "flags_key": (dims["dim_crime_flags"], "flags_key"),
+    }
+    return load_facts(
+        store,
+        "fact_crime",
+        incident_facts(incidents, weather, dims),
+        "crime_pk",
+        "crime_id",
+        "occurrence_date_key",
+        members,
+        incidents.select(F.col("id").alias("crime_id")),
+        {name: store.state(name) for name in VERSIONED},
+    )
+
+
 # Charge columns of the feed, repeated (``charge_1_type``) or as lists (``charges_type``).
 CHARGE_FIELDS = {"iucr": "type", "charge_class": "class", "charge_statute": "statute"}
 
@@ -403,12 +449,6 @@ def charge_bridge(
     return rows.select(*schemas.CONTRACTS["bridge_arrest_charge"].schema.names)
 
 
-def in_values(column: str, values: Sequence) -> Column:
-    """``isin`` that finds NULL as well, where it is among the values."""
-    found = F.col(column).isin([v for v in values if v is not None])
-    return found | F.col(column).isNull() if None in values else found
-
-
 def require_unique(rows: DataFrame, key: str, table: str) -> None:
     """Raise for natural keys that are NULL or repeated."""
     bad = rows.groupBy(key).count().filter(F.col(key).isNull() | (F.col("count") > 1))
@@ -425,14 +465,18 @@ def load_facts(
     key: str,
     year_of: str,
     members: Mapping[str, tuple[DataFrame, str]] | None = None,
+    keys: DataFrame | None = None,
+    made_from: Mapping | None = None,
 ) -> dict[str, int]:
     """Upsert by natural key; known facts keep their surrogate.
 
-    Only new and changed facts are merged, and only the years they touch are rewritten:
-    the years of the incoming rows and those where their older copies lie (a corrected
+    Which facts are new or changed is read from the table's key index (``sources.keyindex``), not from the table;
+    with ``keys`` (the incoming keys in a cheap frame) only from the key ranges these lie in. Only the years are
+    rewritten that hold incoming rows or their older copies (a corrected
     date moves a fact). A repeated load writes nothing. Before anything is published the new and
     changed facts must pass the gates: natural keys are there and unique, required
     columns are filled, and foreign keys (``members`` maps them to dimension and key) have members.
+    ``made_from`` is recorded with the table.
     """
 
     def gate(rows: DataFrame) -> None:
@@ -444,6 +488,7 @@ def load_facts(
         if reports:
             require(table, *reports)
 
+    index = KeyIndex(store, table, key, surrogate, FACT_PARTITION)
     year = (F.col(year_of) / 10000).cast("int")
     incoming = facts.withColumn(FACT_PARTITION, year)
     if not store.exists(table):
@@ -452,27 +497,39 @@ def load_facts(
         # only the keys are sorted to be numbered; the rows are joined once
         keyed = assign_keys(staged.select(key), surrogate, [key])
         numbered = staged.join(keyed, key).select(surrogate, *incoming.columns)
-        published = store.publish(table, numbered, FACT_PARTITION, sort_by=[year_of])
+        published = store.publish(
+            table, numbered, FACT_PARTITION, sort_by=[year_of], made_from=made_from
+        )
+        index.rebuild()
         return {"upserted": published.count()}
     current = store.read(table)
-    staged = materialize(changed_rows(current, incoming, [key]), table)
-    gate(staged)
+    types = dict(current.dtypes)
+    incoming = incoming.select(*[F.col(c).cast(types[c]).alias(c) for c in incoming.columns])
+    known = index.read(keys).select(key, surrogate, F.col(FACT_PARTITION).alias("_year"), "digest")
+    columns = sorted(c for c in incoming.columns if c != key)
+    same = change_hash_json(columns).eqNullSafe(F.col("digest"))
+    staged = incoming.join(known, key, "left").filter(~same).drop("digest")
+    staged = materialize(staged, table)
+    gate(staged.drop(surrogate, "_year"))
     n = staged.count()
     if n == 0:
+        if made_from is not None:
+            store.record(table, made_from)
         return {"upserted": 0}
-    known = current.select(key, surrogate, FACT_PARTITION)
-    moved = known.join(staged.select(key), key, "left_semi").select(FACT_PARTITION)
+    moved = staged.filter(F.col(surrogate).isNotNull()).select("_year")
     touched = staged.select(FACT_PARTITION).union(moved).distinct()
     years = [row[0] for row in touched.collect()]  # a handful: calendar years
-    new = staged.join(known.select(key), key, "left_anti")
-    top = known.agg(F.coalesce(F.max(surrogate), F.lit(0))).first()[0]
-    keyed = assign_keys(new.select(key), surrogate, [key], top + 1)
+    new = staged.filter(F.col(surrogate).isNull()).select(key)
+    top = index.top
+    keyed = assign_keys(new, surrogate, [key], top + 1)
+    fresh = staged.join(keyed.withColumnRenamed(surrogate, "_fresh"), key, "left")
+    fresh = fresh.withColumn(surrogate, F.coalesce(surrogate, "_fresh")).select(*current.columns)
+    fresh = materialize(fresh, table)
     base = current.filter(in_values(FACT_PARTITION, years))
-    state = scd1_upsert(base, staged, [key]).alias("s")
-    state = state.join(keyed.withColumnRenamed(surrogate, "_fresh"), key, "left")
-    state = state.withColumn(surrogate, F.coalesce(surrogate, "_fresh"))
-    state = state.select(*current.columns)
-    store.publish(table, state, FACT_PARTITION, years, [year_of])
+    base = base.join(fresh.select(key), key, "left_anti")
+    state = base.unionByName(fresh)
+    store.publish(table, state, FACT_PARTITION, years, [year_of], made_from)
+    index.update(fresh, top + new.count())
     return {"upserted": n}
 
 
@@ -493,7 +550,7 @@ def load_arrests(
         "arrestee_key": (dims["dim_arrestee"], "arrestee_key"),
     }
     counts = load_facts(
-        store, "fact_arrest", facts, "arrest_pk", "cb_no", "arrest_date_key", members
+        store, "fact_arrest", facts, "arrest_pk", "cb_no", "arrest_date_key", members, arrests.select("cb_no")
     )
     published = store.read("fact_arrest")
     years = published.select("arrest_pk", FACT_PARTITION)
@@ -558,23 +615,23 @@ def build_warehouse(
         name: store.read(name)
         for name in (*steps, "dim_date", "dim_time_of_day", "dim_crime_flags")
     }
-    facts = incident_facts(data.incidents, data.weather, dims)
-    members = {
-        "occurrence_date_key": (dims["dim_date"], "date_key"),
-        "location_key": (dims["dim_location"], "location_key"),
-        "crime_type_key": (dims["dim_crime_type"], "crime_type_key"),
-        "flags_key": (dims["dim_crime_flags"], "flags_key"),
-    }
-    steps["fact_crime"] = load_facts(
-        store, "fact_crime", facts, "crime_pk", "crime_id", "occurrence_date_key", members
-    )
+    steps["fact_crime"] = load_incident_facts(store, data.incidents, data.weather, dims)
     steps |= load_arrests(store, data.arrests, dims)
     if drop_old:
-        for table in (*dims, "fact_crime", "fact_arrest", "bridge_arrest_charge"):
-            store.drop_old_loads(table)
+        drop_old_loads(store)
     return steps
 
 
+def drop_old_loads(store: TableStore) -> None:
+    """Delete loads that are neither current nor compared with by the next run; not while others read."""
+    derived = ("fact_crime", "fact_arrest", "extract", LINEAGE, "dim_location")
+    cleaned = [f"clean_{source}" for source in ("incidents", "codes", "areas", "weather")]
+    indexes = ["fact_crime_keys", "fact_arrest_keys"]
+    for table in (*schemas.CONTRACTS, *cleaned, *indexes, "extract", LINEAGE):
+        if store.exists(table):
+            store.drop_old_loads(table, needed_by=derived)
+
+
 def clean_feeds(
     store: TableStore, landing: str, run_date: date, arrests: DataFrame | None = None
 ) -> Cleaned:
@@ -599,17 +656,78 @@ def clean_feeds(
     return Cleaned(**tables, arrests=arrests)
 
 
-def refresh_extract(store: TableStore, **options) -> DataFrame:
-    """Publish the wide reporting table anew, by year and sorted by day.
+def update_lineage(store: TableStore) -> DataFrame:
+    """``(dimension, member, fact_year)``: in which years the facts use which members.
 
-    Options as for ``incident_extract``. The year is a column more than its 41.
+    Kept beside the facts; only the years whose facts were rewritten are looked through again.
     """
-    names = ("fact_crime", "dim_date", "dim_time_of_day", "dim_location")
-    names += ("dim_crime_type", "dim_weather")
+    now, before = store.state("fact_crime"), store.made_from(LINEAGE).get("fact_crime", {})
+    years = _differing(now, before)
+    if not years and store.exists(LINEAGE):
+        return store.read(LINEAGE)
+    facts = store.read("fact_crime").filter(in_values(FACT_PARTITION, years))
+    used = [
+        F.struct(F.lit(table).alias("dimension"), F.col(key).cast("bigint").alias("member"))
+        for table, key in EXTRACT_KEYS.items()
+    ]
+    rows = facts.select(F.explode(F.array(*used)).alias("m"), FACT_PARTITION)
+    rows = rows.select("m.*", FACT_PARTITION).distinct()
+    return store.publish(
+        LINEAGE, rows, FACT_PARTITION, years, made_from={"fact_crime": now}
+    )
+
+
+def _differing(now: Mapping[str, str], before: Mapping[str, str]) -> list[int | None]:
+    """Years whose folders differ."""
+    values = {v for v in now.keys() | before.keys() if now.get(v) != before.get(v)}
+    return sorted((None if v == NO_VALUE else int(v) for v in values), key=lambda y: (y is None, y))
+
+
+def stale_years(store: TableStore, options: Mapping) -> list[int | None] | None:
+    """Years whose extract no longer shows the facts and members; None for all.
+
+    A year is stale if its facts were rewritten or if they use a member that has changed: a version that ended
+    changes all facts of its time, whatever their years.
+    """
+    made_from = store.made_from("extract")
+    if not store.exists("extract") or made_from.get("options") != dict(options):
+        return None
+    fixed = ("dim_date", "dim_time_of_day")
+    if any(made_from.get(t) != store.state(t) for t in fixed):
+        return None
+    years = set(_differing(store.state("fact_crime"), made_from["fact_crime"]))
+    lineage = update_lineage(store)
+    for table, key in EXTRACT_KEYS.items():
+        if made_from.get(table) == store.state(table):
+            continue
+        changed = store.changed_since(table, "extract")
+        if changed is None:
+            return None
+        members = changed.select(F.col(key).cast("bigint").alias("member"))
+        of_table = lineage.filter(F.col("dimension") == table)
+        hit = of_table.join(members, "member", "left_semi").select(FACT_PARTITION).distinct()
+        years |= {row[0] for row in hit.collect()}  # a handful: calendar years
+    return list(years)
+
+
+def refresh_extract(store: TableStore, whole: bool = False, **options) -> DataFrame:
+    """Publish the wide reporting table, by the facts' year and sorted by day.
+
+    Only stale years are joined and written again (``stale_years``); ``whole``, or other ``options`` (those of
+    ``incident_extract``) than last time, writes all. The year is a column more than its 41.
+    """
+    names = ("fact_crime", "dim_date", "dim_time_of_day", *EXTRACT_KEYS)
+    years = None if whole else stale_years(store, options)
+    if years == []:
+        return store.read("extract")
     tables = {name: store.read(name) for name in names}
-    wide = incident_extract(tables, **options)
-    wide = wide.withColumn(FACT_PARTITION, F.year("occurrence_date"))
-    return store.publish("extract", wide, FACT_PARTITION, sort_by=["occurrence_date"])
+    made_from = {name: store.state(name) for name in names} | {"options": dict(options)}
+    if years is not None:
+        tables["fact_crime"] = tables["fact_crime"].filter(in_values(FACT_PARTITION, years))
+    wide = incident_extract(tables, carry=(FACT_PARTITION,), **options)
+    return store.publish(
+        "extract", wide, FACT_PARTITION, years, ["occurrence_date"], made_from
+    )
 
 
 def facts_in(store: TableStore, table: str, day_key: str, days: DayRange) -> DataFrame:

@@ -10,6 +10,7 @@ from starkeep.functions.keys import flag_measure
 from starkeep.operators import quality
 from starkeep.operators.asof import active_on
 from starkeep.plans import cleaning, reports, schemas, warehouse
+from starkeep.plans.refresh import refresh
 from starkeep.queries import feeds
 from starkeep.queries.registry import Tables, query
 from starkeep.sources.files import materialize, scratch_path
@@ -46,6 +47,45 @@ def build(spark, folder):
     return store
 
 
+THIRD_RUN = date(2024, 1, 25)
+RUNS = (FIRST_RUN, SECOND_RUN, THIRD_RUN)
+
+
+def land_increment(spark, folder, root, step):
+    """What lands before each of three runs.
+
+    First reports come in the first two, corrections in the last two, observations in the first and the last;
+    area indicators are delivered again with the second and codes with the third.
+    """
+    event = F.substring("Case Number", 2, 18).cast("long")
+    first = F.col("Description") == "version 1"
+    wanted = {
+        0: first & (event % 3 != 0),
+        1: (first & (event % 3 == 0)) | (~first & (event % 2 == 0)),
+        2: ~first & (event % 2 == 1),
+    }
+    land(feeds.incident_feed(spark, folder).filter(wanted[step]), root, "incidents", RUNS[step])
+    if step < 2:
+        land(feeds.area_feed(spark, folder, step), root, "areas", RUNS[step])
+    if step != 1:
+        codes = feeds.code_feed(spark, folder)
+        if step == 2:
+            turned = F.when(F.col("Index Code") == "i", "N").otherwise("I")
+            codes = codes.withColumn("Index Code", turned)
+        land(codes, root, "codes", RUNS[step])
+        weather = feeds.weather_feed(spark, folder, 100, F.col("block") % 2 == step // 2)
+        land(weather, root, "weather", RUNS[step], "json", maxRecordsPerFile=1)
+
+
+def build_by_increments(spark, folder):
+    store = TableStore(spark, scratch_path(spark, "warehouse"))
+    root = scratch_path(spark, "landing")
+    for step, run_date in enumerate(RUNS):
+        land_increment(spark, folder, root, step)
+        refresh(store, root, run_date)
+    return store
+
+
 def clean_incidents(spark, folder):
     clean = cleaning.clean_incidents(feeds.incident_feed(spark, folder))
     return materialize(without_triage(clean), "incidents")
@@ -441,3 +481,171 @@ def warehouse_charges(spark, folder):
     """The bridge from arrests to codes."""
     columns = schemas.CONTRACTS["bridge_arrest_charge"].schema.names
     return build_arrests(spark, folder).read("bridge_arrest_charge").select(*columns)
+
+
+# Three increments. ``b`` is the run a report lands for, ``k`` a run; a dimension's versions are the changes
+# between what the runs see.
+INCREMENTS_SQL = f"""
+    {feeds.INCIDENTS_SQL.replace("incidents AS", "reports AS", 1).replace("WHERE version = 2 OR keyless", "")},
+    {feeds.CODES_SQL}, {feeds.areas_sql()}, {feeds.areas_sql("areas_later", 1)},
+    {feeds.WEATHER_SQL.replace("SELECT CAST", "SELECT event_id, CAST", 1)},
+    runs(k, day) AS (
+        VALUES (1, DATE '2024-01-10'), (2, DATE '2024-01-20'), (3, DATE '2024-01-25')),
+    delivered AS (
+        SELECT *, CASE WHEN description = 'version 1' THEN CASE WHEN event % 3 <> 0 THEN 1 ELSE 2 END
+            WHEN event % 2 = 0 THEN 2 ELSE 3 END AS b
+        FROM (SELECT *, CAST(substr(case_number, 2) AS BIGINT) AS event FROM reports) AS r
+        WHERE id IS NOT NULL AND _ingest_year <> 9999),
+    loaded AS (
+        SELECT k, day, delivered.* FROM runs JOIN delivered ON b <= k
+        QUALIFY row_number() OVER (PARTITION BY k, id ORDER BY updated_on DESC) = 1),
+    area_runs AS (
+        SELECT 1 AS k, * FROM areas UNION ALL SELECT k, areas_later.* FROM areas_later, runs WHERE k > 1),
+    place_runs AS (
+        SELECT p.*, a.* EXCLUDE (k, community_area, _ingest_year)
+        FROM (SELECT DISTINCT k, day, community_area, district, ward, beat FROM loaded) AS p
+        LEFT JOIN area_runs AS a ON a.k = p.k AND a.community_area = p.community_area),
+    places AS (
+        SELECT *, CASE WHEN scd_version = 1 THEN DATE '0001-01-01' ELSE day END AS scd_start_date,
+            coalesce(lead(day) OVER place, DATE '9999-12-31') AS scd_end_date
+        FROM (
+            SELECT *, row_number() OVER place AS scd_version
+            FROM (SELECT * FROM place_runs
+                  WINDOW place AS (PARTITION BY community_area, district, ward, beat ORDER BY k)
+                  QUALIFY lag(pct_below_poverty) OVER place IS DISTINCT FROM pct_below_poverty
+                    OR row_number() OVER place = 1) AS c
+            WINDOW place AS (PARTITION BY community_area, district, ward, beat ORDER BY k)) AS n
+        WINDOW place AS (PARTITION BY community_area, district, ward, beat ORDER BY k)),
+    code_runs AS (
+        SELECT k, iucr, active,
+            CASE WHEN k < 3 THEN index_code WHEN index_code = 'I' THEN 'N' ELSE 'I' END AS index_code
+        FROM codes, runs),
+    type_runs AS (
+        SELECT t.*, c.index_code, coalesce(c.active, TRUE) AS active,
+            row(primary_type, description, fbi_code, c.index_code, coalesce(c.active, TRUE)) AS tracked
+        FROM (SELECT k, day, iucr, primary_type, description, fbi_code FROM loaded
+              QUALIFY row_number() OVER (PARTITION BY k, iucr
+                  ORDER BY updated_on DESC, date DESC, id DESC) = 1) AS t
+        LEFT JOIN code_runs AS c ON c.k = t.k AND c.iucr = t.iucr),
+    types AS (
+        SELECT *, CASE WHEN scd_version = 1 THEN DATE '0001-01-01' ELSE day END AS scd_start_date,
+            coalesce(lead(day) OVER code, DATE '9999-12-31') AS scd_end_date
+        FROM (
+            SELECT *, row_number() OVER code AS scd_version
+            FROM (SELECT * FROM type_runs WINDOW code AS (PARTITION BY iucr ORDER BY k)
+                  QUALIFY row_number() OVER code = 1
+                    OR lag(tracked) OVER code IS DISTINCT FROM tracked) AS c
+            WINDOW code AS (PARTITION BY iucr ORDER BY k)) AS n
+        WINDOW code AS (PARTITION BY iucr ORDER BY k)),
+    observed AS (
+        SELECT CAST(strftime(obs_time, '%Y%m%d') AS INTEGER) AS obs_date_key,
+            CAST(hour(obs_time) AS SMALLINT) AS obs_hour, event_id // 100 % 2 AS late, weather.*
+        FROM weather),
+    latest_hours AS (
+        SELECT * FROM observed
+        QUALIFY row_number() OVER (
+            PARTITION BY obs_date_key, obs_hour ORDER BY obs_time DESC,
+            temperature_celsius DESC NULLS LAST, precipitation_mm DESC NULLS LAST,
+            wind_speed_kmh DESC NULLS LAST, weather_code_wmo DESC NULLS LAST) = 1),
+    first_hours AS (
+        SELECT * FROM observed
+        QUALIFY row_number() OVER (
+            PARTITION BY obs_date_key, obs_hour ORDER BY late, obs_time DESC,
+            temperature_celsius DESC NULLS LAST, precipitation_mm DESC NULLS LAST,
+            wind_speed_kmh DESC NULLS LAST, weather_code_wmo DESC NULLS LAST) = 1),
+    facts AS (
+        SELECT f.* EXCLUDE (description, primary_type, fbi_code, k, day), p.* EXCLUDE (k, day, community_area,
+                district, ward, beat, scd_version, scd_start_date, scd_end_date),
+            p.scd_version AS place_version, p.scd_start_date AS place_start, p.scd_end_date AS place_end,
+            t.primary_type, t.description, t.fbi_code, t.index_code, t.scd_version AS type_version,
+            t.scd_start_date AS type_start, t.scd_end_date AS type_end,
+            w.temperature_celsius, w.precipitation_mm, h.weather_category, h.temp_band, h.precip_band
+        FROM loaded AS f
+        JOIN places AS p ON p.community_area IS NOT DISTINCT FROM f.community_area
+            AND p.district IS NOT DISTINCT FROM f.district
+            AND p.ward IS NOT DISTINCT FROM f.ward AND p.beat IS NOT DISTINCT FROM f.beat
+            AND CAST(date AS DATE) >= p.scd_start_date AND CAST(date AS DATE) < p.scd_end_date
+        JOIN types AS t ON t.iucr = f.iucr
+            AND CAST(date AS DATE) >= t.scd_start_date AND CAST(date AS DATE) < t.scd_end_date
+        LEFT JOIN latest_hours AS w ON w.obs_date_key = CAST(strftime(date, '%Y%m%d') AS INTEGER)
+            AND w.obs_hour = hour(date)
+        LEFT JOIN first_hours AS h ON h.obs_date_key = w.obs_date_key AND h.obs_hour = w.obs_hour
+        WHERE f.k = 3)"""
+
+
+@query(f"""
+WITH {INCREMENTS_SQL}
+SELECT id AS crime_id, case_number, CAST(strftime(date, '%Y%m%d') AS INTEGER) AS occurrence_date_key,
+    CAST(hour(date) AS SMALLINT) AS occurrence_time_key,
+    CAST(strftime(updated_on, '%Y%m%d') AS INTEGER) AS report_date_key, community_area, district, ward, beat,
+    CAST(place_version AS SMALLINT) AS place_version, pct_below_poverty, iucr,
+    CAST(type_version AS SMALLINT) AS type_version, description, index_code, temp_band,
+    CAST(CASE WHEN arrest IS NULL OR domestic IS NULL THEN 0
+        ELSE 1 + arrest::INT + 2 * domestic::INT END AS SMALLINT) AS flags_key,
+    CAST(coalesce(arrest, FALSE) AS SMALLINT) AS is_arrest,
+    CAST(coalesce(domestic, FALSE) AS SMALLINT) AS is_domestic,
+    CAST(trunc(date_diff('second', date, updated_on) / 3600) AS INTEGER) AS hours_to_update,
+    latitude, longitude, temperature_celsius, precipitation_mm
+FROM facts
+""")
+def warehouse_increments(spark, folder):
+    """Facts after three refreshes, with the members they point to instead of surrogates."""
+    store = build_by_increments(spark, folder)
+    places = store.read("dim_location").withColumnRenamed("scd_version", "place_version")
+    types = store.read("dim_crime_type").withColumnRenamed("scd_version", "type_version")
+    star = reports.join_star(
+        store.read("fact_crime"),
+        [
+            (places.select("location_key", *schemas.LOCATION.keys, "place_version", "pct_below_poverty"),
+             "location_key", "location_key"),
+            (types.select("crime_type_key", "iucr", "type_version", "description", "index_code"),
+             "crime_type_key", "crime_type_key"),
+            (store.read("dim_weather").select(
+                "weather_key", F.when(F.col("weather_key") > 0, F.col("temp_band")).alias("temp_band")),
+             "weather_key", "weather_key"),
+        ],
+    )
+    keys = ("crime_pk", "location_key", "crime_type_key", "weather_key", "incident_count", "fact_year")
+    return star.drop(*keys)
+
+
+@query(f"""
+WITH {INCREMENTS_SQL}
+SELECT CAST(id AS VARCHAR) AS crime_id, 1 AS incident_count,
+    CAST(coalesce(arrest, FALSE) AS INTEGER) AS is_arrest,
+    CAST(coalesce(domestic, FALSE) AS INTEGER) AS is_domestic,
+    coalesce(CAST(trunc(date_diff('second', date, updated_on) / 3600) AS INTEGER), 0) AS hours_to_update,
+    latitude, longitude, temperature_celsius, precipitation_mm,
+    CAST(date_trunc('day', date) AS TIMESTAMP) AS occurrence_date,
+    CAST(year(date) AS INTEGER) AS occurrence_year, CAST(quarter(date) AS INTEGER) AS occurrence_quarter,
+    CAST(month(date) AS INTEGER) AS occurrence_month, monthname(date) AS occurrence_month_name,
+    CAST(dayofweek(date) AS INTEGER) AS occurrence_day_of_week, dayname(date) AS occurrence_day_name,
+    CAST(hour(date) AS INTEGER) AS occurrence_hour,
+    CASE WHEN hour(date) <= 4 THEN 'Late Night' WHEN hour(date) <= 8 THEN 'Early Morning'
+        WHEN hour(date) <= 11 THEN 'Morning' WHEN hour(date) <= 16 THEN 'Afternoon'
+        WHEN hour(date) <= 20 THEN 'Evening' ELSE 'Night' END AS period_of_day,
+    CAST(coalesce(community_area, 0) AS INTEGER) AS community_area,
+    coalesce(community_area_name, 'Unknown') AS community_area_name, coalesce(district, 'Unknown') AS district,
+    CAST(coalesce(ward, 0) AS INTEGER) AS ward, pct_below_poverty, pct_unemployed_16plus,
+    pct_no_hs_25plus, per_capita_income_usd, CAST(hardship_index AS INTEGER) AS hardship_index,
+    CAST(greatest(place_start, DATE '1900-01-01') AS TIMESTAMP) AS location_scd_start,
+    CAST(least(place_end, DATE '2099-12-31') AS TIMESTAMP) AS location_scd_end,
+    CAST(place_end = DATE '9999-12-31' AS INTEGER) AS location_is_current,
+    CAST(place_version AS INTEGER) AS location_scd_version,
+    primary_type, description AS crime_description, fbi_code, coalesce(index_code, 'U') AS index_code,
+    CAST(greatest(type_start, DATE '1900-01-01') AS TIMESTAMP) AS crime_type_scd_start,
+    CAST(least(type_end, DATE '2099-12-31') AS TIMESTAMP) AS crime_type_scd_end,
+    CAST(type_end = DATE '9999-12-31' AS INTEGER) AS crime_type_is_current,
+    coalesce(weather_category, 'Unavailable') AS weather_category,
+    coalesce(temp_band, 'Unavailable') AS temp_band, coalesce(precip_band, 'Unavailable') AS precip_band
+FROM facts WHERE latitude IS NOT NULL AND longitude IS NOT NULL
+""")
+def extract_increments(spark, folder):
+    """The reporting columns after three refreshes, of which the last two write stale years only."""
+    store = TableStore(spark, scratch_path(spark, "warehouse"))
+    root = scratch_path(spark, "landing")
+    for step, run_date in enumerate(RUNS):
+        land_increment(spark, folder, root, step)
+        refresh(store, root, run_date)
+        extract = warehouse.refresh_extract(store)
+    return extract.drop(warehouse.FACT_PARTITION)

@@ -170,8 +170,8 @@ def areas_sql(name="areas", shift=0):
               GROUP BY ALL) AS x)"""
 
 
-def weather_feed(spark, folder):
-    """Every event as an observation, in parallel arrays of consecutive ids."""
+def weather_feed(spark, folder, size=5000, chosen=None):
+    """Every event as an observation, in parallel arrays of ``size`` consecutive ids; or only ``chosen`` blocks."""
     events = Tables(spark, folder).events
     k = k_of("props")
     item = F.struct(
@@ -185,7 +185,8 @@ def weather_feed(spark, folder):
         k.alias("weather_code"),
         k.cast("double").alias("relative_humidity_2m"),
     )
-    block = F.floor(F.col("event_id") / 5000).alias("block")
+    block = F.floor(F.col("event_id") / size).alias("block")
+    events = events if chosen is None else events.withColumn("block", block).filter(chosen).drop("block")
     grouped = events.groupBy(block).agg(F.sort_array(F.collect_list(item)).alias("rows"))
     names = ["time", "temperature_2m", "precipitation", "wind_speed_10m"]
     names += ["weather_code", "relative_humidity_2m"]

@@ -30,6 +30,26 @@ def has_files(spark: SparkSession, root: str, source: str, suffix: str) -> bool:
     return bool(glob(spark, pattern))
 
 
+def landed_files(
+    spark: SparkSession, root: str, source: str, suffix: str, days: Sequence[date] | None = None
+) -> dict[date, list[str]]:
+    """Files by ingest date, of all dates or of ``days``."""
+    folder = source_folder(root, source)
+    dates = ["*"] if days is None else sorted({day.isoformat() for day in days})
+    out: dict[date, list[str]] = {}
+    for day in dates:
+        for file in glob(spark, f"{folder}/ingest_date={day}/*{suffix}"):
+            value = file.rsplit("/", 2)[1].removeprefix("ingest_date=")
+            out.setdefault(date.fromisoformat(value), []).append(file)
+    return out
+
+
+def landed_days(spark: SparkSession, root: str, source: str) -> list[date]:
+    """Ingest dates that have a folder; files are not listed."""
+    found = glob(spark, f"{source_folder(root, source)}/ingest_date=*")
+    return [date.fromisoformat(path.rsplit("=", 1)[1]) for path in found]
+
+
 def _reader(spark: SparkSession, suffix: str):
     return spark.read.option("mode", "PERMISSIVE").option("pathGlobFilter", f"*{suffix}")
 
@@ -52,17 +72,18 @@ def read_csv(
     source: str,
     schema: T.StructType | None = None,
     days: Sequence[date] | None = None,
+    files: Sequence[str] | None = None,
 ) -> DataFrame | None:
     """All landed CSV files as text columns plus ``ingest_date``; None without files.
 
     Names come from each file's own header: files are grouped by header, each group is
     read by it, and the groups are joined by name, with NULL for columns a file lacks. With ``schema`` no header is read ahead, and a
     file whose header differs fails instead of shifting columns. With ``days`` only files
-    of these ingest dates are listed and read.
+    of these ingest dates are listed and read, with ``files`` just these.
     """
     folder = source_folder(root, source)
-    dates = ["*"] if days is None else sorted({day.isoformat() for day in days})
-    files = [f for day in dates for f in glob(spark, f"{folder}/ingest_date={day}/*.csv")]
+    if files is None:
+        files = [f for found in landed_files(spark, root, source, ".csv", days).values() for f in found]
     if not files:
         return None
     reader = _reader(spark, ".csv").options(**CSV_DIALECT, enforceSchema=False)
@@ -77,15 +98,20 @@ def read_csv(
 
 
 def read_json(
-    spark: SparkSession, root: str, source: str, schema: T.StructType | None = None
+    spark: SparkSession,
+    root: str,
+    source: str,
+    schema: T.StructType | None = None,
+    files: Sequence[str] | None = None,
 ) -> DataFrame | None:
-    """All landed multi-line JSON files plus ``ingest_date``; None without files."""
-    if not has_files(spark, root, source, ".json"):
+    """All landed multi-line JSON files, or just ``files``, plus ``ingest_date``; None without files."""
+    if not (has_files(spark, root, source, ".json") if files is None else files):
         return None
-    reader = _reader(spark, ".json").option("multiLine", True)
+    folder = source_folder(root, source)
+    reader = _reader(spark, ".json").option("multiLine", True).option("basePath", folder)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.json(source_folder(root, source))
+    return reader.json(folder if files is None else list(files))
 
 
 def land(
