@@ -22,7 +22,7 @@ def bridge_from_columns(
     structs = [F.struct(*[F.col(c).alias(f) for f, c in g.items()]) for g in groups]
     rows = df.select(parent, F.posexplode(F.array(*structs)).alias("_pos", "_item"))
     return rows.filter(F.col(f"_item.{member}").isNotNull()).select(
-        parent, (F.col("_pos") + 1).cast("smallint").alias("position"), "_item.*"
+        parent, (F.col("_pos") + 1).cast("int").alias("position"), "_item.*"
     )
 
 
@@ -34,7 +34,7 @@ def bridge_from_list(
     rows = df.select(parent, F.posexplode(entries).alias("_pos", "_item"))
     value = F.trim("_item")
     return rows.filter(value != "").select(
-        parent, (F.col("_pos") + 1).cast("smallint").alias("position"), value.alias(member)
+        parent, (F.col("_pos") + 1).cast("int").alias("position"), value.alias(member)
     )
 
 
@@ -54,7 +54,7 @@ def bridge_from_lists(
     rows = df.select(parent, *split)
     rows = rows.select(parent, F.posexplode(F.arrays_zip(*lists)).alias("_pos", "_item"))
     fields = [F.nullif(F.trim(F.col(f"_item.{f}")), F.lit("")).alias(f) for f in lists]
-    number = (F.col("_pos") + 1).cast("smallint").alias("position")
+    number = (F.col("_pos") + 1).cast("int").alias("position")
     return rows.select(parent, number, *fields).filter(F.col(member).isNotNull())
 
 
@@ -64,7 +64,7 @@ def count_members(
     """Parent rows with their number of bridge rows; 0 without any."""
     counts = bridge.groupBy(parent).agg(F.count("*").alias(into))
     joined = parents.join(counts, parent, "left")
-    number = F.coalesce(F.col(into), F.lit(0)).cast("smallint")
+    number = F.coalesce(F.col(into), F.lit(0)).cast("int")
     return joined.withColumn(into, number)
 
 

@@ -277,7 +277,7 @@ CONTRACTS = {
             arrest_time_key="short",
             arrestee_key="long",
             arrest_count="short",
-            charge_count="short",
+            charge_count="integer",
             required="arrest_pk cb_no arrest_date_key arrest_time_key arrest_count charge_count",
         ),
         (("arrest_pk",), ("cb_no",)),
@@ -286,7 +286,7 @@ CONTRACTS = {
         table(
             arrest_pk="long",
             crime_type_key="long",
-            charge_position="short",
+            charge_position="integer",
             charge_class="string",
             charge_statute="string",
             required="arrest_pk crime_type_key charge_position",

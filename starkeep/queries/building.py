@@ -427,7 +427,7 @@ ARRESTS_SQL = """
             FROM part) AS c),
     charges AS (
         SELECT l_orderkey AS cb_no, CAST(row_number() OVER (PARTITION BY l_orderkey
-                ORDER BY l_linenumber, iucr, charge_class, charge_statute) AS SMALLINT)
+                ORDER BY l_linenumber, iucr, charge_class, charge_statute) AS INTEGER)
                 AS charge_position, iucr, charge_class, charge_statute
         FROM (SELECT *, lpad(CAST(l_partkey % 120 AS VARCHAR), 4, '0') AS iucr,
                   l_returnflag AS charge_class, l_linestatus AS charge_statute
@@ -440,7 +440,7 @@ ARRESTS_SQL = """
             CAST(hour(d) AS SMALLINT) AS arrest_time_key, arrestee_key,
             CAST(1 AS SMALLINT) AS arrest_count,
             CAST((SELECT count(*) FROM charges WHERE charges.cb_no = o_orderkey)
-                AS SMALLINT) AS charge_count
+                AS INTEGER) AS charge_count
         FROM (SELECT *, o_orderdate + INTERVAL 9000 DAY AS d FROM orders) AS o
         JOIN people ON race = o_orderpriority)"""
 

@@ -8,6 +8,7 @@ from starkeep.functions.keys import date_key
 from starkeep.operators import bridge as B
 from starkeep.operators.asof import active_on
 from starkeep.operators.dedup import latest_per_key
+from starkeep.operators.late import add_sightings, scd2_splice, sightings
 from starkeep.operators.scd import (
     VersionSpec,
     change_counts,
@@ -108,6 +109,21 @@ def version_history(spark, folder):
     return with_hex(user_history(Tables(spark, folder).events))
 
 
+@query(f"WITH {HISTORY_SQL} SELECT * FROM history")
+def late_snapshots(spark, folder):
+    """The same versions from days that arrive out of order: every third first, then those before, then those after."""
+    days = materialize(user_days(Tables(spark, folder).events), "days")
+    state = spark.createDataFrame([], USERS_SCHEMA)
+    seen = sightings(days.limit(0), USERS, "day")
+    for part in (1, 0, 2):
+        arrived = days.filter(F.datediff("day", F.lit("2000-01-01").cast("date")) % 3 == part)
+        after = add_sightings(seen, arrived, USERS, "day")
+        state = scd2_splice(state, seen, arrived, USERS, "day")
+        state = fill_keys(state, "user_key", ["user_id", "scd_start_date"])
+        seen = materialize(after, "sightings")
+    return with_hex(state.drop("user_key"))
+
+
 @query(f"""
 WITH {BATCHES_SQL}, rows AS (
     SELECT user_id, old_type AS event_type, DATE '0001-01-01' AS scd_start_date,
@@ -223,7 +239,7 @@ def order_brands(spark, folder):
 
 BRIDGE_SQL = """
     SELECT l_orderkey, p_brand AS brand, CAST(row_number() OVER (
-        PARTITION BY l_orderkey ORDER BY l_linenumber, p_brand) AS SMALLINT) AS position
+        PARTITION BY l_orderkey ORDER BY l_linenumber, p_brand) AS INTEGER) AS position
     FROM lineitem JOIN part ON p_partkey = l_partkey"""
 
 
@@ -251,7 +267,7 @@ WITH bridge AS ({BRIDGE_SQL}), counts AS (
     SELECT l_orderkey, count(*) AS n FROM bridge GROUP BY 1)
 SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS order_date_key,
     CAST(1 AS SMALLINT) AS order_count,
-    CAST(coalesce(n, 0) AS SMALLINT) AS member_count
+    CAST(coalesce(n, 0) AS INTEGER) AS member_count
 FROM orders LEFT JOIN counts ON l_orderkey = o_orderkey
 """)
 def bridge_fact(spark, folder):

@@ -64,37 +64,37 @@ def slice_days(df: DataFrame, column: str, days: DayRange) -> DataFrame:
     return df.filter(days.holds(F.col(column)))
 
 
-def month_chunks(spark: SparkSession, days: DayRange) -> DataFrame:
-    """``(chunk_start, chunk_end)``: a month each, counted from the first day."""
+def month_chunks(spark: SparkSession, days: DayRange, months: int = 1) -> DataFrame:
+    """``(chunk_start, chunk_end)``: so many months each, counted from the first day."""
     one = spark.range(1).select(
         F.lit(days.first).alias("first"), F.lit(days.last).alias("last")
     )
-    return chunk_months(one, "first", "last")
+    return chunk_months(one, "first", "last", months)
 
 
 def backfill(
-    spark: SparkSession, days: DayRange, load: Callable[[DayRange], T]
+    spark: SparkSession, days: DayRange, load: Callable[[DayRange], T], months: int = 1
 ) -> list[tuple[DayRange, T]]:
-    """Run one load for each month chunk, in order; what each returned.
+    """Run one load for each chunk of months, in order; what each returned.
 
     A chunk that fails ends the run: those before it are loaded, and loading a chunk again
     changes nothing, so the run can be started anew from any chunk.
     """
-    chunks = month_chunks(spark, days).orderBy("chunk_start").collect()
+    chunks = month_chunks(spark, days, months).orderBy("chunk_start").collect()
     ranges = [DayRange(r["chunk_start"], r["chunk_end"]) for r in chunks]
     return [(chunk, load(chunk)) for chunk in ranges]
 
 
-def chunk_months(df: DataFrame, first: str, last: str) -> DataFrame:
+def chunk_months(df: DataFrame, first: str, last: str, length: int = 1) -> DataFrame:
     """As :func:`month_chunks`, for every row's range; the last chunk may be short.
 
     A next chunk starts where the one before ended, so a range that starts on the
     31st goes on from the day after its (shorter) first month.
     """
-    months = F.floor(F.months_between(F.col(last), F.col(first))).cast("int")
+    months = F.floor(F.months_between(F.col(last), F.col(first)) / length).cast("int")
     step = F.sequence(F.lit(0), months)
-    starts = F.add_months(F.col(first), F.col("_month"))
-    next_start = F.add_months(F.col(first), F.col("_month") + 1)
+    starts = F.add_months(F.col(first), F.col("_month") * length)
+    next_start = F.add_months(F.col(first), (F.col("_month") + 1) * length)
     return (
         df.select(first, last, F.explode(step).alias("_month"))
         .select(

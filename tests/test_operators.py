@@ -155,3 +155,16 @@ def test_contracts_have_all_tables():
     assert len(schemas.CONTRACTS) == 10
     for spec, name in ((schemas.LOCATION, "dim_location"), (schemas.INCIDENT_TYPE, "dim_crime_type")):
         assert tuple(schemas.CONTRACTS[name].schema.names) == spec.columns
+
+
+def test_long_lists_and_long_chunks(spark):
+    """Positions beyond 16 bits; chunks of several months."""
+    long = spark.range(1).select("id", F.array_join(F.sequence(F.lit(1), F.lit(40_000)), "|").alias("items"))
+    rows = bridge.bridge_from_list(long, "id", "items", "item")
+    assert rows.agg(F.max("position")).first()[0] == 40_000
+    assert bridge.count_members(long, rows, "id", "n").first()["n"] == 40_000
+    days = DayRange(date(2020, 1, 1), date(2022, 3, 5))
+    got = [tuple(r) for r in month_chunks(spark, days, 12).orderBy("chunk_start").collect()]
+    assert got == [
+        (date(2020, 1, 1), date(2020, 12, 31)), (date(2021, 1, 1), date(2021, 12, 31)), (date(2022, 1, 1), date(2022, 3, 5)),
+    ]
