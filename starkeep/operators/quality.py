@@ -91,6 +91,12 @@ def schema_drift(df: DataFrame, contract: Contract) -> list[tuple[str, str, str]
     ]
 
 
+def drift(df: DataFrame, contract: Contract) -> DataFrame:
+    """:func:`schema_drift` as ``(column, expected, found)`` rows."""
+    rows = schema_drift(df, contract)
+    return df.sparkSession.createDataFrame(rows, "column string, expected string, found string")
+
+
 class GateError(ValueError):
     """A table that breaks its contract; it is not published."""
 

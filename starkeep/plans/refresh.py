@@ -38,6 +38,7 @@ from starkeep.plans.warehouse import (
 )
 from starkeep.sources.files import materialize
 from starkeep.sources.landing import empty, landed_days, landed_files, read_csv
+from starkeep.sources.manifest import Counted, relative, require_complete
 from starkeep.sources.store import TableStore, in_values
 from starkeep.sources.tables import YEAR_COLUMN, newest_snapshot, without_triage
 from starkeep.sources.windows import LOOKBACK_DAYS
@@ -52,11 +53,6 @@ SPECS = {"dim_location": schemas.LOCATION, "dim_crime_type": schemas.INCIDENT_TY
 # The ledger.
 
 
-def _relative(file: str) -> str:
-    """A file's path from the feed's folder on, however its root is written."""
-    return "/".join(file.rsplit("/", 3)[1:])
-
-
 def pending_files(
     store: TableStore, landing: str, lookback: int = LOOKBACK_DAYS
 ) -> dict[str, dict[date, list[str]]]:
@@ -87,7 +83,7 @@ def pending_files(
         seen = known.get(source, set())
         out[source] = {}
         for landed, files in landed_files(spark, landing, source, suffix, days).items():
-            new = [f for f in files if _relative(f) not in seen]
+            new = [f for f in files if relative(f) not in seen]
             if new:
                 out[source][landed] = new
     return out
@@ -96,7 +92,7 @@ def pending_files(
 def _enter(store: TableStore, pending: Mapping, run_date: date) -> None:
     """Add the files to the ledger, which is kept by month of ingest."""
     rows = [
-        (source, landed, _relative(file), run_date, landed.strftime("%Y-%m"))
+        (source, landed, relative(file), run_date, landed.strftime("%Y-%m"))
         for source, by_day in pending.items()
         for landed, files in by_day.items()
         for file in files
@@ -140,7 +136,9 @@ def _merge_incidents(store: TableStore, landing: str, files: list[str]):
         if not store.exists(table):
             store.publish(table, batch, YEAR_COLUMN)
         return batch, batch
-    batch = cleaning.incident_batch(raw)
+    counted = Counted(raw)
+    batch = cleaning.incident_batch(counted.df)
+    require_complete(store.spark, landing, "incidents", files, counted.rows)
     years = cleaning.merge_incidents(store, table, batch)
     now = without_triage(store.read(table).filter(in_values(YEAR_COLUMN, years)))
     return batch, materialize(now.join(batch.select("id").distinct(), "id", "left_semi"), "fresh")

@@ -10,7 +10,7 @@ from functools import partial, reduce
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
 from starkeep.functions.hashing import change_hash_json
 from starkeep.functions.keys import (
@@ -39,6 +39,7 @@ from starkeep.operators.quality import (
     require,
     version_violations,
 )
+from starkeep.operators.quarantine import split_rejects, tag_rules
 from starkeep.operators.scd import (
     VersionSpec,
     change_counts,
@@ -467,6 +468,7 @@ def load_facts(
     members: Mapping[str, tuple[DataFrame, str]] | None = None,
     keys: DataFrame | None = None,
     made_from: Mapping | None = None,
+    rejects: date | None = None,
 ) -> dict[str, int]:
     """Upsert by natural key; known facts keep their surrogate.
 
@@ -477,14 +479,32 @@ def load_facts(
     changed facts must pass the gates: natural keys are there and unique, required
     columns are filled, and foreign keys (``members`` maps them to dimension and key) have members.
     ``made_from`` is recorded with the table.
+
+    With ``rejects``, the day of the run, rows that fail do not stop the load: they go to ``<table>_rejects`` with the rules they
+    break, under that day, and the others are loaded. A key that is rejected keeps the fact it has.
     """
 
+    def sound(rows: DataFrame) -> DataFrame:
+        """The rows to load; raises for bad ones, or sets them aside."""
+        if rejects is None:
+            gate(rows.drop(surrogate, "_year"))
+            return rows
+        fields = [T.StructField(key, rows.schema[key].dataType, False)]
+        if table in schemas.CONTRACTS:
+            contract = schemas.CONTRACTS[table].schema
+            fields += [f for f in contract if f.name in rows.columns and f.name not in (key, surrogate)]
+        tagged = tag_rules(rows, Contract(T.StructType(fields), ((key,),)), members)
+        good, bad = split_rejects(materialize(tagged, table))
+        bad = bad.drop(surrogate, "_year").withColumn("run_day", F.lit(rejects))
+        store.publish(f"{table}_rejects", bad, "run_day", [rejects])
+        return good
+
     def gate(rows: DataFrame) -> None:
         require_unique(rows, key, table)
         reports = [orphan_violations(rows, members)] if members else []
         if table in schemas.CONTRACTS:
             fields = [f for f in schemas.CONTRACTS[table].schema if f.name in rows.columns]
-            reports.append(contract_violations(rows, Contract(StructType(fields))))
+            reports.append(contract_violations(rows, Contract(T.StructType(fields))))
         if reports:
             require(table, *reports)
 
@@ -492,8 +512,7 @@ def load_facts(
     year = (F.col(year_of) / 10000).cast("int")
     incoming = facts.withColumn(FACT_PARTITION, year)
     if not store.exists(table):
-        staged = materialize(incoming, table)
-        gate(staged)
+        staged = sound(materialize(incoming, table))
         # only the keys are sorted to be numbered; the rows are joined once
         keyed = assign_keys(staged.select(key), surrogate, [key])
         numbered = staged.join(keyed, key).select(surrogate, *incoming.columns)
@@ -509,8 +528,7 @@ def load_facts(
     columns = sorted(c for c in incoming.columns if c != key)
     same = change_hash_json(columns).eqNullSafe(F.col("digest"))
     staged = incoming.join(known, key, "left").filter(~same).drop("digest")
-    staged = materialize(staged, table)
-    gate(staged.drop(surrogate, "_year"))
+    staged = sound(materialize(staged, table))
     n = staged.count()
     if n == 0:
         if made_from is not None:

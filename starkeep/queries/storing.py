@@ -1,10 +1,14 @@
 """Partitioned writes and published tables."""
 
+from datetime import date, datetime
+
 from pyspark.sql import functions as F
 
 from starkeep.plans.warehouse import load_facts
 from starkeep.queries.registry import Tables, query
 from starkeep.sources.files import scratch_path
+from starkeep.sources.landing import read_csv
+from starkeep.sources.manifest import land_batch, manifest
 from starkeep.sources.store import TableStore
 from starkeep.sources.tables import write_cleaned
 from starkeep.sources.windows import DayRange, backfill, slice_days
@@ -87,3 +91,62 @@ def backfill_loads(spark, folder):
     first, last = orders.agg(F.trunc(F.min("o_orderdate"), "year"), F.to_date(F.max("o_orderdate"))).first()
     backfill(spark, DayRange(first, last), load, months=12)
     return store.read("orders").select("order_pk", "o_orderkey", "date_key")
+
+
+@query("""
+WITH feed AS (
+    SELECT o_orderkey, CASE WHEN o_orderkey % 333 = 0 THEN -1 ELSE o_custkey END AS o_custkey,
+        CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_key,
+        concat_ws('; ', CASE WHEN o_orderkey % 333 = 0 THEN 'member: o_custkey' END,
+            CASE WHEN o_orderkey % 400 = 1 THEN 'unique: o_orderkey' END) AS rules
+    FROM orders, (SELECT unnest([1, 2]) AS copy) WHERE copy = 1 OR o_orderkey % 400 = 1)
+SELECT row_number() OVER (ORDER BY o_orderkey % 2, o_orderkey) AS order_pk, o_orderkey, o_custkey, date_key,
+    CAST(NULL AS DATE) AS run_day, rules FROM feed WHERE rules = ''
+UNION ALL
+SELECT NULL, o_orderkey, o_custkey, date_key, day, rules
+FROM feed, (VALUES (DATE '2024-05-01', 0), (DATE '2024-05-02', 1)) AS runs(day, odd)
+WHERE rules <> '' AND o_orderkey % 2 <= odd
+""")
+def quarantined_load(spark, folder):
+    """Two loads with bad rows in them: sound ones are published, the others listed with the rules they break."""
+    tables = Tables(spark, folder)
+    copies = F.explode(F.when(F.col("o_orderkey") % 400 == 1, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    feed = tables.orders.select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 333 == 0, -1).otherwise(F.col("o_custkey")).alias("o_custkey"),
+        F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("date_key"),
+        copies.alias("copy"),
+    ).drop("copy")
+    store = TableStore(spark, scratch_path(spark, "store"))
+    members = {"o_custkey": (tables.customer, "c_custkey")}
+    batches = {date(2024, 5, 1): feed.filter("o_orderkey % 2 = 0"), date(2024, 5, 2): feed}
+    for run_day, batch in batches.items():
+        load_facts(
+            store, "orders", batch, "order_pk", "o_orderkey", "date_key", members,
+            batch.select("o_orderkey"), rejects=run_day,
+        )
+    rejected = store.read("orders_rejects").withColumn("rules", F.array_join("broken_rules", "; "))
+    columns = ["order_pk", "o_orderkey", "o_custkey", "date_key", "run_day", "rules"]
+    loaded = store.read("orders").withColumn("rules", F.lit(""))
+    return loaded.unionByName(rejected, allowMissingColumns=True).select(*columns)
+
+
+@query("""
+SELECT 'orders' AS source, DATE '2024-05-01' AS ingest_date,
+    CAST(CAST(min(o_orderdate) AS DATE) AS VARCHAR) || '_to_' || CAST(CAST(max(o_orderdate) AS DATE) AS VARCHAR) AS label,
+    count(*) AS n_rows, count(*) AS n_read
+FROM orders GROUP BY o_orderstatus
+""")
+def landing_manifest(spark, folder):
+    """Batches as they were counted while they landed, beside the rows that are read from their files."""
+    orders = Tables(spark, folder).orders.withColumn("o_orderdate", F.to_date("o_orderdate"))
+    root, day = scratch_path(spark, "landing"), date(2024, 5, 1)
+    ends = orders.groupBy("o_orderstatus").agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"))
+    for hour, row in enumerate(ends.orderBy("o_orderstatus").collect()):  # three states
+        batch = orders.filter(F.col("o_orderstatus") == row["o_orderstatus"])
+        land_batch(batch, root, "orders", day, DayRange(row["first"], row["last"]), datetime(2024, 5, 1, hour))
+    entries = manifest(spark, root).withColumn("file", F.explode("files"))
+    name = F.substring_index(F.col("_metadata.file_path"), "/", -3)
+    read = read_csv(spark, root, "orders").select(name.alias("file")).groupBy("file").agg(F.count("*").alias("n"))
+    both = entries.join(read, "file", "left")
+    return both.groupBy("source", "ingest_date", "label", "n_rows").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_read"))
