@@ -90,7 +90,8 @@ def test_batches_are_counted(spark, tmp_path):
 def test_a_batch_with_lost_rows_is_refused(spark, tmp_path):
     root, store = str(tmp_path / "landing"), TableStore(spark, str(tmp_path / "store"))
     rows = spark.range(20).selectExpr(
-        "cast(id as string) AS ID", "'2024-01-05T10:00:00.000' AS Date", "'0110' AS IUCR", "'7' AS Beat"
+        "cast(id as string) AS ID", "'2024-01-05T10:00:00.000' AS Date", "'0110' AS IUCR", "'7' AS Beat",
+        "'' AS `Updated On`", "'true' AS Arrest", "'' AS Domestic",
     )
     land_batch(rows, root, "incidents", DAY, DayRange(DAY, DAY), datetime(2024, 5, 1, 8))
     file = next(tmp_path.glob("landing/incidents/ingest_date=2024-05-01/*.csv"))
