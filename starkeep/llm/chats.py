@@ -57,7 +57,11 @@ def messages_of(conversations: DataFrame) -> DataFrame:
         "conv_id",
         "turn",
         "role",
-        F.when(F.col("m.tool_calls").isNotNull(), F.col("m.content")).otherwise(F.coalesce("m.content", "text")).alias("content"),
+        # a text that only looks like JSON is written whole
+        F.when(F.col("m.tool_calls").isNotNull(), F.col("m.content"))
+        .when(F.col("m.tool_call_id").isNotNull(), F.coalesce("m.content", "text"))
+        .otherwise(F.col("text"))
+        .alias("content"),
         calls.cast(CALL).alias("calls"),
         F.coalesce("m.tool_call_id", answer).alias("result_of"),
         F.col("m.tool_calls").isNotNull().alias("own_calls"),
@@ -159,7 +163,8 @@ def format_chats(messages: DataFrame, schemas: DataFrame, whole: bool = False) -
     Sorted by conv_id, level, turn and kind (``call`` before ``message`` before ``result``), a conversation's lines put each call after the
     results it needs and each result after its call. ``schemas (tool, fields)`` lists the tools. ``linked`` says whether a call has a
     result and a result its call; ``faults`` are those of a call's arguments, ``tool`` for an unknown tool and
-    ``cycle`` for a call whose needs can't be met (it has no level). Null ids link nothing. Of calls that repeat an identifier
+    ``cycle`` for a call whose needs can't be met (it has no level). Null ids link nothing, nor do null
+    conversations, whose calls have level 0. Of calls that repeat an identifier
     in a conversation the first turn's is linked; all are written. A null text is an empty one.
 
     With ``whole``, calls with a null id are written too, unlinked, and a turn that lists calls has a ``message`` line
@@ -176,7 +181,9 @@ def format_chats(messages: DataFrame, schemas: DataFrame, whole: bool = False) -
     known = calls.groupBy("conv_id", F.col("key").alias("id")).agg(first).join(level, ["conv_id", "id"], "left")
     tools = F.broadcast(schemas.select(F.col("tool").alias("name"), "fields"))
     wrong = F.when(F.col("fields").isNull(), F.array(F.lit("tool"))).otherwise(faults(F.col("arguments"), F.col("fields")))
-    wrong = F.when(F.col("level").isNull(), F.array_append(wrong, F.lit("cycle"))).otherwise(wrong)
+    # without a conversation nothing links, and nothing is needed in vain
+    level = F.coalesce("level", F.when(F.col("conv_id").isNull(), F.lit(0).cast("long")))
+    wrong = F.when(level.isNull(), F.array_append(wrong, F.lit("cycle"))).otherwise(wrong)
     arguments = F.coalesce(canonical(F.col("arguments")), F.to_json(F.to_variant_object(F.struct(F.col("arguments").alias("raw")))))
     head = F.concat(F.lit('{"arguments":'), arguments, F.lit(',"id":'), _text("id"), F.lit(',"name":'), _text("name"))
     called = (
@@ -185,7 +192,7 @@ def format_chats(messages: DataFrame, schemas: DataFrame, whole: bool = False) -
         .join(tools, "name", "left")
         .select(
             "conv_id",
-            (2 * F.col("level")).alias("level"),
+            (2 * level).alias("level"),
             "turn",
             F.lit("call").alias("kind"),
             "id",

@@ -3,7 +3,9 @@
 The pieces are those of a public byte-level vocabulary. Each language has a probability for each
 piece. A word (a run of letters, with a space before it) may be cut into pieces in many ways; the
 forward algorithm sums the probabilities of all of them, byte by byte. A text's likelihood
-is the product over its words, so a chunk of texts costs as much as its distinct words. The
+is the product over its words, so a chunk of texts costs as much as its distinct words. Scripts
+without spaces have runs of any length: a long run is read in stretches of ten characters, when fitting and when
+scoring, and sums run over the segmentations within each. The
 probabilities are fitted by expectation maximisation over the same sums.
 """
 
@@ -22,9 +24,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Bounds of the labelled sample: documents of each language, and characters of one of them.
 PER_LANG = 200
 MOST_CHARS = 20_000
-#: Bytes of the longest piece, the space before a word included, and of a word that is learned from.
-PIECE_BYTES = 12
-LEARNED_BYTES = 40
+#: A run of letters of more bytes, as unspaced scripts have, is read in stretches of so many code points, each a word.
+LONG_BYTES, STRETCH = 40, 10
 ROUNDS = 4
 SMOOTH = 0.01
 CHUNK = 4 << 20
@@ -49,7 +50,7 @@ class Vocabulary:
             for line in lines:
                 piece = base64.b64decode(line.split()[0]).lower()
                 body = np.frombuffer(piece.removeprefix(b" "), np.uint8)
-                if 0 < len(body) and len(piece) <= PIECE_BYTES and LETTERS[body].all():
+                if 0 < len(body) and LETTERS[body].all():
                     pieces.add(piece)
         found = {}
         for piece in pieces:
@@ -57,6 +58,8 @@ class Vocabulary:
                 start = piece.startswith(b" ")
                 found[(_raw_hash(piece[start:]) + int(START) * start) % (1 << 64)] = piece
         self.hashes = np.array(sorted(found), np.uint64)
+        #: Bytes of the longest piece, the space before a word included.
+        self.longest = max(map(len, pieces))
         self.space = len(self.hashes)
         self.size = self.space + 1
         self.seen = np.zeros(1 << BITS, bool)
@@ -88,7 +91,7 @@ class Words:
         n = self.reaching(node)
         ends = self.starts[:n] + (node - 1)
         inverse = powers(len(self.prefix))[1]
-        for length in range(1, min(PIECE_BYTES, node) + 1):
+        for length in range(1, min(vocabulary.longest, node) + 1):
             if length == node == 1:
                 yield length, np.arange(n), np.full(n, vocabulary.space)
                 continue
@@ -97,9 +100,25 @@ class Words:
             yield length, *vocabulary.find(hashes + START if length == node else hashes)
 
 
+def word_spans(chunk):
+    """Starts, ends and rows of the words: runs of letters, long ones in stretches of STRETCH code points."""
+    starts, ends, rows = chunk.spans(LETTERS)
+    long = ends - starts > LONG_BYTES
+    if not long.any():
+        return starts, ends, rows
+    parts = [(starts[~long], ends[~long], rows[~long])]
+    for a, b, row in zip(starts[long].tolist(), ends[long].tolist(), rows[long].tolist(), strict=True):
+        points = a + np.flatnonzero((chunk.data[a:b] & 0xC0) != 0x80)
+        first = points[::STRETCH]
+        parts.append((first, np.append(first[1:], b), np.full(len(first), row)))
+    starts, ends, rows = (np.concatenate(c) for c in zip(*parts, strict=True))
+    order = np.argsort(starts)
+    return starts[order], ends[order], rows[order]
+
+
 def _chunk_words(chunk):
     """Distinct words of a chunk, and for each occurrence its word and its row."""
-    starts, ends, rows = chunk.spans(LETTERS)
+    starts, ends, rows = word_spans(chunk)
     prefix = chunk.prefix()
     _, first, word = np.unique(span_hashes(prefix, starts, ends), return_index=True, return_inverse=True)
     return Words(prefix, starts[first], ends[first]), word, rows
@@ -120,7 +139,7 @@ class Model:
     def word_logs(self, words: Words) -> np.ndarray:
         """Log probability of each distinct word in each language, in the words' first order."""
         n, k = len(words.starts), len(self.langs)
-        ring = np.zeros((PIECE_BYTES + 1, n, k))
+        ring = np.zeros((min(self.vocabulary.longest, words.longest + 1) + 1, n, k))
         ring[0] = 1.0
         scale, out = np.zeros((n, k)), np.zeros((n, k))
         for node in range(1, words.longest + 2):
@@ -161,9 +180,8 @@ def _fitted(vocabulary: Vocabulary, column) -> np.ndarray:
     chance = np.full(vocabulary.size, 1.0 / vocabulary.size)
     batches = []
     for chunk in chunks(_lowered(column), CHUNK):
-        starts, ends, _ = chunk.spans(LETTERS)
-        short = ends - starts <= LEARNED_BYTES
-        starts, ends, prefix = starts[short], ends[short], chunk.prefix()
+        starts, ends, _ = word_spans(chunk)
+        prefix = chunk.prefix()
         _, first, times = np.unique(span_hashes(prefix, starts, ends), return_index=True, return_counts=True)
         words = Words(prefix, starts[first], ends[first])
         edges = [(node, *edge) for node in range(1, words.longest + 2) for edge in words.pieces(vocabulary, node)]

@@ -10,6 +10,7 @@ those cells alone are reranked, exactly.
 """
 
 import heapq
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -108,7 +109,7 @@ def _matrix(column) -> np.ndarray:
     return column.flatten().to_numpy().astype(np.float64).reshape(len(column), -1)
 
 
-def visited_share(books: Codebooks, sample: np.ndarray) -> float:
+def visited_share(books: Codebooks, sample: np.ndarray, top: int = TOP) -> float:
     """The share of entries to visit for RECALL, from the sample's own neighbours."""
     cells = books.cells_of(sample)
     counts = np.bincount(cells, minlength=books.cells)
@@ -116,7 +117,7 @@ def visited_share(books: Codebooks, sample: np.ndarray) -> float:
     for k in range(min(TRIALS, len(sample))):
         scores = sample @ sample[k]
         scores[k] = -np.inf
-        best = np.argpartition(-scores, min(TOP, len(scores)) - 1)[:TOP]
+        best = np.argpartition(-scores, min(top, len(scores)) - 1)[:top]
         first, second = (c @ h[0] for h, c in zip(books._split(sample[k][None]), books.halves, strict=True))
         order = np.argsort(-(first[:, None] + second).ravel(), kind="stable")
         reached = np.empty(books.cells)
@@ -143,8 +144,8 @@ def _parts(counts: np.ndarray):
     return first, pieces
 
 
-def _best(key, entries: pa.Table, queries: pa.Table) -> pa.Table:
-    """The TOP entries of one part for each query of one part, among the cells the query visits."""
+def _best(top: int, entries: pa.Table, queries: pa.Table) -> pa.Table:
+    """The first ``top`` entries of one part for each query of one part, among the cells the query visits."""
     kind = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
     if not entries.num_rows or not queries.num_rows:
         return kind.empty_table()
@@ -167,11 +168,11 @@ def _best(key, entries: pa.Table, queries: pa.Table) -> pa.Table:
             # each score is a sum in the order of the components, so equal vectors get equal scores
             scores[np.ix_(rows, entry)] = np.einsum("ij,kj->ik", points[rows], vectors[entry])
         scores[query_ids[:, None] == ids[None, :]] = -np.inf
-        top = min(TOP, len(ids))
-        least = -np.partition(-scores, top - 1, axis=1)[:, top - 1]
+        most = min(top, len(ids))
+        least = -np.partition(-scores, most - 1, axis=1)[:, most - 1]
         for r in range(len(visits)):
             maybe = np.flatnonzero((scores[r] >= least[r]) & (scores[r] > -np.inf))
-            maybe = maybe[np.argsort(-scores[r, maybe], kind="stable")][:top]
+            maybe = maybe[np.argsort(-scores[r, maybe], kind="stable")][:most]
             out.append((np.full(len(maybe), query_ids[r]), ids[maybe], scores[r, maybe]))
     columns = [pa.array(np.concatenate(c)) for c in zip(*out, strict=True)]
     return pa.Table.from_arrays(columns, schema=kind)
@@ -181,17 +182,22 @@ def nearest(vectors: DataFrame, step: int = QUERY_STEP, top: int = TOP) -> DataF
     """``(query_id, rank, vec_id, score)``: for each row whose id ``step`` divides, its nearest others.
 
     Nearness is the inner product in double precision, ties going to the smaller id. Vectors that
-    are null, zero, or have null or non-finite components take no part, nor do null ids, nor vectors of another
-    length than the most frequent one. All entries but the query's own id are candidates; a query with fewer
+    are null, zero, or have null or non-finite components take no part, nor do null ids. Vectors of each length have an
+    index of their own, since an inner product needs two of one length. All entries of its length but the query's own id are
+    candidates; a query with fewer
     gets them all. Repeated rows of an id count as one if equal. Other columns are not read.
     """
-    spark = vectors.sparkSession
     rows = usable(vectors)
-    length = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
     schema = "query_id long, rank int, vec_id long, score double"
-    if length is None:
-        return spark.createDataFrame([], schema)
-    rows = rows.filter(F.size("embedding") == length["n"]).distinct()
+    lengths = [r["n"] for r in rows.select(F.size("embedding").alias("n")).distinct().orderBy("n").collect()]
+    found = [_nearest_of_length(rows.filter(F.size("embedding") == n), step, top) for n in lengths]
+    return reduce(DataFrame.unionByName, found) if found else vectors.sparkSession.createDataFrame([], schema)
+
+
+def _nearest_of_length(rows: DataFrame, step: int, top: int) -> DataFrame:
+    """As ``nearest``, for usable vectors of one length."""
+    spark = rows.sparkSession
+    rows = rows.distinct()
     chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").toArrow()
     sample = _matrix(chosen.column(0))
     books = Codebooks(sample)
@@ -207,7 +213,7 @@ def nearest(vectors: DataFrame, step: int = QUERY_STEP, top: int = TOP) -> DataF
     held = {r["cell"]: r["count"] for r in entries.groupBy("cell").count().collect()}
     counts = np.zeros(books.cells, np.int64)
     counts[list(held)] = list(held.values())
-    enough = max(LEAST_VISITED, int(visited_share(books, sample) * counts.sum()))
+    enough = max(LEAST_VISITED, int(visited_share(books, sample, top) * counts.sum()))
     first, pieces = _parts(counts)
     sizes = spark.sparkContext.broadcast((counts, first, pieces))
 
@@ -250,7 +256,7 @@ def nearest(vectors: DataFrame, step: int = QUERY_STEP, top: int = TOP) -> DataF
     best = (
         offered.groupBy("part", "round")
         .cogroup(asking.groupBy("part", "round"))
-        .applyInArrow(_best, "query_id long, vec_id long, score double")
+        .applyInArrow(lambda key, e, q: _best(top, e, q), "query_id long, vec_id long, score double")
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)

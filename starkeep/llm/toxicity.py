@@ -29,6 +29,7 @@ CUT = 0.3
 SPAN_CUT = 0.5
 LINE = 64
 BLOCK = 1024
+#: Powers of the neutral step that are kept ready.
 GAPS = 64
 BITS = 20
 
@@ -67,6 +68,10 @@ class Model:
         for _ in range(GAPS):
             jump = self.jumps[-1] @ step
             self.jumps.append(jump / jump.max())
+        self.squares = [step]
+        for _ in range(40):
+            square = self.squares[-1] @ self.squares[-1]
+            self.squares.append(square / square.max())
 
     def emissions(self, kinds):
         """Indexes of the words that have weighted features, and the sums of their weights."""
@@ -81,12 +86,23 @@ class Model:
                 any_ |= found
         return words[any_], total[any_]
 
+    def jump(self, n: int):
+        """The n-th power of the neutral step, up to a factor; longer ones from squares."""
+        if n <= GAPS:
+            return self.jumps[n]
+        out = np.eye(2)
+        for k in range(n.bit_length()):
+            if n >> k & 1:
+                out = out @ self.squares[k]
+                out = out / out.max()
+        return out
+
     def marginals(self, places, scores, length):
         """Probabilities of the toxic state at ``places`` of a chain of ``length`` words."""
         step = np.exp(self.chain)
         hits = [np.array([1.0, np.exp(min(self.bias + s, 50.0))]) for s in scores]
         gaps = np.diff(places, prepend=-1, append=length) - 1
-        jump = [self.jumps[min(g, GAPS)] for g in gaps.tolist()]
+        jump = [self.jump(g) for g in gaps.tolist()]
         # forward: the chain starts as if a neutral word stood before it
         ahead, state = [], np.array([1.0, 0.0])
         for k, hit in enumerate(hits):
@@ -164,7 +180,10 @@ def _chosen(toxic, clean):
 
 
 def _sequences(column, hashes, labels, toxic: bool):
-    """Feature indexes and token labels of lines that hold a chosen feature, as sequences of LINE."""
+    """Feature indexes and token labels of lines that hold a chosen feature, as sequences of at most LINE words.
+
+    Together a line's sequences hold every word of it that has one; what lies between them is neutral.
+    """
     for chunk in chunks(_lowered(column)):
         starts, _, rows, kinds = _features(chunk)
         line = np.cumsum(chunk.data == 10)[starts] + rows if len(starts) else starts
@@ -172,13 +191,15 @@ def _sequences(column, hashes, labels, toxic: bool):
         found = hashes[k] == kinds
         lit = found.any(axis=0)
         for value in np.unique(line[lit]).tolist():
-            a, b = np.searchsorted(line, [value, value + 1])
-            centre = a + int(np.argmax(lit[a:b]))
-            a = max(a, centre - LINE // 2)
-            b = min(b, a + LINE)
-            ids = np.where(found[:, a:b], k[:, a:b], len(hashes))
-            y = toxic & (found[:, a:b] & labels[k[:, a:b]]).any(axis=0)
-            yield ids.astype(np.int32), y
+            a, end = np.searchsorted(line, [value, value + 1])
+            marked = a + np.flatnonzero(lit[a:end])
+            while len(marked):
+                a = max(a, int(marked[0]) - LINE // 2)
+                b = min(end, a + LINE)
+                ids = np.where(found[:, a:b], k[:, a:b], len(hashes))
+                y = toxic & (found[:, a:b] & labels[k[:, a:b]]).any(axis=0)
+                yield ids.astype(np.int32), y
+                a, marked = b, marked[np.searchsorted(marked, b) :]
 
 
 def _padded(sequences, size):

@@ -1,4 +1,5 @@
 import random
+import time
 import re
 from collections import Counter
 
@@ -165,8 +166,6 @@ def all_segmentations(model, word, k):
     def of(piece, first):
         if first and not piece:
             return model.chances[model.vocabulary.space, k]
-        if len(piece) + first > langid.PIECE_BYTES:
-            return 0.0
         return chance.get((langid._raw_hash(piece) + start * first) % (1 << 64), 0.0)
 
     def rest(at):
@@ -207,6 +206,25 @@ def test_language(spark, spoken):
     assert all(r["lang_pred"] == ("aa" if r["doc_id"] % 2 else "bb") and 0.5 < r["score"] <= 1 for r in rows)
 
 
+def test_language_of_unspaced_scripts(spark):
+    """Runs without a space are learned from and read whole, however long."""
+    rng = random.Random(8)
+    kinds = {"ja": "のにはをたがでてとしれさあいうかき", "th": "กขคงจชซดตถทนบปผพฟมยรลวสหอ", "zh": "的一是不了人我在有他这中大来上国个到说们"}
+    texts = {lang: ["".join(rng.choices(signs, k=3000)) for _ in range(4)] for lang, signs in kinds.items()}
+    rows = [(i, t, lang) for i, (lang, t) in enumerate((lang, t) for lang, of in texts.items() for t in of[:2])]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    for k in range(3):
+        assert model.chances[:, k].max() > 100 * model.chances[:, k].min()
+    other = [t for of in texts.values() for t in of[2:]]
+    assert model.predict(pa.array(other))[0] == [lang for lang in texts for _ in range(2)]
+    begun = time.perf_counter()
+    assert model.predict(pa.array([texts["zh"][3] * 7, "x" * 200_000, texts["th"][2] * 7]))[0][::2] == ["zh", "th"]
+    assert time.perf_counter() - begun < 20
+    chunk = next(langid.chunks(pa.array(["ab " + "é" * 25 + " c"])))
+    starts, ends, _ = langid.word_spans(chunk)
+    assert [bytes(chunk.data[a:b]).decode() for a, b in zip(starts, ends, strict=True)] == ["ab", "é" * 10, "é" * 10, "é" * 5, "c"]
+
+
 def test_language_without_labels(nothing, spoken):
     assert langid.fit(nothing) is None
     assert {r["lang_pred"] for r in langid.identify(spoken, None).collect()} == {"und"}
@@ -262,6 +280,24 @@ def test_jumps_equal_single_steps():
     assert np.allclose(model.marginals(np.array(list(scores)), list(scores.values()), n), want)
 
 
+def test_every_marked_word_is_learned_from():
+    """Words of one line that lie far apart are all in its sequences; gaps of any length are jumped."""
+    line = " ".join("bad" if i in (3, 70, 71, 400) else f"w{i}" for i in range(500))
+    column = pa.array([line, "bad\nfine bad"])
+    chunk = next(toxicity.chunks(toxicity._lowered(column)))
+    starts, ends, _, kinds = toxicity._features(chunk)
+    hashes = np.unique(kinds[0][[bytes(chunk.data[a:b]) == b"bad" for a, b in zip(starts, ends, strict=True)]])
+    sequences = list(toxicity._sequences(column, hashes, np.array([True]), True))
+    assert sum(int(y.sum()) for _, y in sequences) == 6 and max(len(y) for _, y in sequences) <= toxicity.LINE
+    model = toxicity.Model(hashes, np.array([1.0]), -2.0, np.array([[0.1, -1.0], [-0.5, 0.4]]), np.zeros(4))
+    step = np.exp(model.chain) * np.array([1.0, np.exp(model.bias)])
+    for n in (0, 1, 64, 65, 1000):
+        want = np.linalg.matrix_power(step / np.abs(np.linalg.eigvals(step)).max(), n)
+        got = model.jump(n)
+        assert np.allclose(got / got.max(), want / want.max())
+
+
+
 def test_toxicity_without_labels(rude, nothing):
     docs, labels = rude
     assert toxicity.fit(docs, labels.filter("toxic = 1")) is None

@@ -155,6 +155,23 @@ def test_whole_chats_keep_content_and_nameless_calls(spark):
     assert len(found) == 7
 
 
+def test_text_that_looks_like_json_is_kept(spark):
+    """Neither calls nor a result: the text is written whole; calls without a conversation are in no cycle."""
+    answer, system = '{"content":"x","foo":1}', '{"content":"keep","other":"lost"}'
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", answer), (1, 2, "system", system), (1, 3, "system", "{not json")]
+    rows += [(None, 0, "user", "who?"), (None, 2, "user", "me")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    schemas = spark.sql(
+        "SELECT 'reply' AS tool, array(named_struct('name', 'prompt', 'type', 'string', 'required', true), "
+        "named_struct('name', 'turn', 'type', 'integer', 'required', true)) AS fields"
+    )
+    found = chats.format_chats(chats.messages_of(turns), schemas, whole=True).collect()
+    contents = {json.loads(r["line"]).get("content") for r in found}
+    assert {answer, system, "{not json"} <= contents
+    lost = [r for r in found if r["conv_id"] is None]
+    assert [(r["level"], r["linked"], r["faults"]) for r in lost] == [(0, False, [])] * 2 and len(found) == 6
+
+
 def test_levels_of_chains_and_diamonds(spark):
     """A long chain, calls of several needs on top of it, and a cycle with what hangs on it."""
     needs = {f"c{i}": [f"c{i - 1}"] if i else [] for i in range(70)}
@@ -208,6 +225,21 @@ def test_neighbours(vectors, monkeypatch):
     assert [v for _, v, _ in found[300]] == [v for v in range(100, 121) if v != 300][:20]
 
 
+def test_lengths_and_tops(spark):
+    """Vectors of every length are searched among their own; any number of neighbours is found."""
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(0, 600, 10)] + [(1000 + 20 * i, rng.normal(size=6).tolist()) for i in range(5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = defaultdict(list)
+    for r in neighbours.nearest(df, top=40).orderBy("query_id", "rank").collect():
+        found[r["query_id"]].append(r["vec_id"])
+    assert len(found) == 30 + 5
+    for q, got in found.items():
+        mine = dict(rows)[q]
+        scores = {i: float(np.dot(mine, v)) for i, v in rows if i != q and len(v) == len(mine)}
+        assert got == sorted(scores, key=lambda i: (-scores[i], i))[:40]
+
+
 def test_few_vectors(spark, vectors):
     df, _ = vectors
     assert neighbours.nearest(df.limit(0)).count() == 0
