@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starkeep.llm.words import ALNUM, chunks, mixed, runs, span_hashes
+from starkeep.llm.words import ALNUM, Chunk, characters_apart, chunks, mixed, runs, span_hashes
 from starkeep.sources.files import materialize
 
 MIN_WORDS = 5
@@ -44,7 +44,7 @@ def walks(n: int) -> int:
 
 
 def _words(chunk):
-    starts, ends, rows = chunk.spans(ALNUM)
+    starts, ends, rows = characters_apart(chunk.data, *chunk.spans(ALNUM))
     return starts, ends, rows, span_hashes(chunk.prefix(), starts, ends)
 
 
@@ -210,7 +210,8 @@ def edit_distance(a: list, b: list) -> int:
 def find_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``(doc_id, item_id, first_word, distance)``: each pair of a document and an item it holds, with the best window.
 
-    Words are runs of ASCII letters and digits and of other non-ASCII characters, A-Z as a-z. Null and
+    Words are runs of ASCII letters and digits and of other non-ASCII characters, A-Z as a-z; each character of
+    a script without spaces is one. Null and
     empty texts hold nothing; items of under MIN_WORDS words are not sought. Ties go to the
     first window. Rows that repeat an id count as one document, also those with a null id. Other columns are not read.
     """
@@ -284,9 +285,8 @@ def find_items(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def split_words(text: bytes) -> list:
     data = np.frombuffer(text, np.uint8)
-    inside = np.r_[False, ALNUM[data], False]
-    edges = np.flatnonzero(inside[1:] != inside[:-1]).tolist()
-    return [text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)]
+    starts, ends, _ = characters_apart(data, *Chunk(0, data, np.array([0, len(data)])).spans(ALNUM))
+    return [text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:

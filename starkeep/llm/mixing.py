@@ -135,37 +135,37 @@ def slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int =
     )
 
 
-def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``(doc_id, source, size, source_size, target, taken)``, one row per row of ``docs``.
+def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """``(doc_id, source, size, source_size, target, taken, shards)``, one row per row of ``docs``.
 
-    ``taken`` counts the words of the row that stand in slots, repeats included; it is
-    at most twice the size. Null and empty texts have no words and take no part, nor do sources
+    The slots of all output shards meet the blocks by index, and what each row has there is counted: ``taken`` are its
+    words in slots, repeats included, at most twice the size, and ``shards`` the output shards they stand in. Null and empty texts have no words and take no part, nor do sources
     without words (their target is 0). A null source is a source of its own. Rows that repeat an id
     are laid out and taken each for itself. Other columns are not read.
     """
     sized = materialize(sizes(docs), "sizes")
     targets = materialize(source_targets(sized), "targets")
     known = targets.select("sid", "source", "source_size", "target")
-    takes = slots(targets, block_words).groupBy("sid", "block").agg(F.count("*").alias("times"))
     # the planner can't know how many slots come of a few sources, and would broadcast them
-    takes = takes.hint("merge")
+    drawn = slots(targets, block_words, shard_slots).select("shard", "sid", "block").hint("merge")
+    stands = F.when(F.col("shard").isNotNull(), F.col("words")).otherwise(0)
     taken = (
         pieces(laid_out(sized, targets), block_words)
-        .join(takes, ["sid", "block"], "left")
+        .join(drawn, ["sid", "block"], "left")
         .groupBy("doc_id", "sid", "start", "size")
-        .agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"))
+        .agg(F.sum(stands).alias("taken"), F.size(F.collect_set("shard")).cast("long").alias("shards"))
         .join(known, "sid")
     )
-    columns = ["doc_id", "source", "size", "source_size", "target", "taken"]
+    columns = ["doc_id", "source", "size", "source_size", "target", "taken", "shards"]
     empty = (
         sized.filter("size = 0")
         .join(known.withColumnRenamed("source", "name"), F.col("source").eqNullSafe(F.col("name")))
-        .withColumn("taken", F.lit(0).cast("long"))
+        .withColumns({"taken": F.lit(0).cast("long"), "shards": F.lit(0).cast("long")})
     )
     return taken.select(*columns).unionByName(empty.select(*columns))
 
 
-def mixed_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+def mixed_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """The mix itself: ``(shard, source, slot, block, text)``, the words of each slot's block, one space between.
 
     ``doc_id`` must tell the rows apart.
@@ -182,7 +182,7 @@ def mixed_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
         .select("sid", "block", F.array_join(F.col("parts.text"), " ").alias("text"))
     )
     return (
-        slots(targets, block_words)
+        slots(targets, block_words, shard_slots)
         .hint("merge")
         .join(parts, ["sid", "block"])
         .join(targets.select("sid", "source"), "sid")

@@ -10,7 +10,7 @@ from starkeep.llm.sharding import place
 
 @query()
 def op3_mixing(spark, folder):
-    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    columns = ["doc_id", "size", "source_size", "target", "taken", "shards"]
     return mix(table(spark, folder, "documents").select("doc_id", "source", "text")).select(*columns)
 
 

@@ -65,6 +65,32 @@ class Chunk:
         return sums
 
 
+def unspaced(data: np.ndarray) -> np.ndarray:
+    """True at the first byte of each character of a script written without spaces (Thai to Khmer, kana, Han)."""
+    after = np.append(data[1:], 0)
+    return (
+        ((data == 0xE0) & (after >= 0xB8) & (after <= 0xBB))
+        | ((data == 0xE1) & ((after <= 0x82) | ((after >= 0x9E) & (after <= 0x9F))))
+        | ((data == 0xE2) & (after >= 0xBA))
+        | ((data >= 0xE3) & (data <= 0xE9))
+        | ((data == 0xEF) & (after >= 0xA4) & (after <= 0xAB))
+        | ((data == 0xF0) & (after >= 0xA0))
+    )
+
+
+def characters_apart(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray):
+    """The spans, but each character of a script without spaces a span of its own."""
+    if not len(starts) or data.max() < 0xE0:
+        return starts, ends, rows
+    first = np.flatnonzero(unspaced(data))
+    cuts = np.unique(np.concatenate((first, first + np.where(data[first] >= 0xF0, 4, 3))))
+    span = np.searchsorted(starts, cuts, side="right") - 1
+    inside = (span >= 0) & (cuts > starts[span]) & (cuts < ends[span])
+    begins = np.sort(np.concatenate((starts, cuts[inside])))
+    span = np.searchsorted(starts, begins, side="right") - 1
+    return begins, np.minimum(np.append(begins[1:], len(data)), ends[span]), rows[span]
+
+
 def span_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """One 64-bit hash for the bytes of each span; equal bytes, equal hashes, wherever they stand."""
     return mixed((prefix[ends] - prefix[starts]) * powers(len(prefix))[1][starts])

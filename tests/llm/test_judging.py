@@ -206,6 +206,21 @@ def test_language(spark, spoken):
     assert all(r["lang_pred"] == ("aa" if r["doc_id"] % 2 else "bb") and 0.5 < r["score"] <= 1 for r in rows)
 
 
+def test_items_of_unspaced_scripts(spark):
+    """A character is a word: a sentence is found verbatim and with a changed character, inside a run without spaces."""
+    rng = random.Random(13)
+    signs = [chr(c) for c in range(0x4E00, 0x4F00)]
+    sentence = "".join(rng.choices(signs, k=30))
+    around = lambda: "".join(rng.choices(signs, k=400))
+    changed = sentence[:15] + "好" + sentence[16:]
+    texts = [around() + sentence + around(), around() + changed + "。" + around(), around(), "abc " + sentence]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(7, sentence), (8, "ab")], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["first_word"], r["distance"]) for r in find_items(docs, items).collect()}
+    assert got == {(0, 7): (400, 0), (1, 7): (400, 1), (3, 7): (1, 0)}
+    assert split_words("ab好吗cd é1 กข".encode()) == [w.encode() for w in ("ab", "好", "吗", "cd", "é1", "ก", "ข")]
+
+
 def test_language_of_unspaced_scripts(spark):
     """Runs without a space are learned from and read whole, however long."""
     rng = random.Random(8)

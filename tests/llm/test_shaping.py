@@ -1,4 +1,5 @@
 import json
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -47,6 +48,21 @@ def test_mix(corpus, corpus_rows):
     assert Counter(map(tuple, again)) == Counter(map(tuple, rows))
 
 
+def test_taken_is_what_the_blocks_hold(spark):
+    """Counted anew from the texts of the mixed blocks: every document has words of its own."""
+    rng = random.Random(12)
+    rows = [(i, " ".join(f"d{i}w{k}" for k in range(rng.randrange(120))), "abc"[i % 3]) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    words, shards = Counter(), defaultdict(set)
+    for b in mixing.mixed_blocks(docs, 16, 32).collect():
+        for w in b["text"].split():
+            words[int(w[1 : w.index("w")])] += 1
+            shards[int(w[1 : w.index("w")])].add(b["shard"])
+    found = mixing.mix(docs, 16, 32).collect()
+    assert {r["doc_id"]: (r["taken"], r["shards"]) for r in found} == {i: (words[i], len(shards[i])) for i, *_ in rows}
+    assert max(r["shards"] for r in found) > 1
+
+
 def test_mix_of_little(corpus, nothing):
     assert mixing.mix(nothing).count() == 0
     assert {r["taken"] for r in mixing.mix(corpus.filter("text IS NULL")).collect()} == {0}
