@@ -158,6 +158,34 @@ def summarise(
     return groups.agg(*aggregates)
 
 
+def page(
+    df: DataFrame, visuals: Mapping[str, Sequence[str]], sums: Mapping[str, str]
+) -> DataFrame:
+    """All visuals of a report page from one scan: ``visual``, every column some visual groups by, and the sums.
+
+    ``visuals`` maps each one's name to its columns (none for totals); columns it does not group by are NULL in its
+    rows. One shuffle of partial sums serves all; see :func:`visual`.
+    """
+    columns = list(dict.fromkeys(c for by in visuals.values() for c in by))
+    sets = [[F.col(c) for c in by] for by in visuals.values()]
+    totals = [F.sum(c).alias(n) for n, c in sums.items()]
+    grouped = df.groupingSets(sets, *columns).agg(F.grouping_id().alias("_set"), *totals)
+    number = {
+        name: sum(1 << k for k, c in enumerate(reversed(columns)) if c not in by)
+        for name, by in visuals.items()
+    }
+    if len(set(number.values())) < len(number):
+        raise ValueError("two visuals group by the same columns")
+    named = F.create_map(*[F.lit(x) for name, n in number.items() for x in (n, name)])
+    label = F.element_at(named, F.col("_set").cast("int")).alias("visual")
+    return grouped.select(label, *columns, *sums)
+
+
+def visual(page_rows: DataFrame, name: str, by: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """One visual's rows of a page."""
+    return page_rows.filter(F.col("visual") == name).select(*by, *sums)
+
+
 def month_of(column: str) -> Column:
     return F.trunc(F.to_date(column), "month")
 

@@ -11,6 +11,8 @@ from starkeep.operators import filters
 from starkeep.operators.dimensions import days_covering, describe_days
 from starkeep.plans import reports as R
 from starkeep.queries.registry import Tables, money, query
+from starkeep.sources.files import materialize, scratch_path
+from starkeep.sources.store import TableStore
 
 
 def calendar(df, column):
@@ -34,6 +36,27 @@ def star(spark, folder):
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
+PUBLISHED: dict[tuple[str, str], TableStore] = {}
+
+
+def published_lines(spark, folder):
+    """What the visuals read of the star, joined once in an application and published by year.
+
+    A visual is then one scan of the few columns it names, without a join.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    store = PUBLISHED.get(key)
+    if store is None or not store.exists("lines"):
+        store = TableStore(spark, scratch_path(spark, "reports"))
+        columns = ["line_count", "is_returned", "amount", "l_returnflag", "n_name", "c_mktsegment"]
+        lines = star(spark, folder).select(
+            *columns, F.to_date("o_orderdate").alias("o_orderdate"), F.year("o_orderdate").alias("order_year")
+        )
+        store.publish("lines", lines, "order_year", sort_by=["o_orderdate"])
+        PUBLISHED[key] = store
+    return store.read("lines")
+
+
 STAR_SQL = """
     star AS (
         SELECT *, 1 AS line_count, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END
@@ -136,13 +159,13 @@ RATE_SQL = "CAST(sum(is_returned) AS DOUBLE) * 100 / CAST(sum(line_count) AS DOU
 
 @star_query(f"SELECT {SUMS_SQL}, {RATE_SQL} AS return_rate FROM star")
 def kpi_totals(spark, folder):
-    totals = R.total(star(spark, folder), SUMS)
+    totals = R.total(published_lines(spark, folder), SUMS)
     return R.with_ratio(totals, "return_rate", "n_returned", "n_lines")
 
 
 @star_query(f"SELECT month, {SUMS_SQL} FROM star GROUP BY 1")
 def monthly_trend(spark, folder):
-    return R.monthly_trend(star(spark, folder), "o_orderdate", SUMS)
+    return R.monthly_trend(published_lines(spark, folder), "o_orderdate", SUMS)
 
 
 @star_query("""
@@ -151,13 +174,54 @@ SELECT c_mktsegment, CAST(sum(amount) AS DOUBLE) AS amount,
 FROM star GROUP BY 1
 """)
 def category_share(spark, folder):
-    shares = R.category_share(star(spark, folder), "c_mktsegment", "amount")
+    shares = R.category_share(published_lines(spark, folder), "c_mktsegment", "amount")
     return plain(shares, "amount")
 
 
 @star_query(f"SELECT n_name, c_mktsegment, {SUMS_SQL} FROM star GROUP BY 1, 2")
 def detail_table(spark, folder):
-    return R.summarise(star(spark, folder), ["n_name", "c_mktsegment"], SUMS)
+    return R.summarise(published_lines(spark, folder), ["n_name", "c_mktsegment"], SUMS)
+
+
+PAGE = {
+    "kpi": [],
+    "trend": ["month"],
+    "share": ["c_mktsegment"],
+    "detail": ["n_name", "c_mktsegment"],
+    "by place": ["month", "n_name"],
+}
+
+
+@star_query(f"""
+SELECT CASE GROUPING(month, n_name, c_mktsegment) WHEN 7 THEN 'kpi' WHEN 3 THEN 'trend'
+        WHEN 6 THEN 'share' WHEN 4 THEN 'detail' ELSE 'by place' END AS visual,
+    month, n_name, c_mktsegment, {SUMS_SQL}, CAST(sum(amount) AS DOUBLE) AS amount
+FROM star GROUP BY GROUPING SETS ((), (month), (c_mktsegment), (n_name, c_mktsegment), (month, n_name))
+""")
+def report_page(spark, folder):
+    """Totals, trend, shares, detail and places over time from one scan."""
+    lines = published_lines(spark, folder).withColumn("month", R.month_of("o_orderdate"))
+    return plain(R.page(lines, PAGE, SUMS | {"amount": "amount"}), "amount")
+
+
+@star_query("""
+SELECT c_mktsegment, CAST(sum(amount) AS DOUBLE) AS amount,
+    CAST(sum(amount) AS DOUBLE) / (SELECT CAST(sum(amount) AS DOUBLE) FROM star) AS share,
+    CAST(sum(is_returned) AS DOUBLE) * 100 / (SELECT CAST(sum(line_count) AS DOUBLE) FROM star) AS returned_of_all
+FROM star GROUP BY 1
+""")
+def visuals_of_a_page(spark, folder):
+    """A visual drawn from two others of a page that was computed once: shares of the totals."""
+    sums = SUMS | {"amount": "amount"}
+    lines = published_lines(spark, folder)
+    rows = materialize(R.page(lines, {"kpi": [], "share": ["c_mktsegment"]}, sums), "page")
+    amount, lines = (R.visual(rows, "kpi", [], [n]).scalar().cast("double") for n in ("amount", "n_lines"))
+    return R.visual(rows, "share", ["c_mktsegment"], list(sums)).select(
+        "c_mktsegment",
+        F.col("amount").cast("double").alias("amount"),
+        F.try_divide(F.col("amount").cast("double"), amount).alias("share"),
+        F.try_divide(F.col("n_returned").cast("double") * 100, lines).alias("returned_of_all"),
+    )
 
 
 @star_query(f"""
@@ -165,7 +229,7 @@ SELECT month, n_name, {SUMS_SQL}, {RATE_SQL} AS return_rate FROM star GROUP BY 1
 """)
 def ratio_by_month(spark, folder):
     """Rate over time by place, from additive parts."""
-    sums = R.monthly_trend(star(spark, folder), "o_orderdate", SUMS, ["n_name"])
+    sums = R.monthly_trend(published_lines(spark, folder), "o_orderdate", SUMS, ["n_name"])
     return R.with_ratio(sums, "return_rate", "n_returned", "n_lines")
 
 
@@ -176,7 +240,7 @@ def place_month_category(spark, folder):
         "month": R.month_of("o_orderdate"),
         "c_mktsegment": F.col("c_mktsegment"),
     }
-    return R.summarise(star(spark, folder), groups, count="n_lines")
+    return R.summarise(published_lines(spark, folder), groups, count="n_lines")
 
 
 @star_query("""
@@ -184,7 +248,7 @@ SELECT month, n_name, CAST(sum(is_returned) AS BIGINT) AS n_returned
 FROM star WHERE l_returnflag IN ('A', 'R') GROUP BY 1, 2
 """)
 def returns_by_month_place(spark, folder):
-    kept = filters.in_categories(star(spark, folder), "l_returnflag", ["A", "R"])
+    kept = filters.in_categories(published_lines(spark, folder), "l_returnflag", ["A", "R"])
     return R.monthly_trend(kept, "o_orderdate", {"n_returned": "is_returned"}, ["n_name"])
 
 

@@ -168,3 +168,30 @@ def test_long_lists_and_long_chunks(spark):
     assert got == [
         (date(2020, 1, 1), date(2020, 12, 31)), (date(2021, 1, 1), date(2021, 12, 31)), (date(2022, 1, 1), date(2022, 3, 5)),
     ]
+
+
+def test_a_page_is_one_scan(spark, rows):
+    df = spark.createDataFrame([("a", 1, 2), ("a", 2, 3), (None, 1, 5)], "x string, y int, v int")
+    visuals = {"all": [], "by x": ["x"], "both": ["y", "x"]}
+    page = reports.page(df, visuals, {"total": "v"})
+    assert page.columns == ["visual", "x", "y", "total"]
+    assert rows(page) == sorted(
+        [("all", None, None, 10), ("by x", "a", None, 5), ("by x", None, None, 5),
+         ("both", "a", 1, 2), ("both", "a", 2, 3), ("both", None, 1, 5)], key=repr,
+    )
+    assert rows(reports.visual(page, "by x", ["x"], ["total"])) == [("a", 5), (None, 5)]
+    plan = reports.page(df, visuals, {"total": "v"})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1 and "Join" not in plan
+    with pytest.raises(ValueError):
+        reports.page(df, {"one": ["x", "y"], "two": ["y", "x"]}, {"total": "v"})
+
+
+def test_visuals_read_the_published_lines(spark):
+    from starkeep.queries import reporting
+
+    folder = "/root/testdata/sf0.001"
+    for name, columns in (("kpi_totals", 2), ("detail_table", 4), ("returns_by_month_place", 4)):
+        plan = getattr(reporting, name)(spark, folder)._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and plan.count("FileScan") == 1, plan
+        read = plan.split("ReadSchema: struct<")[1].split(">")[0]
+        assert len(read.split(",")) == columns, read
