@@ -183,7 +183,9 @@ def seed(store: TableStore) -> None:
     }
     for table, build in generated.items():
         if not store.exists(table):
-            store.publish(table, build())
+            rows = materialize(build(), table)
+            require(table, contract_violations(rows, schemas.CONTRACTS[table]))
+            store.publish(table, rows)
 
 
 def load_versioned(
@@ -250,7 +252,9 @@ def _load_keyed(
     n = fresh.count()
     if n or not store.exists(table):
         state = scd1_upsert(current, fresh, keys)
-        store.publish(table, fill_keys(state, current.columns[0], keys))
+        state = materialize(fill_keys(state, current.columns[0], keys), table)
+        require(table, contract_violations(state, schemas.CONTRACTS[table]))
+        store.publish(table, state)
     return {"upserted": n}
 
 
@@ -574,7 +578,15 @@ def load_arrests(
     years = published.select("arrest_pk", FACT_PARTITION)
     fresh = charge_bridge(charges, published, arrests, dims).join(years, "arrest_pk")
     fresh = materialize(fresh, names[1])
-    require(names[1], contract_violations(fresh, schemas.CONTRACTS[names[1]]))
+    owners = {
+        "arrest_pk": (published, "arrest_pk"),
+        "crime_type_key": (dims["dim_crime_type"], "crime_type_key"),
+    }
+    require(
+        names[1],
+        contract_violations(fresh, schemas.CONTRACTS[names[1]]),
+        orphan_violations(fresh, owners),
+    )
     if not store.exists(names[1]):
         bridge = store.publish(names[1], fresh, FACT_PARTITION, sort_by=["arrest_pk"])
         return {names[0]: counts, names[1]: {"changed": bridge.count()}}

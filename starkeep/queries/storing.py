@@ -9,6 +9,7 @@ from starkeep.queries.registry import Tables, query
 from starkeep.sources.files import scratch_path
 from starkeep.sources.landing import read_csv
 from starkeep.sources.manifest import land_batch, manifest
+from starkeep.sources.prints import where_different
 from starkeep.sources.store import TableStore
 from starkeep.sources.tables import write_cleaned
 from starkeep.sources.windows import DayRange, backfill, slice_days
@@ -150,3 +151,26 @@ def landing_manifest(spark, folder):
     read = read_csv(spark, root, "orders").select(name.alias("file")).groupBy("file").agg(F.count("*").alias("n"))
     both = entries.join(read, "file", "left")
     return both.groupBy("source", "ingest_date", "label", "n_rows").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_read"))
+
+
+@query("""
+WITH both_sides AS (
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, o_orderkey % 64 AS key_bucket,
+        o_orderkey % 64 = 5 AND year(o_orderdate) = 1996 AS altered,
+        o_orderkey % 64 = 9 AND year(o_orderdate) = 1997 AS lost
+    FROM orders)
+SELECT order_year, key_bucket, count(*) AS n_left, count(*) FILTER (NOT lost) AS n_right
+FROM both_sides GROUP BY 1, 2 HAVING bool_or(altered OR lost)
+""")
+def changed_parts(spark, folder):
+    """Where two published tables differ: one has other priorities in one bucket and lacks the rows of another."""
+    orders = Tables(spark, folder).orders.select(
+        "o_orderkey", "o_custkey", "o_orderpriority", F.year("o_orderdate").alias("order_year")
+    )
+    bucket, year = F.col("o_orderkey") % 64, F.col("order_year")
+    other = F.when((bucket == 5) & (year == 1996), F.lit("again")).otherwise(F.col("o_orderpriority"))
+    altered = orders.filter(~((bucket == 9) & (year == 1997))).withColumn("o_orderpriority", other)
+    store = TableStore(spark, scratch_path(spark, "store"))
+    for table, rows in (("before", orders), ("after", altered.repartition(3))):
+        store.publish(table, rows, "order_year")
+    return where_different((store, "before"), (store, "after"), "order_year", "o_orderkey")
