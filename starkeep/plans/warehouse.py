@@ -549,7 +549,7 @@ def load_facts(
     fresh = materialize(fresh, table)
     base = current.filter(in_values(FACT_PARTITION, years))
     base = base.join(fresh.select(key), key, "left_anti")
-    state = base.unionByName(fresh)
+    state = base.unionByName(fresh).select(*current.columns)
     store.publish(table, state, FACT_PARTITION, years, [year_of], made_from)
     index.update(fresh, top + new.count())
     return {"upserted": n}
