@@ -63,6 +63,54 @@ def test_keep_one(corpus):
     assert keep_one(corpus).columns == corpus.columns
 
 
+def test_pairs_in_a_large_family(spark):
+    """Texts with much text in common, below the threshold; every planted pair is found, and the pairs keep apart."""
+    rng = random.Random(5)
+    draw = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    frame, rows = draw(120), []
+    for i in range(1500):
+        w = frame + draw(40)
+        at = rng.randrange(30, 70)
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[:at] + draw(1) + w[at + 1 : at + 8] + draw(1) + w[at + 9 :]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_copies(docs).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+
+
+def test_crossing_pairs_join_all(spark):
+    """Against brute force, where shingles are few and frequent: chains of texts over a common stock."""
+    rng = random.Random(6)
+    blocks = [[f"b{k}w{j}" for j in range(30)] for k in range(14)]
+    texts = []
+    for _ in range(160):
+        chosen = [b for b in blocks if rng.random() < 0.75]
+        texts.append(" ".join(sum(chosen, []) + [f"x{rng.randrange(10**6)}" for _ in range(rng.randrange(3, 60))]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [frozenset(zip(*(t.split()[k:] for k in range(5)))) for t in texts]
+    prints = {r["doc_id"]: r["print"] for r in neardup._sketches(docs).collect()}
+    alone = docs.sparkSession.createDataFrame([(p, p) for p in prints.values()], "print long, component long")
+    pairs = neardup._crossing(docs, alone)
+    found = {tuple(sorted(r)) for r in neardup._verified(docs, pairs).collect()}
+    want = {
+        tuple(sorted((prints[i], prints[j]))) for i, j in combinations(range(len(texts)), 2) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])
+    }
+    assert found <= want and len(want) > 30
+
+    def groups(edges):
+        root = {p: p for p in prints.values()}
+
+        def of(p):
+            while root[p] != p:
+                p = root[p]
+            return p
+
+        for a, b in edges:
+            root[of(a)] = of(b)
+        return {frozenset(p for p in root if of(p) == r) for r in map(of, root)}
+
+    assert groups(found) == groups(want)
+
+
 def test_near_copies(spark, corpus, corpus_rows):
     """Texts edited down to a similarity of 0.8, pairs inside a large family of texts half alike, and a large group of copies."""
     rng, texts = random.Random(8), []
