@@ -1,9 +1,12 @@
 """Near-copies of documents: five-word shingles at a Jaccard similarity of 0.8, verified exactly.
 
-At 0.8 about ten of 64 SimHash bits differ, too many for blocks that must agree, so candidates come from MinHash:
-BANDS keys of ROWS minima each. Two texts of similarity s share a key with probability
-1 - (1 - s**ROWS)**BANDS, 0.9996 at 0.8. Texts with equal shingle sets are one row from the start. Candidates are
-verified on their whole sets of shingle hashes.
+Texts with equal shingle sets are one row from the start. Each gets the SimHash fingerprint of its five-word shingles, which
+is filed under its 35 choices of three of seven blocks: fingerprints at most LINK_BITS apart share one of them at least. Pairs of a block
+join that are so near are candidates, verified on their whole sets of shingle hashes.
+
+At a similarity of 0.8 about ten of 64 bits differ, too many for blocks that must agree. Texts are therefore also filed
+under BANDS MinHash keys of ROWS minima each, which add the links beyond LINK_BITS. Two texts of similarity s share such a key with
+probability 1 - (1 - s**ROWS)**BANDS, 0.9996 at 0.8.
 
 Keys of up to SMALL texts are compared in all pairs. Larger groups are dealt into parts of about SMALL texts, where each
 text is compared with the part's first. Texts of keys whose texts that leaves in several components are then joined exactly, by prefix filter: two
@@ -22,11 +25,14 @@ from pyspark.sql import functions as F
 from starkeep.llm.decontamination import TABLE_BITS, _in, _packed
 from starkeep.llm.graph import connected_components
 from starkeep.llm.scratch import settled
+from starkeep.llm.simhash import _signed, block_keys, fingerprint
 from starkeep.llm.words import NOT_BLANK, chunks, mixed, runs, span_hashes
 from starkeep.operators.joins import left_lookup
 
 SHINGLE = 5
 SIMILAR = 0.8
+LINK_BITS = 4
+BLOCKS = (10, 9, 9, 9, 9, 9, 9)
 BANDS, ROWS = 20, 5
 SMALL = 16
 SEED = 20240602
@@ -72,10 +78,23 @@ def _sketches(docs: DataFrame) -> DataFrame:
             for shingles in shingle_sets(batch.column(1)):
                 prints.append(print_of(shingles))
                 keys.append(band_keys(shingles))
-            columns = [batch.column(0), pa.array(prints, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "print", "keys"])
+            bits = [_signed(fingerprint(t.as_py(), SHINGLE)) for t in batch.column(1)]
+            columns = [batch.column(0), pa.array(prints, pa.int64()), pa.array(bits, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "print", "bits", "keys"])
+
+    schema = "doc_id long, print long, bits long, keys array<bigint>"
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(per_batch, schema)
+
+
+def _blocked(texts: DataFrame) -> DataFrame:
+    """``(print, key, bits)``: texts under their fingerprint's choices of blocks."""
+    filed = texts.select("print", "bits", F.explode(block_keys(F.col("bits"), BLOCKS, LINK_BITS)).alias("k"))
+    return filed.select("print", F.xxhash64("k.t", "k.key").alias("key"), "bits")
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(per_batch, "doc_id long, print long, keys array<bigint>")
+
+def _banded(texts: DataFrame) -> DataFrame:
+    """``(print, key, bits)``: texts under their MinHash keys, without bits."""
+    return texts.select("print", F.explode("keys").alias("key"), F.lit(None).cast("long").alias("bits"))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -128,11 +147,18 @@ def _sized(rows: DataFrame, *same) -> DataFrame:
 
 
 def links(docs: DataFrame, filed: DataFrame) -> DataFrame:
-    """``(node, component)`` of the prints that near copies hold together; ``filed (print, key)`` has their band keys."""
+    """``(node, component)`` of the prints that near copies hold together.
+
+    ``filed (print, key, bits)`` has their keys. Where ``bits`` is not null, pairs more than LINK_BITS apart are left out.
+    """
     bands = settled(_sized(filed), "bands")
-    every = F.expr("flatten(transform(m, x -> transform(filter(m, y -> y < x), y -> struct(x AS a, y AS b))))")
-    first = F.expr("transform(filter(m, x -> x > array_min(m)), x -> struct(x AS a, array_min(m) AS b))")
-    grouped = _parts(bands, 0).groupBy("key", "part", "n").agg(F.collect_set("print").alias("m"))
+    near = f"coalesce(bit_count(x.bits ^ y.bits) <= {LINK_BITS}, true)"
+    pair = "struct(x.print AS a, y.print AS b)"
+    every = F.expr(f"flatten(transform(m, x -> transform(filter(m, y -> y.print < x.print AND {near}), y -> {pair})))")
+    first = F.expr(
+        f"flatten(transform(array(array_min(m)), y -> transform(filter(m, x -> x.print > y.print AND {near}), x -> {pair})))"
+    )
+    grouped = _parts(bands, 0).groupBy("key", "part", "n").agg(F.collect_set(F.struct("print", "bits")).alias("m"))
     pairs = grouped.select(F.explode(F.when(F.col("n") <= SMALL, every).otherwise(first)).alias("p"))
     edges = settled(_verified(docs, settled(pairs.select("p.*").distinct(), "pairs")), "near")
     nodes = connected_components(edges, "near-components")
@@ -197,8 +223,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
     component's id unless the component has no other.
     """
     sketches = settled(_sketches(docs), "sketches")
-    least = settled(sketches.groupBy("print").agg(F.min("doc_id").alias("first"), F.first("keys").alias("keys")), "sketches")
-    parts = links(docs, least.select("print", F.explode("keys").alias("key")))
+    same = F.min("doc_id").alias("first"), F.min("bits").alias("bits"), F.first("keys").alias("keys")
+    least = settled(sketches.groupBy("print").agg(*same), "sketches")
+    parts = links(docs, _blocked(least).union(_banded(least)))
     rooted = least.join(parts, least["print"] == parts["node"], "left").select(
         "print", "first", F.coalesce("component", "print").alias("root")
     )

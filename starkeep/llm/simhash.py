@@ -60,13 +60,19 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(per_batch, "doc_id long, print long")
 
 
-def _block_masks() -> list[int]:
+def _block_masks(blocks=BLOCKS, bits: int = LINK_BITS) -> list[int]:
     """A mask for each choice of blocks of which all must agree."""
     masks, low = [], 0
-    for width in BLOCKS:
+    for width in blocks:
         masks.append(((1 << width) - 1) << low)
         low += width
-    return [_signed(sum(chosen)) for chosen in combinations(masks, len(BLOCKS) - LINK_BITS)]
+    return [_signed(sum(chosen)) for chosen in combinations(masks, len(blocks) - bits)]
+
+
+def block_keys(value: Column, blocks=BLOCKS, bits: int = LINK_BITS) -> Column:
+    """An array of ``(t, key)``, one for each choice of blocks; fingerprints at most ``bits`` apart have one in common."""
+    masks = enumerate(_block_masks(blocks, bits))
+    return F.array(*(F.struct(F.lit(k).alias("t"), value.bitwiseAND(F.lit(m)).alias("key")) for k, m in masks))
 
 
 def distance(a: Column, b: Column) -> Column:
@@ -77,8 +83,7 @@ def links(prints: DataFrame) -> DataFrame:
     """Edges ``(a, b)`` between distinct fingerprints, at most two bits apart, that hold together
     all that are linked. ``prints`` has distinct values in column ``print``."""
     value = F.col("print")
-    keys = F.array(*(F.struct(F.lit(k).alias("t"), value.bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(_block_masks())))
-    filed = prints.select(value, F.explode(keys).alias("k")).select("print", "k.t", "k.key")
+    filed = prints.select(value, F.explode(block_keys(value)).alias("k")).select("print", "k.t", "k.key")
     shared = (
         filed.groupBy("t", "key")
         .agg(F.min("print").alias("low"), F.max("print").alias("high"))

@@ -13,7 +13,7 @@ from starkeep.llm.bloom import Pair, contains
 from starkeep.llm.fmindex import FMIndex, WaveletMatrix
 from starkeep.llm.graph import connected_components
 from starkeep.llm.linededup import drop_repeated_lines
-from starkeep.llm.simhash import keep_one, links, near_duplicates
+from starkeep.llm.simhash import fingerprint, keep_one, links, near_duplicates
 from starkeep.llm.substrings import drop_repeated_passages
 
 BLANK = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -77,6 +77,32 @@ def test_pairs_in_a_large_family(spark):
     assert got == {i: i - i % 2 for i, _ in rows}
 
 
+def test_near_copies_by_fingerprint(spark):
+    """The block join of five-word fingerprints alone: every two texts at most four bits apart and similar to 0.8 are held together."""
+    rng, texts = random.Random(11), []
+    for i in range(250):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(150 + i)]
+        texts.append(" ".join(w))
+        for k in range(4):
+            w = [*w, f"x{i}y{k}"] if k % 2 else [*w[:40], f"x{i}y{k}", *w[41:]]
+            texts.append(" ".join(w))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [frozenset(zip(*(t.split()[k:] for k in range(5)))) for t in texts]
+    bits = [fingerprint(t, 5) for t in texts]
+    family = lambda i: range(i + 1, i - i % 5 + 5)
+    near = [(i, j) for i in range(len(texts)) for j in family(i) if (bits[i] ^ bits[j]).bit_count() <= 4]
+    assert len(near) > 500 and any((bits[i] ^ bits[j]).bit_count() == 4 for i, j in near)
+    assert all(5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) for i, j in near)
+    sketches = neardup._sketches(docs)
+    prints = {r["doc_id"]: r["print"] for r in sketches.collect()}
+    parts = {r["node"]: r["component"] for r in neardup.links(docs, neardup._blocked(sketches)).collect()}
+    component = {p: p for p in prints.values()}
+    for i, j in near * 5:
+        least = min(component[prints[i]], component[prints[j]])
+        component[prints[i]] = component[prints[j]] = least
+    assert {p: parts.get(p, p) for p in component} == component
+
+
 def test_crossing_pairs_join_all(spark):
     """Against brute force, where shingles are few and frequent: chains of texts over a common stock."""
     rng = random.Random(6)
