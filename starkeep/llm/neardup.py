@@ -10,16 +10,18 @@ probability 1 - (1 - s**ROWS)**BANDS, 0.9996 at 0.8.
 
 Keys of up to SMALL texts are compared in all pairs. Larger groups are dealt into parts of about SMALL texts, where each
 text is compared with the part's first. Texts of keys whose texts that leaves in several components are then joined exactly, by prefix filter: two
-sets similar to SIMILAR share one of the rarest 20 % of their shingles. Shingles of up to SMALL of these texts are compared in all
-pairs of different components. Two texts that have only more frequent shingles in common have no rare one together; so
+sets similar to SIMILAR share one of the first 20 % of their shingles, in an order that puts rarer ones first. Shingles of up to SMALL of these
+texts are compared in all pairs of different components. Two texts whose first common shingle is more frequent have no rare one in common; so
 texts with equal frequent shingles need only be compared with the shortest of them, and those with other ones with the
-shortest of each such class. A link is thus lost in no group, however large; only a pair that shares no key at all is.
+shortest of each such class. A pair goes on only if its sets' parities allow it: each shingle turns one of PARITY bits, so two sets
+differ in at least as many shingles as bits, and sets similar to SIMILAR differ in at most a ninth of both their shingles. Texts that are
+alike but not near copies, however many, thus leave few pairs. A link is lost in no group, however large; only a pair that shares no key at all is.
 """
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starkeep.llm.decontamination import TABLE_BITS, _in, _packed
@@ -27,7 +29,6 @@ from starkeep.llm.graph import connected_components
 from starkeep.llm.scratch import settled
 from starkeep.llm.simhash import _signed, block_keys, fingerprint
 from starkeep.llm.words import NOT_BLANK, chunks, mixed, runs, span_hashes
-from starkeep.operators.joins import left_lookup
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -35,6 +36,9 @@ LINK_BITS = 4
 BLOCKS = (10, 9, 9, 9, 9, 9, 9)
 BANDS, ROWS = 20, 5
 SMALL = 16
+PLACES = 1 << 22
+PARITY = 512
+ODD = [f"p{k}" for k in range(PARITY // 64)]
 SEED = 20240602
 
 _salts = mixed(np.arange(2 * BANDS * ROWS, dtype=np.uint64) + np.uint64(SEED)).reshape(2, -1)
@@ -175,43 +179,88 @@ def links(docs: DataFrame, filed: DataFrame) -> DataFrame:
     return nodes if new.isEmpty() else connected_components(edges.union(new), "near-components")
 
 
+def _levels(sets: DataFrame) -> np.ndarray:
+    """How frequent shingles are, by their places: 0 for one text, k for up to 2**k. Of shingles at one place the most frequent counts.
+
+    At most PLACES rows reach the driver.
+    """
+
+    def per_batch(batches):
+        for batch in batches:
+            tokens, texts = np.unique(batch.column(0).flatten().to_numpy(), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(texts)], ["token", "df"])
+
+    counts = sets.select("shingles").mapInArrow(per_batch, "token long, df long").groupBy("token").agg(F.sum("df").alias("df"))
+    level = F.length(F.bin(F.col("df") - 1)).cast("tinyint")
+    place = F.col("token").bitwiseAND(F.lit(PLACES - 1)).cast("int")
+    found = counts.filter("df > 1").groupBy(place.alias("place")).agg(F.max(level).alias("level")).toArrow()
+    table = np.zeros(PLACES, np.uint8)
+    table[found.column("place").to_numpy()] = found.column("level").to_numpy()
+    return table
+
+
+def _prefixes(sets: DataFrame) -> DataFrame:
+    """The sets' first shingles in the order of ``_levels``, of which ``rare`` many are in up to SMALL texts.
+
+    ``class`` is a digest of all frequent shingles, null unless one is among the first. The bits ``p0, p1, ...``
+    tell at how many of PARITY places the set has an odd number of shingles.
+    """
+    table = sets.sparkSession.sparkContext.broadcast(_levels(sets))
+    most = (SMALL - 1).bit_length()
+
+    def per_batch(batches):
+        for batch in batches:
+            classes, rare, first, parity = [], [], [], []
+            for shingles in batch.column(3):
+                shingles = shingles.values.to_numpy()
+                level = table.value[shingles & (PLACES - 1)]
+                n = len(shingles)
+                order = np.lexsort((shingles, level))[: n - int(np.ceil(n * SIMILAR - 1e-9)) + 1]
+                first.append(shingles[order])
+                rare.append(int((level[order] <= most).sum()))
+                frequent = shingles[level > most]
+                classes.append(xxhash.xxh3_128_hexdigest(frequent.tobytes()) if rare[-1] < len(order) else None)
+                odd = np.bincount(shingles >> 40 & (PARITY - 1), minlength=PARITY).astype(np.uint8) & 1
+                parity.append(np.packbits(odd).view(np.int64))
+            columns = [*batch.columns[:3], pa.array(classes, pa.string()), pa.array(rare, pa.int32())]
+            columns += [pa.array(first, pa.list_(pa.int64())), *(pa.array(p) for p in np.array(parity, np.int64).reshape(-1, len(ODD)).T.copy())]
+            yield pa.RecordBatch.from_arrays(columns, ["print", "component", "n", "class", "rare", "first", *ODD])
+
+    schema = "print long, component long, n int, class string, rare int, first array<bigint>, " + ", ".join(f"{p} long" for p in ODD)
+    return sets.select("print", "component", F.size("shingles").alias("n"), "shingles").mapInArrow(per_batch, schema)
+
+
+def _alike(x: str, y: str) -> str:
+    """Whether two sets can be similar: their sizes and the places where one is odd and one even, no more than shingles of one alone."""
+    apart = " + ".join(f"bit_count({x}.{p} ^ {y}.{p})" for p in ODD)
+    most = f"({x}.n + {y}.n) * {1 - 2 * SIMILAR / (1 + SIMILAR)}D + 1e-6D"
+    return f"({x}.component != {y}.component AND abs({x}.n - {y}.n) <= {most} AND {apart} <= {most})"
+
+
 def _crossing(docs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs ``(a, b)`` of ``texts (print, component)`` that join all that are similar in different components; some are not similar."""
     sets = settled(_sets(docs, texts.select("print")).join(texts, "print"), "shingles")
-    rows = sets.select("print", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
-    counts = settled(sets.select(F.explode("shingles").alias("token")).groupBy("token").agg(F.count("*").alias("df")), "counts")
-    counted = left_lookup(rows, counts, {"token": "token"}, {"df": "df"})
-    order = Window.partitionBy("print").orderBy("df", "token")
-    least = F.ceil(F.col("n") * SIMILAR - 1e-9)
-    ranked = settled(counted.withColumn("at", F.row_number().over(order)).withColumn("first", F.col("at") <= F.col("n") - least + 1), "ranked")
-    prefix = ranked.filter("first").select("print", "component", "n", "token", "df", "at")
-
-    members = F.sort_array(F.collect_set(F.struct("print", "component", "n")))
-    rare = prefix.filter(F.col("df").between(2, SMALL)).groupBy("token").agg(members.alias("m"))
+    ranked = settled(_prefixes(sets), "ranked")
+    marked = ranked.select("print", "component", "n", *ODD, "rare", F.posexplode("first").alias("at", "token"))
+
+    members = F.sort_array(F.collect_set(F.struct("print", "component", "n", *ODD)))
+    rare = marked.filter("at < rare").groupBy("token").agg(members.alias("m")).filter(F.size("m") > 1)
     unlike = F.expr(
-        "flatten(transform(m, x -> transform(filter(m, y -> y.print < x.print AND y.component != x.component"
-        f" AND least(x.n, y.n) >= {SIMILAR} * greatest(x.n, y.n) - 1e-9), y -> struct(x.print AS a, y.print AS b))))"
+        f"flatten(transform(m, x -> transform(filter(m, y -> y.print < x.print AND {_alike('x', 'y')}), y -> struct(x.print AS a, y.print AS b))))"
     )
     near = rare.select(F.explode(unlike).alias("p")).select("p.*")
 
-    frequent = prefix.filter(F.col("df") > SMALL)
-    alike = ranked.filter(F.col("df") > SMALL).groupBy("print").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
-    alike = alike.join(frequent.select("print").distinct(), "print", "left_semi")
-    alike = alike.select("print", F.struct(F.xxhash64("tokens"), F.md5(F.encode(F.array_join("tokens", ","), "utf-8"))).alias("class"))
-    classed = settled(alike.join(sets.select("print", "component", F.size("shingles").alias("n")), "print"), "classes")
-    heads = classed.groupBy("class").agg(F.min(F.struct("n", "print", "component")).alias("head")).select("class", "head.*")
+    classed = ranked.filter("class IS NOT NULL").select("class", "print", "component", "n", *ODD)
+    heads = classed.groupBy("class").agg(F.min(F.struct("n", "print", "component", *ODD)).alias("head")).select("class", "head.*")
     heads = settled(heads, "heads")
-    head = heads.select(F.col("class"), F.col("print").alias("b"), F.col("component").alias("other"))
-    within = classed.join(head, "class").filter("component != other").select(F.col("print").alias("a"), "b")
+    within = classed.alias("x").join(heads.alias("y"), "class").filter(_alike("x", "y")).select(F.col("x.print").alias("a"), F.col("y.print").alias("b"))
 
     # across classes: the first common shingle's places bound what can be common
-    left = frequent.select("token", F.col("print").alias("a"), "component", "n", "at")
-    right = frequent.join(heads.select("print"), "print", "left_semi").select(
-        "token", F.col("print").alias("b"), F.col("component").alias("other"), F.col("n").alias("m"), F.col("at").alias("bt")
-    )
-    both = F.least(F.col("n") - F.col("at"), F.col("m") - F.col("bt")) + 1
-    possible = both >= (F.col("n") + F.col("m")) * (SIMILAR / (1 + SIMILAR)) - 1e-6
-    across = left.join(right.hint("shuffle_hash"), "token").filter((F.col("component") != F.col("other")) & possible).select("a", "b")
+    left = marked.filter("at >= rare")
+    right = left.join(heads.select("print"), "print", "left_semi").hint("shuffle_hash")
+    both = f"least(x.n - x.at, y.n - y.at) >= (x.n + y.n) * {SIMILAR / (1 + SIMILAR)}D - 1e-6D"
+    met = F.expr(f"x.token = y.token AND {both} AND {_alike('x', 'y')}")
+    across = left.alias("x").join(right.alias("y"), met).select(F.col("x.print").alias("a"), F.col("y.print").alias("b"))
     return near.union(within).union(across).distinct()
 
 

@@ -137,6 +137,27 @@ def test_crossing_pairs_join_all(spark):
     assert groups(found) == groups(want)
 
 
+def test_crossing_pairs_of_large_families(spark):
+    """Texts alike but no near copies leave hardly any pairs: their number does not grow with the square of a family."""
+    rng = random.Random(12)
+    frame = [f"f{k}" for k in range(150)]
+    rows = []
+    for i in range(600):
+        w = list(frame)
+        for k in rng.sample(range(2, 148), 4):
+            w[k] = f"x{rng.randrange(10**7)}"
+        rows.append((i, " ".join(w)))
+    rows += [(600 + i, " ".join([*t.split(), "end"])) for i, t in rows[:50]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [frozenset(zip(*(t.split()[k:] for k in range(5)))) for _, t in rows]
+    prints = {r["doc_id"]: r["print"] for r in neardup._sketches(docs).collect()}
+    alone = spark.createDataFrame([(p, p) for p in prints.values()], "print long, component long")
+    pairs = {tuple(sorted(r)) for r in neardup._crossing(docs, alone).collect()}
+    similar = sum(5 * len(a & b) >= 4 * len(a | b) for a, b in combinations(sets, 2))
+    assert {tuple(sorted((prints[i], prints[600 + i]))) for i in range(50)} <= pairs
+    assert len(pairs) <= 2 * similar + len(rows) < len(rows) ** 2 // 20
+
+
 def test_near_copies(spark, corpus, corpus_rows):
     """Texts edited down to a similarity of 0.8, pairs inside a large family of texts half alike, and a large group of copies."""
     rng, texts = random.Random(8), []
