@@ -1,9 +1,11 @@
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from starkeep.operators import joins
 from starkeep.operators.quality import (
     contract_violations,
     orphans,
@@ -17,9 +19,14 @@ from starkeep.plans.warehouse import (
     Cleaned,
     build_warehouse,
     incoming_locations,
+    incoming_types,
+    load_arrestees,
+    load_arrests,
     load_versioned,
     load_weather,
+    seed,
 )
+from starkeep.sources.files import materialize
 from starkeep.sources.store import TableStore
 
 FIRST, SECOND = date(2024, 3, 1), date(2024, 6, 1)
@@ -209,3 +216,48 @@ def check_extract(tables):
     rows = {r.crime_id: r for r in whole.collect()}
     assert sorted(rows) == ["1", "2", "3", "4"] and rows["2"].temperature_celsius == 0
     assert rows["3"].occurrence_year == 0
+
+
+def test_arrests_are_not_broadcast(spark, store, monkeypatch):
+    """Frames that grow with the arrests are merged however small their files; few rows are broadcast."""
+    arrests = spark.range(300).select(
+        F.col("id").alias("cb_no"),
+        F.concat(F.lit("C"), "id").alias("case_number"),
+        F.lit(datetime(2024, 1, 5, 13)).cast("timestamp_ntz").alias("arrest_date"),
+        F.lit("A").alias("race"),
+        F.lit("0110|0111").alias("charges_type"),
+        F.lit("M|F").alias("charges_class"),
+        F.lit("x|y").alias("charges_statute"),
+    )
+    arrests = materialize(arrests, "arrests")
+    seed(store)
+    types = incoming_types(incidents(spark), None)
+    load_versioned(store, "dim_crime_type", schemas.INCIDENT_TYPE, schemas.UNKNOWN_TYPE, types, FIRST)
+    load_arrestees(store, arrests)
+    dims = {n: store.read(n) for n in ("dim_crime_type", "dim_arrestee", "dim_date")}
+    statuses, bus = spark._jsparkSession.sharedState().statusStore(), spark.sparkContext._jsc.sc().listenerBus()
+
+    def broadcast_columns(batch):
+        """The counts of ``load_arrests`` and what it broadcasts with a number of an arrest."""
+        bus.waitUntilEmpty(30_000)
+        before = statuses.executionsCount()
+        counts = load_arrests(store, batch, dims)
+        bus.waitUntilEmpty(30_000)
+        seen = statuses.executionsList()
+        plans = [seen.apply(i).physicalPlanDescription() for i in range(before, seen.size())]
+        found = re.findall(r"\) BroadcastExchange\s+Input \[\d+\]: \[(.*)\]", "\n".join(plans))
+        # the key index's digests do not compress, its files tell its size
+        return counts, {c for c in found if re.search("cb_no|arrest_pk", c) and "digest" not in c}
+
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 100)
+    counts, found = broadcast_columns(arrests)
+    assert counts["bridge_arrest_charge"] == {"changed": 600} and found == set()
+    counts, found = broadcast_columns(arrests)
+    assert counts == {"fact_arrest": {"upserted": 0}, "bridge_arrest_charge": {"changed": 0}} and found == set()
+    other = arrests.withColumn("charges_type", F.lit("0110"))
+    counts, found = broadcast_columns(other)
+    assert counts["fact_arrest"] == {"upserted": 300} and found == set()
+    assert store.read("bridge_arrest_charge").count() == 300
+    counts, found = broadcast_columns(arrests.filter("cb_no < 50"))
+    assert counts["fact_arrest"] == {"upserted": 50} and found
+    assert store.read("bridge_arrest_charge").count() == 350
