@@ -18,6 +18,7 @@ from starkeep.plans.reports import incident_extract
 from starkeep.plans.warehouse import (
     Cleaned,
     build_warehouse,
+    charge_bridge,
     incoming_locations,
     incoming_types,
     load_arrestees,
@@ -261,3 +262,24 @@ def test_arrests_are_not_broadcast(spark, store, monkeypatch):
     counts, found = broadcast_columns(arrests.filter("cb_no < 50"))
     assert counts["fact_arrest"] == {"upserted": 50} and found
     assert store.read("bridge_arrest_charge").count() == 350
+
+
+def test_charges_are_merged_with_arrests(spark, rows):
+    """Only the codes, which are counted, are broadcast; small files do not make the arrests so."""
+    arrests = spark.createDataFrame(
+        [(1, datetime(2024, 1, 5, 13)), (2, datetime(2024, 8, 1)), (3, None)], "cb_no long, arrest_date timestamp_ntz"
+    )
+    facts = arrests.select("cb_no", (F.col("cb_no") + 10).alias("arrest_pk"))
+    charges = spark.createDataFrame(
+        [(1, 1, "0110", "M", "x"), (1, 2, "0111", "F", "y"), (2, 1, "0110", "M", "x"), (9, 1, "0110", "M", "x")],
+        "cb_no long, charge_position int, iucr string, charge_class string, charge_statute string",
+    )
+    spec = schemas.INCIDENT_TYPE
+    codes = spark.createDataFrame(
+        [(5, "0110", date(1, 1, 1), SECOND), (6, "0110", SECOND, date(9999, 12, 31))],
+        f"crime_type_key long, iucr string, {spec.start} date, {spec.end} date",
+    )
+    bridge = charge_bridge(charges, facts, arrests, {"dim_crime_type": codes})
+    assert rows(bridge, "arrest_pk", "crime_type_key", "charge_position") == [(11, 0, 2), (11, 5, 1), (12, 6, 1)]
+    plan = bridge._jdf.queryExecution().executedPlan().toString()
+    assert (plan.count("SortMergeJoin"), plan.count("BroadcastHashJoin")) == (2, 1)
