@@ -171,7 +171,7 @@ def areas_sql(name="areas", shift=0):
 
 
 def weather_feed(spark, folder, size=5000, chosen=None):
-    """Every event as an observation, in parallel arrays of ``size`` consecutive ids; or only ``chosen`` blocks."""
+    """Every event as an observation, or only ``chosen`` ones, in parallel arrays of those among ``size`` consecutive ids."""
     events = Tables(spark, folder).events
     k = k_of("props")
     item = F.struct(
@@ -186,7 +186,7 @@ def weather_feed(spark, folder, size=5000, chosen=None):
         k.cast("double").alias("relative_humidity_2m"),
     )
     block = F.floor(F.col("event_id") / size).alias("block")
-    events = events if chosen is None else events.withColumn("block", block).filter(chosen).drop("block")
+    events = events if chosen is None else events.filter(chosen)
     grouped = events.groupBy(block).agg(F.sort_array(F.collect_list(item)).alias("rows"))
     names = ["time", "temperature_2m", "precipitation", "wind_speed_10m"]
     names += ["weather_code", "relative_humidity_2m"]

@@ -2,10 +2,12 @@ from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starkeep.operators.quality import GateError
 from starkeep.plans.warehouse import load_facts
 from starkeep.sources.files import materialize, scratch_root
+from starkeep.sources.landing import landed_files, read_json
 from starkeep.sources.store import TableStore
 from starkeep.sources.windows import DayRange, backfill
 
@@ -160,3 +162,34 @@ def test_backfill_runs_every_chunk_in_order(spark):
         "2024-02-29_to_2024-03-30",
         "2024-03-31_to_2024-04-02",
     ]
+
+
+def test_many_json_files_are_listed_by_folder(spark, tmp_path):
+    """A date of which all files are asked for costs no job to list; of others just the files asked for are read."""
+    root, day, other = str(tmp_path / "landing"), date(2024, 1, 10), date(2024, 1, 11)
+    folder = tmp_path / "landing" / "weather" / f"ingest_date={day}"
+    folder.mkdir(parents=True)
+    for i in range(40):
+        (folder / f"a {i}+%41.json").write_text(f'{{"n":\n {i}}}')
+    (folder / "notes.txt").write_text("{}")
+    schema = T.StructType([T.StructField("n", T.LongType())])
+    found = landed_files(spark, root, "weather", ".json")
+    assert [*found] == [day] and len(found[day]) == 40 and all(f.endswith("+%41.json") for f in found[day])
+
+    def read(files):
+        """The numbers read, and how many jobs the listing took."""
+        spark.sparkContext.setJobGroup(group := f"listing {len(files)}", "")
+        df = read_json(spark, root, "weather", schema, files)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return {(r["n"], r["ingest_date"]) for r in df.select("n", "ingest_date").collect()}, len(jobs)
+
+    assert read(found[day]) == ({(i, day) for i in range(40)}, 0)
+    late = tmp_path / "landing" / "weather" / f"ingest_date={other}"
+    late.mkdir()
+    (late / "b.json").write_text('{"n": 77}')
+    some = [f for f in found[day] if "a 3" in f] + landed_files(spark, root, "weather", ".json", [other])[other]
+    numbers, _ = read(some)
+    assert numbers == {(i, day) for i in (3, *range(30, 40))} | {(77, other)}
+    assert len(read([*found[day], some[-1]])[0]) == 41

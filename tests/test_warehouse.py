@@ -29,6 +29,7 @@ from starkeep.plans.warehouse import (
 )
 from starkeep.sources.files import materialize
 from starkeep.sources.store import TableStore
+from plans import Broadcasts
 
 FIRST, SECOND = date(2024, 3, 1), date(2024, 6, 1)
 
@@ -236,19 +237,13 @@ def test_arrests_are_not_broadcast(spark, store, monkeypatch):
     load_versioned(store, "dim_crime_type", schemas.INCIDENT_TYPE, schemas.UNKNOWN_TYPE, types, FIRST)
     load_arrestees(store, arrests)
     dims = {n: store.read(n) for n in ("dim_crime_type", "dim_arrestee", "dim_date")}
-    statuses, bus = spark._jsparkSession.sharedState().statusStore(), spark.sparkContext._jsc.sc().listenerBus()
 
     def broadcast_columns(batch):
         """The counts of ``load_arrests`` and what it broadcasts with a number of an arrest."""
-        bus.waitUntilEmpty(30_000)
-        before = statuses.executionsCount()
-        counts = load_arrests(store, batch, dims)
-        bus.waitUntilEmpty(30_000)
-        seen = statuses.executionsList()
-        plans = [seen.apply(i).physicalPlanDescription() for i in range(before, seen.size())]
-        found = re.findall(r"\) BroadcastExchange\s+Input \[\d+\]: \[(.*)\]", "\n".join(plans))
+        with Broadcasts(spark) as seen:
+            counts = load_arrests(store, batch, dims)
         # the key index's digests do not compress, its files tell its size
-        return counts, {c for c in found if re.search("cb_no|arrest_pk", c) and "digest" not in c}
+        return counts, {c for c in seen.columns if re.search("cb_no|arrest_pk", c) and "digest" not in c}
 
     monkeypatch.setattr(joins, "BROADCAST_ROWS", 100)
     counts, found = broadcast_columns(arrests)
