@@ -16,6 +16,7 @@ from starkeep.functions.keys import TRIAGE_YEAR, partition_year
 from starkeep.functions.naming import snake_columns
 from starkeep.functions.parsing import parse_bool, parse_event_time, parse_iso_minutes
 from starkeep.operators.dedup import latest_or_keyless, latest_per_key
+from starkeep.operators.joins import sized
 from starkeep.operators.shaping import conform, rename_present
 from starkeep.plans import schemas
 from starkeep.sources.files import materialize
@@ -145,7 +146,7 @@ def merge_incidents(store: TableStore, table: str, batch: DataFrame) -> list:
         return [row[0] for row in batch.select(YEAR_COLUMN).distinct().collect()]
     current = store.read(table)
     known = current.select("id", YEAR_COLUMN)
-    moved = known.join(batch.select("id"), "id", "left_semi").select(YEAR_COLUMN)
+    moved = known.join(sized(batch.select("id"), batch.count()), "id", "left_semi").select(YEAR_COLUMN)
     touched = batch.select(YEAR_COLUMN).union(moved).distinct()
     years = [row[0] for row in touched.collect()]  # a handful: calendar years
     base = current.filter(in_values(YEAR_COLUMN, years))
@@ -174,7 +175,7 @@ def merge_snapshot(
     year = F.lit(run_date.year).cast("smallint")
     rows = materialize(rows, table)
     if store.exists(table):
-        kept = store.read(table).join(rows.select(key), key, "left_anti")
+        kept = store.read(table).join(sized(rows.select(key), rows.count()), key, "left_anti")
         rows = kept.select(rows.columns).withColumn(YEAR_COLUMN, year).unionByName(rows)
     store.publish(table, rows, YEAR_COLUMN, made_from={"newest": newest.isoformat()})
 

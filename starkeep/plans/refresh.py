@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from starkeep.functions.keys import date_key, day, hour_key
 from starkeep.operators.asof import valid_on
 from starkeep.operators.dedup import latest_per_key
-from starkeep.operators.joins import fits_broadcast
+from starkeep.operators.joins import sized
 from starkeep.operators.scd import OPEN_START, VersionSpec
 from starkeep.plans import cleaning, schemas
 from starkeep.plans.warehouse import (
@@ -141,7 +141,8 @@ def _merge_incidents(store: TableStore, landing: str, files: list[str]):
     require_complete(store.spark, landing, "incidents", files, counted.rows)
     years = cleaning.merge_incidents(store, table, batch)
     now = without_triage(store.read(table).filter(in_values(YEAR_COLUMN, years)))
-    return batch, materialize(now.join(batch.select("id").distinct(), "id", "left_semi"), "fresh")
+    named = sized(batch.select("id").distinct(), batch.count())
+    return batch, materialize(now.join(named, "id", "left_semi"), "fresh")
 
 
 def _merge_weather(store: TableStore, landing: str, files: list[str]) -> DataFrame:
@@ -158,7 +159,8 @@ def newest_types(store: TableStore, batch: DataFrame, fresh: DataFrame) -> DataF
     """The latest report of each code, kept as a table.
 
     A report of the batch replaces its own older version and competes with the others'. Only a code whose latest
-    report has moved to another code is looked for among all incidents.
+    report has moved to another code is looked for among all incidents. Of the batch only what meets the known reports,
+    of which there is one a code, goes into the joins.
     """
     columns = ["iucr", "primary_type", "description", "fbi_code", "updated_on", "date", "id"]
     order = [F.col(c).desc_nulls_last() for c in ("updated_on", "date", "id")]
@@ -170,14 +172,21 @@ def newest_types(store: TableStore, batch: DataFrame, fresh: DataFrame) -> DataF
     if batch.isEmpty():
         return known
     fresh = fresh.filter(F.col("iucr").isNotNull()).select(*columns)
-    named = known.join(batch.select("id").distinct(), "id", "left_semi")
-    moved = materialize(named.join(fresh, ["iucr", "id"], "left_anti").select("iucr"), "moved")
-    rows = known.join(named.select("iucr"), "iucr", "left_anti").unionByName(fresh)
+    n = known.count()
+
+    def met(rows: DataFrame, *keys: str) -> DataFrame:
+        """Keys of the rows that are known ones."""
+        return rows.select(*keys).join(sized(known.select(*keys), n), [*keys], "left_semi").distinct()
+
+    named = known.join(sized(met(batch, "id"), n), "id", "left_semi")
+    stayed = sized(met(fresh, "iucr", "id"), n)
+    moved = materialize(named.join(stayed, ["iucr", "id"], "left_anti").select("iucr"), "moved")
+    rows = known.join(sized(named.select("iucr"), n), "iucr", "left_anti").unionByName(fresh)
     codes = [r[0] for r in moved.limit(1000).collect()]
     if len(codes) < 1000:
         again = incidents.filter(F.col("iucr").isin(codes)) if codes else None
     else:
-        again = incidents.join(moved, "iucr", "left_semi")
+        again = incidents.join(sized(moved), "iucr", "left_semi")
     if again is not None:
         rows = rows.unionByName(again.select(*columns))
     return store.publish(NEWEST_TYPES, latest_per_key(rows, ["iucr"], order))
@@ -209,7 +218,7 @@ def _incidents_in(
     if first is None:
         return incidents.select("id").limit(0)
     rows = incidents.filter(F.col(YEAR_COLUMN) >= first.year).alias("f")
-    found = (F.broadcast(versions) if fits_broadcast(versions) else versions).alias("v")
+    found = sized(versions).alias("v")
     same = [F.col(f"f.{k}").eqNullSafe(F.col(f"v.{k}")) for k in spec.keys]
     inside = valid_on(F.to_date("f.date"), F.col(f"v.{spec.start}"), F.col(f"v.{spec.end}"))
     return rows.join(found, reduce(and_, same) & inside, "left_semi").select("id")
@@ -305,7 +314,7 @@ def refresh(store: TableStore, landing: str, run_date: date) -> dict[str, dict[s
     ids = affected_incidents(store, fresh, observed)
     if ids is not None:
         ids = materialize(ids, "affected")
-        incidents = materialize(incidents.join(ids, "id", "left_semi"), "affected")
+        incidents = materialize(incidents.join(sized(ids), "id", "left_semi"), "affected")
         years = [r[0] for r in incidents.select(YEAR_COLUMN).distinct().collect()]
         weather = weather.filter(in_values(YEAR_COLUMN, years))
     steps["fact_crime"] = load_incident_facts(store, incidents, weather, dims)

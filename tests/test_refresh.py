@@ -1,10 +1,12 @@
 """Runs that cost what has changed, against whole runs."""
 
+import re
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from starkeep.operators import joins
 from starkeep.plans import schemas
 from starkeep.plans.refresh import pending_files, refresh
 from starkeep.plans.warehouse import (
@@ -20,6 +22,7 @@ from starkeep.queries.building import RUNS, land_increment
 from starkeep.sources.keyindex import KeyIndex
 from starkeep.sources.landing import land
 from starkeep.sources.store import TableStore
+from plans import Broadcasts
 from test_warehouse import areas, incidents, weather
 
 FOLDER = "/root/testdata/sf0.001"
@@ -178,3 +181,18 @@ def test_loads_read_only_their_key_ranges(spark, tmp_path):
     names = spark.createDataFrame([("x", 20200101), ("y", 20210101)], "k string, day_key int")
     load_facts(store, "s", names, *args)
     assert load_facts(store, "s", names.filter("k = 'x'"), *args, keys=names.select("k")) == {"upserted": 0}
+
+
+def test_ids_of_a_batch_are_not_broadcast(spark, both, tmp_path, monkeypatch):
+    """One column of a wide table looks small by its files' bytes; a batch of many rows is merged."""
+    root, store = str(tmp_path / "landing"), TableStore(spark, str(tmp_path / "store"))
+    land_increment(spark, FOLDER, root, 0)
+    refresh(store, root, RUNS[0])
+    land_increment(spark, FOLDER, root, 1)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 50)
+    with Broadcasts(spark) as seen:
+        refresh(store, root, RUNS[1])
+    found = seen.columns
+    assert found and not [c for c in found if re.fullmatch(r"(iucr#\d+, )?(crime_)?id#\d+L", c)]
+    refresh_extract(store)
+    assert content(store) == both[2][1][0]
