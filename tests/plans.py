@@ -21,5 +21,5 @@ class Broadcasts:
         return self
 
     def __exit__(self, *_):
-        plans = [e.physicalPlanDescription() for i, e in self._executions().items() if i not in self.before]
+        plans = [e.physicalPlanDescription() or "" for i, e in self._executions().items() if i not in self.before]
         self.columns = re.findall(r"\) BroadcastExchange\s+Input \[\d+\]: \[(.*)\]", "\n".join(plans))
